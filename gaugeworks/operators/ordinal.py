@@ -92,6 +92,11 @@ def tile_of(ordinal: Column, rows: Column, tiles: int) -> Column:
     return F.when(ordinal <= long_rows, in_long).otherwise(in_short).cast("int")
 
 
+def tile_end(tile: Column, rows: Column, tiles: int) -> Column:
+    """The ordinal of a bucket's last row."""
+    return tile * _div(rows, tiles) + F.least(tile, rows % tiles)
+
+
 def _div(numerator: Column, denominator: Column | int) -> Column:
     """Integer division of non-negative bigints, without going through doubles."""
     bottom = F.lit(denominator) if isinstance(denominator, int) else denominator
@@ -103,7 +108,8 @@ def ntile_exact(
 ) -> DataFrame:
     """NTILE over the whole table, row by row."""
     numbered = global_ordinal(df, *order, name="_ordinal")
-    rows = numbered.agg(F.count("*").alias("rows")).scalar()
+    # the numbered rows are a written table, whose count is in its footers
+    rows = F.lit(numbered.count()).cast("bigint")
     return numbered.select(
         *df.columns, tile_of(F.col("_ordinal"), rows, tiles).alias(name)
     )

@@ -2,92 +2,136 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.blocks import block_of, block_span
-from gaugeworks.operators.ordinal import tile_of
+from gaugeworks.operators.ordinal import tile_end, tile_of
 
-_VALUE_STEP = 4096
+MAX_CELLS = 1 << 20
 
 
-def tile_report(
+@dataclass(frozen=True)
+class _Cell:
+    """A box of (value, tie-break) ranges and the number of rows that sort before it."""
+
+    before: int = 0
+    ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
+
+    def holds(self) -> Column:
+        inside = F.lit(True)
+        for column, (low, high) in self.ranges.items():
+            inside = inside & F.col(column).between(low, high)
+        return inside
+
+    def narrowed(self, column: str, low: int, high: int, before: int) -> _Cell:
+        return _Cell(before, self.ranges | {column: (low, high)})
+
+
+def _steps(width: int, max_cells: int) -> list[int]:
+    """Cell widths from coarse to 1, each cutting the one before into few cells."""
+    steps = []
+    while width > max_cells:
+        width = -(-width // max_cells)
+        steps.append(width)
+    return [*steps, 1]
+
+
+def tile_ends(
     df: DataFrame,
     tiles: int,
     value: str,
     tiebreak: str,
-    counted: Column,
-    span: Column | int | None = None,
-) -> DataFrame:
-    """Per NTILE bucket of (value, tiebreak): min, max, rows and ``counted`` rows.
-
-    ``value`` is an integer and ``tiebreak`` a unique integer. Rows are counted per
-    cell, from coarse cells to fine ones. A cell whose rows all fall in one bucket
-    is settled; at most ``tiles - 1`` cells per level contain a bucket boundary and
-    are opened at the next level. So what travels is cell counts, what is broadcast
-    is at most ``tiles - 1`` rows, and a value held by a third of all rows is opened
-    by blocks of the tie-break like any other.
+    max_cells: int = MAX_CELLS,
+) -> list[tuple[int, int]]:
+    """The last (value, tie-break) of every NTILE bucket but the last one.
+
+    A selection by digits: rows are counted per cell, from coarse cells to single
+    rows, and only the cells in which a bucket ends are opened at the next level.
+    Those are at most ``tiles - 1``; they come to the driver and return as literal
+    ranges that reach the scan as pushed filters. A level has at most ``max_cells``
+    cells per opened cell, and a value held by a third of all rows is opened by ranges
+    of the tie-break like any other. Rows are only ever counted, in partial
+    aggregates.
     """
-    span = block_span(df, tiebreak) if span is None else span
-    rows = df.select(
-        F.col(value).cast("bigint").alias("_value"),
-        F.col(tiebreak).cast("bigint").alias("_tie"),
-        F.lit(1).cast("bigint").alias("_n"),
-        counted.cast("bigint").alias("_hits"),
+    bounds = df.agg(
+        F.count("*").alias("n"),
+        *[f(c).alias(f"{f.__name__}_{c}") for c in (value, tiebreak) for f in (F.min, F.max)],
+    ).first()
+    if bounds["n"] == 0:
+        return []
+    total = F.lit(bounds["n"]).cast("bigint")
+    final_end = tile_end(F.lit(tiles - 1).cast("bigint"), total, tiles)
+
+    opened = [_Cell()]
+    for column in (value, tiebreak):
+        low = bounds[f"min_{column}"]
+        for step in _steps(bounds[f"max_{column}"] - low + 1, max_cells):
+            opened = _open(df, opened, column, low, step, total, tiles, final_end)
+    return sorted((c.ranges[value][0], c.ranges[tiebreak][0]) for c in opened)
+
+
+def _open(df, parents, column, low, step, total, tiles, final_end) -> list[_Cell]:
+    """Cut the parents into cells of ``step`` and keep those where a bucket ends."""
+    offset = F.col(column).cast("bigint") - F.lit(low)
+    parent = F.coalesce(*[F.when(p.holds(), F.lit(i)) for i, p in enumerate(parents)])
+    base = F.coalesce(
+        *[F.when(F.col("_parent") == i, F.lit(p.before)) for i, p in enumerate(parents)]
     )
-    by_value = rows.groupBy("_value").agg(
-        F.sum("_n").alias("_n"), F.sum("_hits").alias("_hits")
+    earlier = (
+        Window.partitionBy("_parent")
+        .orderBy("_cell")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    total = df.agg(F.count("*").alias("rows")).scalar()
-    levels = [
-        (by_value, "_l0", block_of("_value", _VALUE_STEP)),
-        (by_value, "_l1", F.col("_value")),
-        (rows, "_l2", block_of("_tie", span)),
-        (rows, "_l3", F.col("_tie")),
-    ]
-
-    settled = []
-    opened = None
-    address: list[str] = []
-    for depth, (source, level, cell) in enumerate(levels):
-        for _, name, expression in levels[: depth + 1]:
-            source = source.withColumn(name, expression)
-        if opened is None:
-            source = source.withColumn("_base", F.lit(0).cast("bigint"))
-        else:
-            source = source.join(F.broadcast(opened), address)
-        cells = source.groupBy(*address, level, "_base").agg(
-            F.sum("_n").alias("_n"),
-            F.sum("_hits").alias("_hits"),
-            F.min("_value").alias("_min"),
-            F.max("_value").alias("_max"),
+    before = base.cast("bigint") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    after = F.col("_before") + F.col("_n")
+    last = tile_of(after, total, tiles)
+    found = (
+        df.filter(reduce(lambda a, b: a | b, [p.holds() for p in parents]))
+        .groupBy(parent.alias("_parent"), (offset - F.pmod(offset, F.lit(step))).alias("_cell"))
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", before)
+        .filter(F.col("_before") < final_end)
+        .filter(
+            (last > tile_of(F.col("_before") + 1, total, tiles))
+            | (after == tile_end(last, total, tiles))
         )
-        earlier = (
-            Window.partitionBy(*address)
-            .orderBy(level)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        before = F.col("_base") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-        cells = cells.withColumn("_before", before).withColumns(
-            {
-                "_tile": tile_of(F.col("_before") + 1, total, tiles),
-                "_last": tile_of(F.col("_before") + F.col("_n"), total, tiles),
-            }
-        )
-        settled.append(
-            cells.filter("_tile = _last").select("_tile", "_min", "_max", "_n", "_hits")
-        )
-        address.append(level)
-        opened = cells.filter("_tile <> _last").select(
-            *address, F.col("_before").alias("_base")
+        .select("_parent", (F.col("_cell") + F.lit(low)).alias("low"), "_before")
+        .collect()
+    )
+    return [
+        parents[row["_parent"]].narrowed(
+            column, row["low"], row["low"] + step - 1, row["_before"]
         )
+        for row in found
+    ]
+
+
+def tile_report(
+    df: DataFrame,
+    tiles: int,
+    value: str,
+    tiebreak: str,
+    counted: Column,
+    max_cells: int = MAX_CELLS,
+) -> DataFrame:
+    """Per NTILE bucket of (value, tie-break): min, max, rows and ``counted`` rows.
 
-    report = settled[0]
-    for part in settled[1:]:
-        report = report.unionByName(part)
-    return report.groupBy(F.col("_tile").alias("tile")).agg(
-        F.min("_min").alias("min_value"),
-        F.max("_max").alias("max_value"),
-        F.sum("_n").alias("rows"),
-        F.sum("_hits").alias("hits"),
+    Both are integers without NULLs and the tie-break is unique. Once the bucket ends
+    are known, a row's bucket follows from comparing it with them, so one scan with
+    partial aggregation makes the report.
+    """
+    tile = F.lit(1)
+    for end_value, end_tie in tile_ends(df, tiles, value, tiebreak, max_cells):
+        past = (F.col(value) > end_value) | (
+            (F.col(value) == end_value) & (F.col(tiebreak) > end_tie)
+        )
+        tile = tile + F.when(past, 1).otherwise(0)
+    return df.groupBy(tile.alias("tile")).agg(
+        F.min(value).alias("min_value"),
+        F.max(value).alias("max_value"),
+        F.count("*").alias("rows"),
+        F.count_if(counted).alias("hits"),
     )

@@ -79,7 +79,11 @@ def anomaly_features(star: Star, span=None, plain: bool = False) -> DataFrame:
     first reading of a type has step 0; a previous reading without torque gives NULL.
     A frame without variance has no score and is not an anomaly.
     """
-    readings = star.joined().select(*FEATURE_COLUMNS)
+    # the mode's name is looked up after the windows: its key is what gets shuffled
+    carried = [c for c in FEATURE_COLUMNS if c != "failure_mode_name"]
+    readings = star.fact.join(star.equipment, "equipment_key").select(
+        *carried, "failure_mode_key"
+    )
     if plain:
         summed = rolling_plain(
             readings, "product_type", "udi", _rolling_sums, FRAME_PRECEDING
@@ -98,7 +102,8 @@ def anomaly_features(star: Star, span=None, plain: bool = False) -> DataFrame:
     power = RollingStats.of("mechanical_power_kw")
     first = F.col("_previous").isNull()
     before = F.when(first, F.col("torque_nm")).otherwise(F.col("_previous.torque_nm"))
-    return summed.select(
+    named = summed.join(F.broadcast(star.modes), "failure_mode_key")
+    return named.select(
         *FEATURE_COLUMNS,
         torque.mean().alias("rolling_avg_torque"),
         torque.std().alias("rolling_std_torque"),
@@ -317,10 +322,10 @@ def stress_top(star: Star, n: int = 10) -> DataFrame:
     )
 
 
-def speed_quintiles(star: Star, tiles: int = 5, span=None) -> DataFrame:
+def speed_quintiles(star: Star, tiles: int = 5, **options) -> DataFrame:
     """Failure rate per speed bucket of equal size; equal speeds go by ``udi``."""
     report = tile_report(
-        star.fact, tiles, "rotational_speed_rpm", "udi", F.col("is_failure"), span
+        star.fact, tiles, "rotational_speed_rpm", "udi", F.col("is_failure"), **options
     )
     return report.select(
         F.col("tile").alias("speed_quintile"),
