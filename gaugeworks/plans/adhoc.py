@@ -18,6 +18,7 @@ from gaugeworks.schemas import (
     RAW_TABLE,
     STAGING_TABLE,
 )
+from gaugeworks.session import literal_rows
 
 FEATURES_VIEW = "analytics.v_sensor_anomaly_features"
 ROOT_CAUSE_VIEW = "analytics.v_failure_root_cause_summary"
@@ -183,7 +184,7 @@ def describe(frames: dict[str, DataFrame], name: str) -> DataFrame:
     schema = T.StructType.fromDDL(
         "ordinal_position int, column_name string, data_type string, is_nullable string"
     )
-    return frame.sparkSession.createDataFrame(rows, schema)
+    return literal_rows(frame.sparkSession, rows, schema)
 
 
 class ReadOnlyViolation(ValueError):

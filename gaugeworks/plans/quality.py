@@ -68,23 +68,16 @@ def as_log_rows(
 
 
 def append_check_log(
-    warehouse: Warehouse, verdicts, batch_id: str | None, now: datetime
-) -> None:
-    """Append collected verdicts - a row per check - to the log."""
+    warehouse: Warehouse, results: DataFrame, batch_id: str | None, now: datetime
+) -> list:
+    """Evaluate verdicts straight into the log and return the rows written."""
     log = warehouse.read(CHECK_LOG_TABLE)
     last_id = log.agg(F.coalesce(F.max("check_id"), F.lit(0))).first()[0]
-    rows = [
-        (
-            last_id + v.position,
-            batch_id,
-            *[v[f.name] for f in CHECK_LOG.fields[2:-1]],
-            now,
-        )
-        for v in verdicts
-    ]
-    warehouse.append(
-        CHECK_LOG_TABLE, warehouse.spark.createDataFrame(rows, CHECK_LOG).coalesce(1)
-    )
+    rows = as_log_rows(results, batch_id, now, last_id)
+    # a row per check: one small file instead of one per check
+    warehouse.append(CHECK_LOG_TABLE, rows.coalesce(1))
+    added = warehouse.read(CHECK_LOG_TABLE).filter(F.col("check_id") > last_id)
+    return sorted(added.collect(), key=lambda row: row.check_id)
 
 
 def run_gate(
@@ -95,10 +88,8 @@ def run_gate(
 ) -> list:
     """Evaluate the checks, log every verdict, then raise on a critical failure."""
     checks = standard_checks() if checks is None else checks
-    verdicts = sorted(
-        run_suite(tables_of(warehouse), checks).collect(), key=lambda v: v.position
-    )
-    append_check_log(warehouse, verdicts, batch_id, now)
+    results = run_suite(tables_of(warehouse), checks)
+    verdicts = append_check_log(warehouse, results, batch_id, now)
     enforce(verdicts)
     return verdicts
 

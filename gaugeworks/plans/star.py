@@ -20,7 +20,7 @@ from gaugeworks.schemas import (
     FAILURE_MODE_TABLE,
     STAGING_TABLE,
 )
-from gaugeworks.session import written
+from gaugeworks.session import literal_rows, written
 from gaugeworks.sources.tables import Warehouse
 
 
@@ -29,13 +29,13 @@ def seed_failure_modes(
 ) -> DataFrame:
     """The failure-mode dimension with any missing seed row added at its end."""
     if existing is None:
-        existing = spark.createDataFrame([], DIM_FAILURE_MODE)
+        existing = literal_rows(spark, [], DIM_FAILURE_MODE)
     # seven rows: names and the greatest key fit on the driver
     present = {r.failure_mode_name: r.failure_mode_key for r in existing.collect()}
     top = max(present.values(), default=0)
     absent = [row for row in FAILURE_MODE_SEED if row[0] not in present]
     fresh = [(top + place, *row) for place, row in enumerate(absent, 1)]
-    return existing.unionByName(spark.createDataFrame(fresh, DIM_FAILURE_MODE))
+    return existing.unionByName(literal_rows(spark, fresh, DIM_FAILURE_MODE))
 
 
 def equipment_rows(staging: DataFrame) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cpus: int | str = "*", **overrides) -> SparkSession:
@@ -57,3 +60,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(
+    spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType
+) -> DataFrame:
+    """A few rows from the driver as a one-partition frame, without Python workers."""
+    if not rows:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return spark.range(0, 0, 1, 1).select(*nothing)
+    structs = [
+        F.struct(
+            *[
+                F.lit(value).cast(f.dataType).alias(f.name)
+                for value, f in zip(row, schema, strict=True)
+            ]
+        )
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

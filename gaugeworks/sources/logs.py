@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.schemas import INGESTION_LOG, INGESTION_LOG_TABLE, INGESTION_STATUSES
+from gaugeworks.session import literal_rows
 from gaugeworks.sources.tables import Warehouse
 
 
@@ -25,9 +26,8 @@ def log_ingestion(
         raise ValueError(f"status must be one of {INGESTION_STATUSES}, not {status!r}")
     step = 0 if status == "IN_PROGRESS" else 1
     row = (batch_id, source, rows, status, now, error, step)
-    warehouse.append(
-        INGESTION_LOG_TABLE, warehouse.spark.createDataFrame([row], INGESTION_LOG)
-    )
+    entry = literal_rows(warehouse.spark, [row], INGESTION_LOG)
+    warehouse.append(INGESTION_LOG_TABLE, entry)
 
 
 def ingestion_states(log: DataFrame) -> DataFrame:

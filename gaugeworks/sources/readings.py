@@ -74,30 +74,36 @@ def _parsed(text: Column, kind: T.DataType) -> Column:
 
 
 def cast_readings(text: DataFrame) -> DataFrame:
-    """Typed readings plus ``reject_reason``, NULL on rows that fit the schema."""
-    typed = {}
+    """Typed readings, with ``reject_reason`` and the ``source_row`` where one is set.
+
+    Three projections, so that each cell is cleaned once and parsed once.
+    """
+    names = READING.names
+    extra = [c for c in text.columns if c not in names]
+    cells = text.select(
+        *[F.col(c).alias(f"_text_{c}") for c in names],
+        *[_present(F.col(c)).alias(f"_cell_{c}") for c in names],
+        *extra,
+    )
+    typed = cells.select(
+        "*", *[_parsed(F.col(f"_cell_{f.name}"), f.dataType).alias(f.name) for f in READING]
+    )
     problems = []
     for field in READING:
-        cell = _present(F.col(field.name))
-        value = _parsed(cell, field.dataType)
-        typed[field.name] = value
-        problems.append(
-            F.when(
-                cell.isNotNull() & value.isNull(),
-                F.concat(F.lit(f"{field.name}: not a {field.dataType.simpleString()}")),
-            )
-        )
+        cell = F.col(f"_cell_{field.name}")
+        unreadable = cell.isNotNull() & F.col(field.name).isNull()
+        kind = field.dataType.simpleString()
+        problems.append(F.when(unreadable, F.lit(f"{field.name}: not a {kind}")))
         if not field.nullable:
-            problems.append(
-                F.when(cell.isNull(), F.lit(f"{field.name}: required but missing"))
-            )
+            missing = F.lit(f"{field.name}: required but missing")
+            problems.append(F.when(cell.isNull(), missing))
     reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
-    extra = [c for c in text.columns if c not in typed]
-    return text.select(
-        *[value.alias(name) for name, value in typed.items()],
+    source = F.struct(*[F.col(f"_text_{c}").alias(c) for c in names])
+    return typed.withColumn("reject_reason", reason).select(
+        *names,
         *extra,
-        reason.alias("reject_reason"),
-        F.struct(*[F.col(f.name).alias(f.name) for f in READING]).alias("source_row"),
+        "reject_reason",
+        F.when(F.col("reject_reason").isNotNull(), source).alias("source_row"),
     )
 
 

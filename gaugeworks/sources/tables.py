@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.schemas import APPEND_ONLY, TABLES
+from gaugeworks.session import literal_rows
 
 _MARKER = "_CURRENT"
 
@@ -35,7 +36,7 @@ class Warehouse:
         elif not self._exists(path):
             path = None
         if path is None:
-            return self.spark.createDataFrame([], schema)
+            return literal_rows(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(path)
 
     def version(self, table: str) -> int:
