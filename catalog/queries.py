@@ -247,7 +247,7 @@ def fact_reload(spark, sf_dir):
     star = fx.star(spark, sf_dir)
     staging = to_staging(fx.second_batch(spark, sf_dir), fx.RELOADED_AT)
     rows = build_fact(staging, star.equipment, star.modes, fx.RELOADED_AT)
-    merged = merge_fact(star.fact, rows)
+    merged = merge_fact(star.fact, rows, load=2)
     old = star.fact.select("udi", F.col("telemetry_key").alias("_old_key"))
     return merged.join(old, "udi", "left").select(
         "udi",

@@ -60,7 +60,7 @@ def tile_ends(
         F.count("*").alias("n"),
         *[f(c).alias(f"{f.__name__}_{c}") for c in (value, tiebreak) for f in (F.min, F.max)],
     ).first()
-    if bounds["n"] == 0:
+    if bounds["n"] == 0 or tiles == 1:
         return []
     total = F.lit(bounds["n"]).cast("bigint")
     final_end = tile_end(F.lit(tiles - 1).cast("bigint"), total, tiles)

@@ -16,7 +16,7 @@ from gaugeworks.plans.star import load_star
 from gaugeworks.plans.summary import run_summary
 from gaugeworks.schemas import CHECK_LOG_TABLE, FACT_TABLE, RAW_TABLE
 from gaugeworks.sources.readings import ingest_batch
-from gaugeworks.sources.tables import Warehouse
+from gaugeworks.sources.tables import STORED_SPAN, Warehouse
 
 
 @dataclass
@@ -48,13 +48,17 @@ def analytics_views(warehouse: Warehouse) -> dict[str, DataFrame]:
 
 
 def run_transforms(
-    spark: SparkSession, root: str, now: datetime, batch_id: str | None = None
+    spark: SparkSession,
+    root: str,
+    now: datetime,
+    batch_id: str | None = None,
+    span: int = STORED_SPAN,
 ) -> dict[str, DataFrame]:
     """Staging, then star, then views, which are registered and returned.
 
     With ``batch_id`` only that batch's rows go through staging and star.
     """
-    warehouse = Warehouse(spark, root)
+    warehouse = Warehouse(spark, root, span)
     load_staging(warehouse, now, batch_id)
     load_star(warehouse, now, batch_id)
     views = analytics_views(warehouse)
@@ -77,6 +81,7 @@ def run_load(
     checks: list | None = None,
     incremental: bool = False,
     summary: bool = False,
+    span: int = STORED_SPAN,
     **ingest_options,
 ) -> RunReport:
     """All stages in order. The first failure ends the run; the report says how far.
@@ -85,13 +90,13 @@ def run_load(
     this batch's rows through staging and star.
     """
     now = now or datetime.now(UTC)
-    warehouse = Warehouse(spark, root)
+    warehouse = Warehouse(spark, root, span)
     report = RunReport()
     started = time.perf_counter()
 
     def ingest():
         report.batch_id = ingest_batch(
-            spark, csv_path, root, batch_id, now, **ingest_options
+            spark, csv_path, root, batch_id, now, span=span, **ingest_options
         )
         return f"merged source records into {RAW_TABLE} (batch {report.batch_id})"
 

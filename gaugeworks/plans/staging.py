@@ -87,13 +87,15 @@ def load_staging(
     else:
         raise ValueError(f"on_missing must be raise or quarantine, not {on_missing!r}")
 
-    if warehouse.version(STAGING_TABLE) > 0:
-        # raw is keyed by udi, so one batch cannot repeat a key here
-        projected = upsert(
-            warehouse.read(STAGING_TABLE),
-            projected,
-            ["udi"],
-            RELOAD_COLUMNS,
-            duplicates="unique",
-        )
-    warehouse.replace(STAGING_TABLE, projected)
+    if warehouse.version(STAGING_TABLE) == 0:
+        warehouse.replace(STAGING_TABLE, projected)
+        return
+    # raw is keyed by udi, so the projection cannot repeat a key
+    merged = upsert(
+        warehouse.read(STAGING_TABLE, warehouse.touched_blocks(projected)),
+        projected,
+        ["udi"],
+        RELOAD_COLUMNS,
+        duplicates="unique",
+    )
+    warehouse.replace(STAGING_TABLE, merged, partial=True)

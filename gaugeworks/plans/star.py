@@ -124,16 +124,27 @@ def build_fact(
     )
 
 
-def merge_fact(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """Fact rows merged by ``udi``; known rows keep their key, new ones get larger."""
+# Keys given out per load; a load numbers its new rows from 1 within its own range.
+KEYS_PER_LOAD = 1 << 40
+
+
+def merge_fact(existing: DataFrame | None, rows: DataFrame, load: int) -> DataFrame:
+    """Fact rows merged by ``udi``; known rows keep their key, new ones get larger.
+
+    ``load`` counts the loads of the table from 1. Each has its own range of keys, so
+    the greatest key so far need not be looked up in the whole table.
+    """
+    first = F.lit((load - 1) * KEYS_PER_LOAD)
     if existing is None:
-        return key_ordinal(rows, "udi", name="telemetry_key").select(*FACT.names)
+        numbered = key_ordinal(rows, "udi", name="_number")
+        return numbered.withColumn("telemetry_key", first + F.col("_number")).select(
+            *FACT.names
+        )
     # read three times below: numbering, offsets and the merge
     rows = written(rows, "fact-batch")
-    top = existing.agg(F.coalesce(F.max("telemetry_key"), F.lit(0))).first()[0]
-    fresh = rows.join(existing.select("udi"), "udi", "left_anti")
-    numbers = key_ordinal(fresh.select("udi"), "udi", name="_number").select(
-        "udi", (F.col("_number") + F.lit(top)).alias("telemetry_key")
+    fresh = rows.select("udi").join(existing.select("udi"), "udi", "left_anti")
+    numbers = key_ordinal(fresh, "udi", name="_number").select(
+        "udi", (first + F.col("_number")).alias("telemetry_key")
     )
     keyed = rows.join(numbers, "udi", "left")
     return upsert(
@@ -148,7 +159,10 @@ def merge_fact(existing: DataFrame | None, rows: DataFrame) -> DataFrame:
 def load_star(
     warehouse: Warehouse, now: datetime, batch_id: str | None = None
 ) -> None:
-    """Load dimensions and fact; all become current together at the end."""
+    """Load dimensions and fact; all become current together at the end.
+
+    With ``batch_id`` only that batch's staging rows are loaded.
+    """
     staging = warehouse.read(STAGING_TABLE)
     if batch_id is not None:
         staging = staging.filter(F.col("batch_id") == batch_id)
@@ -164,8 +178,13 @@ def load_star(
     rows = build_fact(
         staging, warehouse.read_staged(equipment), warehouse.read_staged(modes), now
     )
-    existing = warehouse.read(FACT_TABLE) if warehouse.version(FACT_TABLE) else None
-    fact = warehouse.stage(FACT_TABLE, merge_fact(existing, rows))
+    load = warehouse.next_version(FACT_TABLE)
+    if warehouse.version(FACT_TABLE) == 0:
+        fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load))
+    else:
+        blocks = warehouse.touched_blocks(staging)
+        merged = merge_fact(warehouse.read(FACT_TABLE, blocks), rows, load)
+        fact = warehouse.stage(FACT_TABLE, merged, partial=True)
     warehouse.publish(modes, equipment, fact)
 
 

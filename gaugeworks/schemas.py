@@ -195,3 +195,6 @@ APPEND_ONLY = {
     REJECTS_TABLE,
     QUARANTINE_TABLE,
 }
+
+# Tables keyed by reading id; they are stored and replaced by block of ids.
+BLOCKED = {RAW_TABLE, STAGING_TABLE, FACT_TABLE}

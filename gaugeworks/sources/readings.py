@@ -19,7 +19,7 @@ from gaugeworks.schemas import (
 )
 from gaugeworks.session import written
 from gaugeworks.sources.logs import log_ingestion
-from gaugeworks.sources.tables import Warehouse
+from gaugeworks.sources.tables import STORED_SPAN, Warehouse
 
 # Cell texts that mean "no value" (fixed values).
 NULL_TOKENS = [
@@ -134,19 +134,18 @@ def load_raw(
     order_by: str | None = None,
 ) -> None:
     """Merge stamped readings into the raw table by ``udi``."""
-    known = warehouse.version(RAW_TABLE) > 0
-    if known:
-        merged = upsert(
-            warehouse.read(RAW_TABLE),
-            batch,
-            ["udi"],
-            update_cols,
-            duplicates=duplicates,
-            order_by=order_by,
-        )
-    else:
-        merged = resolve_duplicates(batch, ["udi"], duplicates, order_by)
-    warehouse.replace(RAW_TABLE, merged.select(*RAW.names))
+    batch = resolve_duplicates(batch, ["udi"], duplicates, order_by)
+    if warehouse.version(RAW_TABLE) == 0:
+        warehouse.replace(RAW_TABLE, batch)
+        return
+    merged = upsert(
+        warehouse.read(RAW_TABLE, warehouse.touched_blocks(batch)),
+        batch,
+        ["udi"],
+        update_cols,
+        duplicates="unique",
+    )
+    warehouse.replace(RAW_TABLE, merged, partial=True)
 
 
 def ingest_batch(
@@ -158,6 +157,7 @@ def ingest_batch(
     on_reject: str = "raise",
     duplicates: str = "error",
     update_cols=RELOAD_COLUMNS,
+    span: int = STORED_SPAN,
 ) -> str:
     """Load one CSV as an audited batch and return its id.
 
@@ -166,8 +166,8 @@ def ingest_batch(
     is logged with its message. ``on_reject="quarantine"`` sets rows aside that do not
     fit the schema instead of failing the batch.
     """
-    warehouse = Warehouse(spark, root)
-    if not warehouse._exists(path):
+    warehouse = Warehouse(spark, root, span)
+    if not warehouse.exists(path):
         raise FileNotFoundError(f"no source file at {path}")
     now = now or datetime.now(UTC)
     batch_id = batch_id or new_batch_id(now)

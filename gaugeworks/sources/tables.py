@@ -2,77 +2,115 @@
 
 A replaceable table is a folder of numbered versions. A version counts once its
 marker file exists, and markers are set only after all data of a load is written,
-so a load that dies leaves every table at the version it had. An append-only
-table is one folder that Spark's own commit protocol extends.
+so a load that dies leaves every table at the version it had.
+
+Tables keyed by reading id are stored by block of ids. A merge writes a version that
+holds only the blocks its batch touches, and a block is read from the newest version
+that has it - so the cost of a merge follows the batch, not the table.
+
+An append-only table is one folder that Spark's own commit protocol extends.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.schemas import APPEND_ONLY, TABLES
+from gaugeworks.operators.blocks import block_of
+from gaugeworks.schemas import APPEND_ONLY, BLOCKED, TABLES
 from gaugeworks.session import literal_rows
 
-_MARKER = "_CURRENT"
+_WHOLE = "_WHOLE"
+_PARTIAL = "_PARTIAL"
+
+# Ids per stored block: some ten million rows, a few hundred megabytes of Parquet.
+STORED_SPAN = 1 << 24
 
 
 class Warehouse:
     """The tables under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, span: int = STORED_SPAN):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.span = span
+        # the name carries the span, so that folders cut differently cannot mix
+        self._block = f"ids_{span}"
 
-    def read(self, table: str) -> DataFrame:
-        """The table's current rows; an empty frame before the first load."""
+    def read(self, table: str, blocks: Iterable[int] | None = None) -> DataFrame:
+        """The table's current rows; an empty frame before the first load.
+
+        With ``blocks`` only those blocks of a table stored by block are read.
+        """
         schema = TABLES[table]
-        path = self._folder(table)
-        if table not in APPEND_ONLY:
+        folder = self._folder(table)
+        if table in APPEND_ONLY:
+            paths = [folder] if self._exists(folder) else []
+        elif table in BLOCKED:
+            paths = self._block_paths(table, blocks)
+        else:
             version = self.version(table)
-            path = self._version_path(table, version) if version else None
-        elif not self._exists(path):
-            path = None
-        if path is None:
+            paths = [self._version_path(table, version)] if version else []
+        if not paths:
             return literal_rows(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        reader = self.spark.read.schema(schema).option("basePath", folder)
+        return reader.parquet(*paths).select(*schema.names)
 
     def version(self, table: str) -> int:
         """Number of the newest published version, 0 when there is none."""
-        published = [
-            number
-            for number in self._versions(table)
-            if self._exists(f"{self._version_path(table, number)}/{_MARKER}")
-        ]
-        return max(published, default=0)
-
-    def stage(self, table: str, df: DataFrame) -> tuple[str, int]:
-        """Write ``df`` as the next version without publishing it."""
-        number = max(self._versions(table), default=0) + 1
-        self._shaped(table, df).write.parquet(self._version_path(table, number))
-        return table, number
-
-    def publish(self, *staged: tuple[str, int]) -> None:
+        return max((number for number, _ in self._published(table)), default=0)
+
+    def next_version(self, table: str) -> int:
+        return max(self._versions(table), default=0) + 1
+
+    def touched_blocks(self, batch: DataFrame, key: str = "udi") -> list[int]:
+        """Blocks that hold the batch's ids: one number per block, however many rows."""
+        block = block_of(key, self.span).alias("block")
+        return [row.block for row in batch.select(block).distinct().collect()]
+
+    def stage(
+        self, table: str, df: DataFrame, partial: bool = False
+    ) -> tuple[str, int, str]:
+        """Write ``df`` as the next version without publishing it.
+
+        A partial version has all rows of the blocks it holds, and no other block.
+        """
+        number = self.next_version(table)
+        shaped = self._shaped(table, df)
+        path = self._version_path(table, number)
+        if table in BLOCKED:
+            # tasks write whole blocks; adaptive execution evens out their sizes
+            placed = shaped.withColumn(self._block, block_of("udi", self.span))
+            placed = placed.hint("rebalance", self._block)
+            placed.write.partitionBy(self._block).parquet(path)
+        elif partial:
+            raise ValueError(f"{table} is not stored by block")
+        else:
+            shaped.write.parquet(path)
+        return table, number, _PARTIAL if partial else _WHOLE
+
+    def publish(self, *staged: tuple[str, int, str]) -> None:
         """Make staged versions current; nothing but marker files is written here."""
-        for table, number in staged:
-            marker = self._path(f"{self._version_path(table, number)}/{_MARKER}")
+        for table, number, kind in staged:
+            marker = self._path(f"{self._version_path(table, number)}/{kind}")
             self._fs(marker).create(marker, True).close()
 
-    def replace(self, table: str, df: DataFrame) -> None:
-        self.publish(self.stage(table, df))
+    def replace(self, table: str, df: DataFrame, partial: bool = False) -> None:
+        self.publish(self.stage(table, df, partial))
 
     def append(self, table: str, df: DataFrame) -> None:
         if table not in APPEND_ONLY:
             raise ValueError(f"{table} is replaced by version, not appended to")
         self._shaped(table, df).write.mode("append").parquet(self._folder(table))
 
-    def read_staged(self, staged: tuple[str, int]) -> DataFrame:
-        table, number = staged
-        return self.spark.read.schema(TABLES[table]).parquet(
-            self._version_path(table, number)
-        )
+    def read_staged(self, staged: tuple[str, int, str]) -> DataFrame:
+        """Rows of one version, published or not."""
+        table, number, _ = staged
+        schema = TABLES[table]
+        path = self._version_path(table, number)
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def register_views(self, frames: Mapping[str, DataFrame] | None = None) -> None:
         """Temp views ``<layer>_<table>`` of all tables, and of the given frames."""
@@ -81,24 +119,62 @@ class Warehouse:
         for name, frame in (frames or {}).items():
             frame.createOrReplaceTempView(name.replace(".", "_"))
 
+    def exists(self, path: str) -> bool:
+        return self._exists(path)
+
     def _shaped(self, table: str, df: DataFrame) -> DataFrame:
         return df.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table]]
         )
 
+    def _block_paths(self, table: str, blocks: Iterable[int] | None) -> list[str]:
+        """Where each current block lies: in the newest version that has it."""
+        wanted = None if blocks is None else set(blocks)
+        newest: dict[int, str] = {}
+        whole = None
+        for number, kind in sorted(self._published(table), reverse=True):
+            path = self._version_path(table, number)
+            if kind == _WHOLE and not newest and wanted is None:
+                whole = path
+                break
+            for name in self._names(path):
+                column, _, block = name.partition("=")
+                if not block:
+                    continue
+                if column != self._block:
+                    raise ValueError(f"{path} is cut by {column}, not by {self._block}")
+                if wanted is None or int(block) in wanted:
+                    newest.setdefault(int(block), f"{path}/{name}")
+            if kind == _WHOLE:
+                break
+        return [whole] if whole else list(newest.values())
+
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def _version_path(self, table: str, number: int) -> str:
-        return f"{self._folder(table)}/v{number:06d}"
+        return f"{self._folder(table)}/version={number:06d}"
 
     def _versions(self, table: str) -> list[int]:
-        folder = self._path(self._folder(table))
+        names = self._names(self._folder(table))
+        return [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
+
+    def _published(self, table: str) -> list[tuple[int, str]]:
+        """Published versions and whether each is the whole table or some blocks."""
+        found = []
+        for number in self._versions(table):
+            path = self._version_path(table, number)
+            for kind in (_WHOLE, _PARTIAL):
+                if self._exists(f"{path}/{kind}"):
+                    found.append((number, kind))
+        return found
+
+    def _names(self, path: str) -> list[str]:
+        folder = self._path(path)
         files = self._fs(folder)
         if not files.exists(folder):
             return []
-        names = [status.getPath().getName() for status in files.listStatus(folder)]
-        return [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit()]
+        return [status.getPath().getName() for status in files.listStatus(folder)]
 
     def _exists(self, path: str) -> bool:
         location = self._path(path)
