@@ -22,6 +22,11 @@ def block_span(df: DataFrame, key: str) -> Column:
     return df.agg(span.alias("span")).scalar()
 
 
+def span_for(ids: int) -> int:
+    """``block_span`` for a known range of ids, without looking at the data."""
+    return max(MIN_SPAN, -(-ids // MAX_BLOCKS))
+
+
 def block_of(key: Column | str, span: Column | int) -> Column:
     """First id of the block that holds ``key``."""
     column = F.col(key) if isinstance(key, str) else key

@@ -18,7 +18,7 @@ from gaugeworks.functions.numeric import (
     percent,
     round_double,
 )
-from gaugeworks.operators.blocks import block_span
+from gaugeworks.operators.blocks import span_for
 from gaugeworks.operators.rolling import rolling, rolling_plain
 from gaugeworks.operators.tiles import tile_report
 from gaugeworks.plans.star import star_join
@@ -33,6 +33,8 @@ class Star:
     fact: DataFrame
     equipment: DataFrame
     modes: DataFrame
+    # ids per block for windows over the fact; looked up in the data when unknown
+    span: int | None = None
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
@@ -40,6 +42,7 @@ class Star:
             warehouse.read(FACT_TABLE),
             warehouse.read(EQUIPMENT_TABLE),
             warehouse.read(FAILURE_MODE_TABLE),
+            span_for(warehouse.id_range(FACT_TABLE)),
         )
 
     def joined(self, fact: DataFrame | None = None) -> DataFrame:
@@ -96,7 +99,7 @@ def anomaly_features(star: Star, span=None, plain: bool = False) -> DataFrame:
             _rolling_sums,
             FRAME_PRECEDING,
             inputs=["torque_nm", "mechanical_power_kw"],
-            span=block_span(star.fact, "udi") if span is None else span,
+            span=star.span if span is None else span,
         )
     torque = RollingStats.of("torque_nm")
     power = RollingStats.of("mechanical_power_kw")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import features
+from gaugeworks.operators.blocks import span_for
 from gaugeworks.operators.ordinal import global_ordinal, key_ordinal
 from gaugeworks.operators.upsert import resolve_duplicates, upsert
 from gaugeworks.schemas import (
@@ -20,7 +21,7 @@ from gaugeworks.schemas import (
     FAILURE_MODE_TABLE,
     STAGING_TABLE,
 )
-from gaugeworks.session import literal_rows, written
+from gaugeworks.session import landed, literal_rows
 from gaugeworks.sources.tables import Warehouse
 
 
@@ -128,22 +129,25 @@ def build_fact(
 KEYS_PER_LOAD = 1 << 40
 
 
-def merge_fact(existing: DataFrame | None, rows: DataFrame, load: int) -> DataFrame:
+def merge_fact(
+    existing: DataFrame | None,
+    rows: DataFrame,
+    load: int,
+    span: int | None = None,
+) -> DataFrame:
     """Fact rows merged by ``udi``; known rows keep their key, new ones get larger.
 
-    ``load`` counts the loads of the table from 1. Each has its own range of keys, so
+    ``span`` is the block width for numbering the new rows. ``load`` counts the loads of the table from 1. Each has its own range of keys, so
     the greatest key so far need not be looked up in the whole table.
     """
     first = F.lit((load - 1) * KEYS_PER_LOAD)
     if existing is None:
-        numbered = key_ordinal(rows, "udi", name="_number")
+        numbered = key_ordinal(rows, "udi", name="_number", span=span)
         return numbered.withColumn("telemetry_key", first + F.col("_number")).select(
             *FACT.names
         )
-    # read three times below: numbering, offsets and the merge
-    rows = written(rows, "fact-batch")
     fresh = rows.select("udi").join(existing.select("udi"), "udi", "left_anti")
-    numbers = key_ordinal(fresh, "udi", name="_number").select(
+    numbers = key_ordinal(fresh, "udi", name="_number", span=span).select(
         "udi", (first + F.col("_number")).alias("telemetry_key")
     )
     keyed = rows.join(numbers, "udi", "left")
@@ -180,11 +184,15 @@ def load_star(
     )
     load = warehouse.next_version(FACT_TABLE)
     if warehouse.version(FACT_TABLE) == 0:
-        fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load))
+        span = span_for(warehouse.id_range(STAGING_TABLE))
+        fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load, span))
     else:
         blocks = warehouse.touched_blocks(staging)
-        merged = merge_fact(warehouse.read(FACT_TABLE, blocks), rows, load)
-        fact = warehouse.stage(FACT_TABLE, merged, partial=True)
+        span = span_for(warehouse.range_of(blocks))
+        # read three times: for numbering, offsets and the merge
+        with landed(rows, "fact-batch") as batch:
+            merged = merge_fact(warehouse.read(FACT_TABLE, blocks), batch, load, span)
+            fact = warehouse.stage(FACT_TABLE, merged, partial=True)
     warehouse.publish(modes, equipment, fact)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,16 +53,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/gaugeworks/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Cut the lineage of ``df`` with a Parquet table in the shared folder.
 
     Later readers get column pruning and survive the loss of any executor.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def landed(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``written`` for the length of a load; its table is dropped afterwards."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        yield written(df, label, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def literal_rows(
     spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType
 ) -> DataFrame:

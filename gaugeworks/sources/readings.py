@@ -17,7 +17,7 @@ from gaugeworks.schemas import (
     READING,
     REJECTS_TABLE,
 )
-from gaugeworks.session import written
+from gaugeworks.session import landed
 from gaugeworks.sources.logs import log_ingestion
 from gaugeworks.sources.tables import STORED_SPAN, Warehouse
 
@@ -135,11 +135,12 @@ def load_raw(
 ) -> None:
     """Merge stamped readings into the raw table by ``udi``."""
     batch = resolve_duplicates(batch, ["udi"], duplicates, order_by)
+    blocks = warehouse.touched_blocks(batch)
     if warehouse.version(RAW_TABLE) == 0:
         warehouse.replace(RAW_TABLE, batch)
         return
     merged = upsert(
-        warehouse.read(RAW_TABLE, warehouse.touched_blocks(batch)),
+        warehouse.read(RAW_TABLE, blocks),
         batch,
         ["udi"],
         update_cols,
@@ -184,29 +185,29 @@ def ingest_batch(
         ),
         RAW_COLUMN_MAP | {_ORDER: _ORDER},
     )
-    landed = written(cast_readings(text), "landing")
-    rows = landed.count()
-    log_ingestion(warehouse, batch_id, source, rows, "IN_PROGRESS", now)
-    try:
-        fitting = _without_rejects(warehouse, landed, batch_id, on_reject)
-        load_raw(
-            warehouse,
-            add_lineage(fitting, source, batch_id, now),
-            update_cols,
-            duplicates,
-            _ORDER,
-        )
-    except Exception as error:
-        log_ingestion(warehouse, batch_id, source, rows, "FAILED", now, str(error))
-        raise
-    log_ingestion(warehouse, batch_id, source, rows, "SUCCESS", now)
+    with landed(cast_readings(text), "landing") as typed:
+        rows = typed.count()
+        log_ingestion(warehouse, batch_id, source, rows, "IN_PROGRESS", now)
+        try:
+            fitting = _without_rejects(warehouse, typed, batch_id, on_reject)
+            load_raw(
+                warehouse,
+                add_lineage(fitting, source, batch_id, now),
+                update_cols,
+                duplicates,
+                _ORDER,
+            )
+        except Exception as error:
+            log_ingestion(warehouse, batch_id, source, rows, "FAILED", now, str(error))
+            raise
+        log_ingestion(warehouse, batch_id, source, rows, "SUCCESS", now)
     return batch_id
 
 
 def _without_rejects(
-    warehouse: Warehouse, landed: DataFrame, batch_id: str, on_reject: str
+    warehouse: Warehouse, typed: DataFrame, batch_id: str, on_reject: str
 ) -> DataFrame:
-    rejected = landed.filter(F.col("reject_reason").isNotNull())
+    rejected = typed.filter(F.col("reject_reason").isNotNull())
     if on_reject == "raise":
         shown = [row.reject_reason for row in rejected.select("reject_reason").take(3)]
         if shown:
@@ -222,6 +223,6 @@ def _without_rejects(
         )
     else:
         raise ValueError(f"on_reject must be raise or quarantine, not {on_reject!r}")
-    return landed.filter(F.col("reject_reason").isNull()).drop(
+    return typed.filter(F.col("reject_reason").isNull()).drop(
         "reject_reason", "source_row"
     )

@@ -18,7 +18,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.blocks import block_of
+from gaugeworks.operators.blocks import MAX_BLOCKS, block_of
 from gaugeworks.schemas import APPEND_ONLY, BLOCKED, TABLES
 from gaugeworks.session import literal_rows
 
@@ -66,9 +66,26 @@ class Warehouse:
         return max(self._versions(table), default=0) + 1
 
     def touched_blocks(self, batch: DataFrame, key: str = "udi") -> list[int]:
-        """Blocks that hold the batch's ids: one number per block, however many rows."""
+        """Blocks that hold the batch's ids: one number per block, however many rows.
+
+        Ids too sparse to be stored by block are refused, never cut short.
+        """
         block = block_of(key, self.span).alias("block")
-        return [row.block for row in batch.select(block).distinct().collect()]
+        found = batch.select(block).distinct().take(MAX_BLOCKS + 1)
+        if len(found) > MAX_BLOCKS:
+            raise ValueError(
+                f"ids fall into more than {MAX_BLOCKS} blocks of {self.span};"
+                " give the warehouse a larger span"
+            )
+        return [row.block for row in found]
+
+    def id_range(self, table: str) -> int:
+        """Width of the stored ids' range, rounded to blocks, from folder names alone."""
+        return self.range_of(self._current_blocks(table))
+
+    def range_of(self, blocks: Iterable[int]) -> int:
+        blocks = list(blocks)
+        return max(blocks) - min(blocks) + self.span if blocks else 0
 
     def stage(
         self, table: str, df: DataFrame, partial: bool = False
@@ -128,26 +145,30 @@ class Warehouse:
         )
 
     def _block_paths(self, table: str, blocks: Iterable[int] | None) -> list[str]:
+        if blocks is not None:
+            wanted = set(blocks)
+            current = self._current_blocks(table)
+            return [path for block, path in current.items() if block in wanted]
+        published = max(self._published(table), default=None)
+        if published and published[1] == _WHOLE:
+            return [self._version_path(table, published[0])]
+        return list(self._current_blocks(table).values())
+
+    def _current_blocks(self, table: str) -> dict[int, str]:
         """Where each current block lies: in the newest version that has it."""
-        wanted = None if blocks is None else set(blocks)
         newest: dict[int, str] = {}
-        whole = None
         for number, kind in sorted(self._published(table), reverse=True):
             path = self._version_path(table, number)
-            if kind == _WHOLE and not newest and wanted is None:
-                whole = path
-                break
             for name in self._names(path):
                 column, _, block = name.partition("=")
                 if not block:
                     continue
                 if column != self._block:
                     raise ValueError(f"{path} is cut by {column}, not by {self._block}")
-                if wanted is None or int(block) in wanted:
-                    newest.setdefault(int(block), f"{path}/{name}")
+                newest.setdefault(int(block), f"{path}/{name}")
             if kind == _WHOLE:
                 break
-        return [whole] if whole else list(newest.values())
+        return newest
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"

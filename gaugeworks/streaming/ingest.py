@@ -17,7 +17,7 @@ from gaugeworks.sources.readings import (
     load_raw,
     rename_columns,
 )
-from gaugeworks.session import written
+from gaugeworks.session import landed
 from gaugeworks.sources.tables import Warehouse
 
 CSV_SCHEMA = T.StructType(
@@ -60,15 +60,15 @@ def ingest_stream(
             *[F.col(f.name).cast("string").alias(f.name) for f in READING],
             *[c for c in batch.columns if c not in READING.names],
         )
-        landed = written(cast_readings(text), "stream")
-        fitting = _without_rejects(warehouse, landed, batch_id, on_reject)
-        load_raw(
-            warehouse,
-            add_lineage(fitting, label, batch_id, now),
-            RELOAD_COLUMNS,
-            duplicates,
-            order_by,
-        )
+        with landed(cast_readings(text), "stream") as typed:
+            fitting = _without_rejects(warehouse, typed, batch_id, on_reject)
+            load_raw(
+                warehouse,
+                add_lineage(fitting, label, batch_id, now),
+                RELOAD_COLUMNS,
+                duplicates,
+                order_by,
+            )
 
     query = (
         source.writeStream.foreachBatch(merge)
