@@ -14,7 +14,7 @@ from gaugeworks.plans.quality import as_log_rows, standard_checks, tables_of
 from gaugeworks.plans.staging import load_staging
 from gaugeworks.plans.star import load_star
 from gaugeworks.schemas import RAW, RAW_TABLE
-from gaugeworks.session import scratch_path
+from gaugeworks.session import landed, scratch_path
 from gaugeworks.sources.events import readings_from_events
 from gaugeworks.sources.logs import log_ingestion
 from gaugeworks.sources.readings import add_lineage, load_raw
@@ -65,7 +65,8 @@ def load(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     rows = events(spark, sf_dir).count()
     log_ingestion(warehouse, BATCH, SOURCE, rows, "IN_PROGRESS", LOADED_AT)
-    load_raw(warehouse, raw_batch(spark, sf_dir))
+    with landed(raw_batch(spark, sf_dir), "landing") as batch:
+        load_raw(warehouse, batch)
     log_ingestion(warehouse, BATCH, SOURCE, rows, "SUCCESS", LOADED_AT)
     load_staging(warehouse, LOADED_AT)
     load_star(warehouse, LOADED_AT)

@@ -16,7 +16,12 @@ from gaugeworks.plans import adhoc, analytics, summary
 from gaugeworks.plans import quality as gate
 from gaugeworks.plans.runner import materialize_features, run_load
 from gaugeworks.plans.staging import to_staging
-from gaugeworks.plans.star import build_dim_equipment, build_fact, merge_fact
+from gaugeworks.plans.star import (
+    build_dim_equipment,
+    build_fact,
+    equipment_rows,
+    merge_fact,
+)
 from gaugeworks.schemas import (
     CHECK_LOG_TABLE,
     EQUIPMENT_TABLE,
@@ -224,8 +229,10 @@ def equipment_reload(spark, sf_dir):
     staging = fx.warehouse(spark, sf_dir).read(STAGING_TABLE)
     empty = Warehouse(spark, scratch_path(spark, "empty")).read(EQUIPMENT_TABLE)
     noted = staging.filter("failure_mode = 'Unclassified Failure'")
-    first = written(build_dim_equipment(noted, empty, fx.LOADED_AT), "equipment")
-    second = written(build_dim_equipment(staging, first, fx.RELOADED_AT), "equipment")
+    first = build_dim_equipment(equipment_rows(noted), empty, fx.LOADED_AT)
+    first = written(first, "equipment")
+    second = build_dim_equipment(equipment_rows(staging), first, fx.RELOADED_AT)
+    second = written(second, "equipment")
     old = first.select("product_id", F.col("equipment_key").alias("_old_key"))
     top = first.agg(F.max("equipment_key").alias("top")).scalar()
     return second.join(old, "product_id", "left").select(

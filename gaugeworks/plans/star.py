@@ -53,15 +53,15 @@ def assign_keys(fresh: DataFrame, natural_key: str, key: str, top: int) -> DataF
 
 
 def build_dim_equipment(
-    staging: DataFrame, existing: DataFrame, now: datetime
+    found: DataFrame, existing: DataFrame, now: datetime
 ) -> DataFrame:
-    """The equipment dimension after a load.
+    """The equipment dimension after a load of ``found`` equipment.
 
     Known products get the new grade and update time and keep key, type and creation
     time; new products get keys above all existing ones. A product that shows up with
     two types is refused.
     """
-    found = resolve_duplicates(equipment_rows(staging), ["product_id"], "error")
+    found = resolve_duplicates(found, ["product_id"], "error")
     instant = F.lit(now).cast("timestamp")
     fresh = found.join(existing.select("product_id"), "product_id", "left_anti")
     top = existing.agg(F.coalesce(F.max("equipment_key"), F.lit(0))).first()[0]
@@ -125,7 +125,7 @@ def build_fact(
     )
 
 
-# Keys given out per load; a load numbers its new rows from 1 within its own range.
+# Every load of the fact has its own range of keys, above those of earlier loads.
 KEYS_PER_LOAD = 1 << 40
 
 
@@ -133,27 +133,27 @@ def merge_fact(
     existing: DataFrame | None,
     rows: DataFrame,
     load: int,
-    span: int | None = None,
+    low: int = 0,
+    width: int = KEYS_PER_LOAD,
 ) -> DataFrame:
     """Fact rows merged by ``udi``; known rows keep their key, new ones get larger.
 
-    ``span`` is the block width for numbering the new rows. ``load`` counts the loads of the table from 1. Each has its own range of keys, so
-    the greatest key so far need not be looked up in the whole table.
+    ``load`` counts the loads from 1, ``low`` and ``width`` bound the ids of this one.
+    Ids are unique, so an id's distance from ``low`` numbers the row within the load's
+    key range: no sort, and no look at the keys given out before. Only a load whose
+    ids spread wider than the range is numbered by counting.
     """
+    if width <= KEYS_PER_LOAD:
+        numbered = rows.withColumn("_number", F.col("udi") - F.lit(low))
+    else:
+        numbered = key_ordinal(rows, "udi", name="_number", span=span_for(width))
     first = F.lit((load - 1) * KEYS_PER_LOAD)
+    keyed = numbered.withColumn("telemetry_key", first + F.col("_number"))
     if existing is None:
-        numbered = key_ordinal(rows, "udi", name="_number", span=span)
-        return numbered.withColumn("telemetry_key", first + F.col("_number")).select(
-            *FACT.names
-        )
-    fresh = rows.select("udi").join(existing.select("udi"), "udi", "left_anti")
-    numbers = key_ordinal(fresh, "udi", name="_number", span=span).select(
-        "udi", (first + F.col("_number")).alias("telemetry_key")
-    )
-    keyed = rows.join(numbers, "udi", "left")
+        return keyed.select(*FACT.names)
     return upsert(
         existing,
-        keyed.select(*FACT.names),
+        keyed,
         ["udi"],
         [c for c in FACT.names if c not in ("telemetry_key", "udi")],
         duplicates="unique",
@@ -175,23 +175,24 @@ def load_star(
         FAILURE_MODE_TABLE,
         seed_failure_modes(warehouse.spark, warehouse.read(FAILURE_MODE_TABLE)),
     )
-    equipment = warehouse.stage(
-        EQUIPMENT_TABLE,
-        build_dim_equipment(staging, warehouse.read(EQUIPMENT_TABLE), now),
-    )
+    with landed(equipment_rows(staging), "equipment") as found:
+        known = warehouse.read(EQUIPMENT_TABLE)
+        equipment = warehouse.stage(
+            EQUIPMENT_TABLE, build_dim_equipment(found, known, now)
+        )
     rows = build_fact(
         staging, warehouse.read_staged(equipment), warehouse.read_staged(modes), now
     )
+
     load = warehouse.next_version(FACT_TABLE)
+    blocks = warehouse.touched_blocks(staging)
+    bounds = min(blocks, default=0), warehouse.range_of(blocks)
     if warehouse.version(FACT_TABLE) == 0:
-        span = span_for(warehouse.id_range(STAGING_TABLE))
-        fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load, span))
+        fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load, *bounds))
     else:
-        blocks = warehouse.touched_blocks(staging)
-        span = span_for(warehouse.range_of(blocks))
-        # read three times: for numbering, offsets and the merge
         with landed(rows, "fact-batch") as batch:
-            merged = merge_fact(warehouse.read(FACT_TABLE, blocks), batch, load, span)
+            target = warehouse.read(FACT_TABLE, blocks)
+            merged = merge_fact(target, batch, load, *bounds)
             fact = warehouse.stage(FACT_TABLE, merged, partial=True)
     warehouse.publish(modes, equipment, fact)
 

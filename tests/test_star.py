@@ -8,7 +8,9 @@ from gaugeworks.plans.staging import MissingValuesError, load_staging, to_stagin
 from gaugeworks.plans.star import (
     KEYS_PER_LOAD,
     build_dim_equipment,
+    equipment_rows,
     load_star,
+    merge_fact,
     seed_failure_modes,
 )
 from gaugeworks.schemas import (
@@ -19,6 +21,7 @@ from gaugeworks.schemas import (
     STAGING_TABLE,
 )
 from gaugeworks.sources.readings import load_raw
+from pyspark.sql import functions as F
 
 
 def keys(frame, natural, key):
@@ -49,13 +52,13 @@ def test_new_products_get_larger_keys(loaded, warehouse, raw):
     assert before == {"L5": 1, "L9": 2}
     assert after == {"L5": 1, "L9": 2, "L1": 3}
     fact = keys(warehouse.read(FACT_TABLE), "udi", "telemetry_key")
-    assert fact == {1: 1, 2: 2, 3: KEYS_PER_LOAD + 1}
+    assert fact == {1: 1, 2: 2, 3: KEYS_PER_LOAD + 3}
 
 
 def test_changed_type_changes_the_grade_only(warehouse, raw):
-    staging = to_staging(raw([reading()]), NOW)
+    staging = equipment_rows(to_staging(raw([reading()]), NOW))
     existing = build_dim_equipment(staging, warehouse.read(EQUIPMENT_TABLE), NOW)
-    changed = to_staging(raw([reading(product_type="H")]), LATER)
+    changed = equipment_rows(to_staging(raw([reading(product_type="H")]), LATER))
     row = build_dim_equipment(changed, existing, LATER).first()
     assert row.product_type == "L" and row.quality_grade == "High (20% variant)"
     assert row.created_at == NOW and row.updated_at == LATER
@@ -77,6 +80,7 @@ def test_staging_reload_keeps_identity(loaded, warehouse, raw):
 
 def test_product_with_two_types_is_refused(warehouse, raw):
     staging = to_staging(raw([reading(udi=1), reading(udi=2, product_type="H")]), NOW)
+    staging = equipment_rows(staging)
     with pytest.raises(DuplicateKeyError):
         build_dim_equipment(staging, warehouse.read(EQUIPMENT_TABLE), NOW)
 
@@ -142,3 +146,11 @@ def test_failed_star_load_leaves_everything_as_it_was(loaded, warehouse, raw, mo
         load_star(warehouse, LATER)
     assert warehouse.read(EQUIPMENT_TABLE).count() == 1
     assert warehouse.read(FACT_TABLE).count() == 1
+
+
+def test_ids_wider_than_the_key_range_are_numbered(spark, loaded, warehouse):
+    loaded([reading(udi=u) for u in (1, 70, 140)])
+    rows = warehouse.read(FACT_TABLE).withColumn("udi", (F.col("udi") + 1) * 2**40)
+    merged = merge_fact(None, rows, load=3, low=0, width=2**62)
+    found = sorted(keys(merged, "udi", "telemetry_key").values())
+    assert found == [2 * KEYS_PER_LOAD + n for n in (1, 2, 3)]
