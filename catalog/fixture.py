@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +23,10 @@ from gaugeworks.sources.tables import Warehouse
 SOURCE = "events.parquet"
 BATCH = "batch_20240101_000000_aaaaaa"
 NEXT_BATCH = "batch_20240102_000000_bbbbbb"
-LOADED_AT = datetime(2024, 1, 1, 0, 0, 0)
-RELOADED_AT = datetime(2024, 1, 2, 0, 0, 0)
-FIRST_RUN = datetime(2024, 1, 1, 6, 0, 0)
-SECOND_RUN = datetime(2024, 1, 1, 6, 10, 0)
+LOADED_AT = datetime(2024, 1, 1, 0, 0, 0, tzinfo=UTC)
+RELOADED_AT = datetime(2024, 1, 2, 0, 0, 0, tzinfo=UTC)
+FIRST_RUN = datetime(2024, 1, 1, 6, 0, 0, tzinfo=UTC)
+SECOND_RUN = datetime(2024, 1, 1, 6, 10, 0, tzinfo=UTC)
 
 _loaded: dict[tuple[str, str], Warehouse] = {}
 
@@ -109,7 +109,8 @@ def comparable(df: DataFrame) -> DataFrame:
             column = column.cast("double")
         elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
             column = column.cast("bigint")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(kind, T.TimestampType):
+            utc = F.to_utc_timestamp(column, F.current_timezone())
+            column = F.date_format(utc, "yyyy-MM-dd HH:mm:ss")
         columns.append(column.alias(field.name))
     return df.select(*columns)

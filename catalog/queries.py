@@ -35,11 +35,14 @@ from gaugeworks.schemas import (
     STAGING_TABLE,
 )
 from gaugeworks.session import scratch_path, written
+from gaugeworks.sources.events import readings_from_events
 from gaugeworks.sources.logs import latest_ingestion
 from gaugeworks.sources.readings import (
+    FILE_ORDER,
     RELOAD_COLUMNS,
     add_lineage,
     cast_readings,
+    file_order,
     ingest_batch,
     rename_columns,
 )
@@ -95,11 +98,13 @@ def ingest_csv(spark, sf_dir):
 @_query
 def stream_ingest(spark, sf_dir):
     # a stream needs a folder; the file's name selects it within its folder
-    source = fx.readings_from_events(
+    arrived = (
         spark.readStream.schema(fx.events(spark, sf_dir).schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
+        .select("*", file_order().alias(FILE_ORDER))
     )
+    source = readings_from_events(arrived, FILE_ORDER)
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     checkpoint = scratch_path(spark, "stream")
     ingest_stream(source, warehouse, checkpoint, "arrivals", fx.LOADED_AT)

@@ -211,14 +211,14 @@ def check_read_only(sql: str) -> str:
     bare = _LITERALS_AND_COMMENTS.sub(" ", statement)
     if ";" in bare:
         raise ReadOnlyViolation("only one statement is allowed")
-    words = re.findall(r"[A-Za-z_][A-Za-z_0-9]*(?=\s*\()|[A-Za-z_][A-Za-z_0-9]*", bare)
-    first = words[0].upper() if words else ""
+    words = list(re.finditer(r"[A-Za-z_][A-Za-z_0-9]*", bare))
+    first = words[0].group().upper() if words else ""
     if first not in _READ:
         raise ReadOnlyViolation(f"a query must start with one of {sorted(_READ)}")
-    for match in re.finditer(r"[A-Za-z_][A-Za-z_0-9]*", bare):
+    for match in words:
         word = match.group().upper()
         called = bare[match.end() :].lstrip().startswith("(")
-        if word in _WRITE and not called:
+        if word in _WRITE and not (word == "REPLACE" and called):
             raise ReadOnlyViolation(f"{word} is not permitted in a read-only query")
     return statement
 

@@ -13,9 +13,10 @@ _MODULUS = {"twf": 97, "hdf": 43, "pwf": 53, "osf": 61, "rnf": 89}
 _FAILING = [43, 53, 61, 97, 211]
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
-    """The fourteen reading columns of every event."""
+def readings_from_events(events: DataFrame, *keep: str) -> DataFrame:
+    """The fourteen reading columns of every event, and the columns to ``keep``."""
     prepared = events.selectExpr(
+        *keep,
         "event_id",
         "user_id",
         "value",
@@ -39,4 +40,5 @@ def readings_from_events(events: DataFrame) -> DataFrame:
             f"CASE WHEN event_id % {m} = 0 THEN 1 ELSE 0 END AS {flag}"
             for flag, m in _MODULUS.items()
         ],
+        *keep,
     )

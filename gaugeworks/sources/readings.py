@@ -40,7 +40,8 @@ RELOAD_COLUMNS = [
     "ingested_at",
 ]
 
-_ORDER = "_file_order"
+FILE_ORDER = "_file_order"
+ROW_ORDER = "_row_order"
 
 
 class RejectedRowsError(ValueError):
@@ -149,61 +150,81 @@ def load_raw(
     warehouse.replace(RAW_TABLE, merged, partial=True)
 
 
-def ingest_batch(
-    spark: SparkSession,
-    path: str,
-    root: str,
-    batch_id: str | None = None,
-    now: datetime | None = None,
+def load_batch(
+    warehouse: Warehouse,
+    text: DataFrame,
+    source: str,
+    batch_id: str,
+    now: datetime,
     on_reject: str = "raise",
     duplicates: str = "error",
+    order_by: str | None = None,
     update_cols=RELOAD_COLUMNS,
-    span: int = STORED_SPAN,
-) -> str:
-    """Load one CSV as an audited batch and return its id.
+) -> None:
+    """Load text columns named as readings, as one audited batch.
 
-    The file is parsed once, into a Parquet table in the shared folder; counting,
+    The text is parsed once, into a Parquet table in the shared folder; counting,
     checking and merging read that. A failing load leaves the raw table as it was and
     is logged with its message. ``on_reject="quarantine"`` sets rows aside that do not
     fit the schema instead of failing the batch.
     """
-    warehouse = Warehouse(spark, root, span)
-    if not warehouse.exists(path):
-        raise FileNotFoundError(f"no source file at {path}")
-    now = now or datetime.now(UTC)
-    batch_id = batch_id or new_batch_id(now)
-    source = path.rstrip("/").rsplit("/", 1)[-1]
-
-    text = rename_columns(
-        read_sensor_csv(spark, path).select(
-            "*",
-            F.struct(
-                "_metadata.file_path",
-                "_metadata.file_block_start",
-                F.monotonically_increasing_id().alias("row"),
-            ).alias(_ORDER),
-        ),
-        RAW_COLUMN_MAP | {_ORDER: _ORDER},
-    )
     with landed(cast_readings(text), "landing") as typed:
         rows = typed.count()
         log_ingestion(warehouse, batch_id, source, rows, "IN_PROGRESS", now)
         try:
             fitting = _without_rejects(warehouse, typed, batch_id, on_reject)
-            load_raw(
-                warehouse,
-                add_lineage(fitting, source, batch_id, now),
-                update_cols,
-                duplicates,
-                _ORDER,
-            )
+            stamped = add_lineage(fitting, source, batch_id, now)
+            load_raw(warehouse, stamped, update_cols, duplicates, order_by)
         except Exception as error:
             log_ingestion(warehouse, batch_id, source, rows, "FAILED", now, str(error))
             raise
         log_ingestion(warehouse, batch_id, source, rows, "SUCCESS", now)
+
+
+def ingest_batch(
+    spark: SparkSession,
+    path: str,
+    root: str,
+    batch_id: str | None = None,
+    now: datetime | None = None,
+    span: int = STORED_SPAN,
+    **options,
+) -> str:
+    """Load one CSV file, or a folder of them, as a batch and return its id.
+
+    ``options`` are those of ``load_batch``. Where ``duplicates="last"`` is chosen, the
+    line further down wins.
+    """
+    warehouse = Warehouse(spark, root, span)
+    if not warehouse.exists(path):
+        raise FileNotFoundError(f"no source file at {path}")
+    now = now or datetime.now(UTC)
+    batch_id = batch_id or new_batch_id(now)
+    text = read_sensor_csv(spark, path).select("*", file_order().alias(FILE_ORDER))
+    text = rename_columns(text, RAW_COLUMN_MAP | {FILE_ORDER: FILE_ORDER})
+    placed = text.withColumn(ROW_ORDER, row_order())
+    source = path.rstrip("/").rsplit("/", 1)[-1]
+    load_batch(
+        warehouse, placed, source, batch_id, now, order_by=ROW_ORDER, **options
+    )
     return batch_id
 
 
+def file_order() -> Column:
+    """Where a row's file part stands among all file parts."""
+    return F.struct(
+        "_metadata.file_modification_time",
+        "_metadata.file_path",
+        "_metadata.file_block_start",
+    )
+
+
+def row_order() -> Column:
+    """Where a row stands in arrival order; needs ``file_order`` in its column."""
+    place = F.monotonically_increasing_id().alias("place")
+    return F.struct(F.col(FILE_ORDER).alias("file"), place)
+
+
 def _without_rejects(
     warehouse: Warehouse, typed: DataFrame, batch_id: str, on_reject: str
 ) -> DataFrame:

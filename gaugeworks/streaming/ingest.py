@@ -10,14 +10,13 @@ from pyspark.sql import types as T
 
 from gaugeworks.schemas import RAW_COLUMN_MAP, READING
 from gaugeworks.sources.readings import (
-    RELOAD_COLUMNS,
-    _without_rejects,
-    add_lineage,
-    cast_readings,
-    load_raw,
+    FILE_ORDER,
+    ROW_ORDER,
+    file_order,
+    load_batch,
     rename_columns,
+    row_order,
 )
-from gaugeworks.session import landed
 from gaugeworks.sources.tables import Warehouse
 
 CSV_SCHEMA = T.StructType(
@@ -26,7 +25,7 @@ CSV_SCHEMA = T.StructType(
 
 
 def csv_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """New sensor CSV files of a folder, as text columns."""
+    """New sensor CSV files of a folder, as text columns in arrival order."""
     text = (
         spark.readStream.schema(CSV_SCHEMA)
         .option("header", True)
@@ -34,7 +33,8 @@ def csv_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) ->
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
-    return rename_columns(text, RAW_COLUMN_MAP)
+    text = text.select("*", file_order().alias(FILE_ORDER))
+    return rename_columns(text, RAW_COLUMN_MAP | {FILE_ORDER: FILE_ORDER})
 
 
 def ingest_stream(
@@ -45,30 +45,30 @@ def ingest_stream(
     now: datetime,
     on_reject: str = "raise",
     duplicates: str = "last",
-    order_by: str = "udi",
 ) -> None:
     """Load everything that has arrived, then stop.
 
-    ``source`` is a stream of reading columns, as text or typed. Each micro-batch is
-    one merge into the raw table. Its id comes from the stream's own batch number, and
-    merging a batch twice changes nothing, so a restart after a lost driver is safe.
+    ``source`` is a stream of reading columns, as text or typed, with the file order
+    that ``csv_stream`` adds. Each micro-batch is one audited batch. Its id comes from
+    the stream's own batch number, and merging a batch twice changes nothing, so a
+    restart after a lost driver is safe. Of an id that arrives twice in one
+    micro-batch, the later file's row wins.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        batch_id = f"{label}_{number:09d}"
         text = batch.select(
-            *[F.col(f.name).cast("string").alias(f.name) for f in READING],
-            *[c for c in batch.columns if c not in READING.names],
+            *[F.col(f.name).cast("string").alias(f.name) for f in READING], FILE_ORDER
+        ).withColumn(ROW_ORDER, row_order())
+        load_batch(
+            warehouse,
+            text,
+            label,
+            f"{label}_{number:09d}",
+            now,
+            on_reject,
+            duplicates,
+            ROW_ORDER,
         )
-        with landed(cast_readings(text), "stream") as typed:
-            fitting = _without_rejects(warehouse, typed, batch_id, on_reject)
-            load_raw(
-                warehouse,
-                add_lineage(fitting, label, batch_id, now),
-                RELOAD_COLUMNS,
-                duplicates,
-                order_by,
-            )
 
     query = (
         source.writeStream.foreachBatch(merge)

@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal
 
 import pytest
@@ -143,7 +144,19 @@ def test_stream_takes_what_has_arrived(warehouse, csv, tmp_path, spark):
     rows = {r.udi: r for r in warehouse.read(RAW_TABLE).collect()}
     assert sorted(rows) == [1, 2, 3]
     assert rows[2].torque_nm == Decimal("50.00") and rows[2].batch_id.endswith("1")
+    assert {r.status for r in states(warehouse).values()} == {"SUCCESS"}
+    assert len(states(warehouse)) == 2
     # nothing new: nothing changes
     before = warehouse.version(RAW_TABLE)
     ingest_stream(csv_stream(spark, folder), warehouse, checkpoint, "arrivals", LATER)
     assert warehouse.version(RAW_TABLE) == before
+
+
+def test_stream_keeps_the_later_file(warehouse, csv, tmp_path, spark):
+    (tmp_path / "in").mkdir()
+    for place, torque in enumerate(["10.0", "30.0", "20.0"]):
+        path = csv(line(1, torque), name=f"in/{9 - place}.csv")
+        os.utime(path, (1_700_000_000 + place, 1_700_000_000 + place))
+    stream = csv_stream(spark, str(tmp_path / "in"))
+    ingest_stream(stream, warehouse, str(tmp_path / "checkpoint"), "a", NOW)
+    assert warehouse.read(RAW_TABLE).first().torque_nm == Decimal("20.00")
