@@ -42,7 +42,7 @@ class Star:
             warehouse.read(FACT_TABLE),
             warehouse.read(EQUIPMENT_TABLE),
             warehouse.read(FAILURE_MODE_TABLE),
-            span_for(warehouse.id_range(FACT_TABLE)),
+            span_for(warehouse.range_of(warehouse.blocks(FACT_TABLE))),
         )
 
     def joined(self, fact: DataFrame | None = None) -> DataFrame:

@@ -75,8 +75,11 @@ def load_staging(
     from a full run and the cost follows the batch, not the table.
     """
     raw = warehouse.read(RAW_TABLE)
-    if batch_id is not None:
+    if batch_id is None:
+        blocks = warehouse.blocks(RAW_TABLE)
+    else:
         raw = raw.filter(F.col("batch_id") == batch_id)
+        blocks = warehouse.touched_blocks(raw)
     projected = to_staging(raw, now)
     if on_missing == "raise":
         if not projected.filter(incomplete(projected)).isEmpty():
@@ -92,7 +95,7 @@ def load_staging(
         return
     # raw is keyed by udi, so the projection cannot repeat a key
     merged = upsert(
-        warehouse.read(STAGING_TABLE, warehouse.touched_blocks(projected)),
+        warehouse.read(STAGING_TABLE, blocks),
         projected,
         ["udi"],
         RELOAD_COLUMNS,

@@ -168,8 +168,11 @@ def load_star(
     With ``batch_id`` only that batch's staging rows are loaded.
     """
     staging = warehouse.read(STAGING_TABLE)
-    if batch_id is not None:
+    if batch_id is None:
+        blocks = warehouse.blocks(STAGING_TABLE)
+    else:
         staging = staging.filter(F.col("batch_id") == batch_id)
+        blocks = warehouse.touched_blocks(staging)
 
     modes = warehouse.stage(
         FAILURE_MODE_TABLE,
@@ -185,7 +188,6 @@ def load_star(
     )
 
     load = warehouse.next_version(FACT_TABLE)
-    blocks = warehouse.touched_blocks(staging)
     bounds = min(blocks, default=0), warehouse.range_of(blocks)
     if warehouse.version(FACT_TABLE) == 0:
         fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load, *bounds))

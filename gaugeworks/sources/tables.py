@@ -79,11 +79,12 @@ class Warehouse:
             )
         return [row.block for row in found]
 
-    def id_range(self, table: str) -> int:
-        """Width of the stored ids' range, rounded to blocks, from folder names alone."""
-        return self.range_of(self._current_blocks(table))
+    def blocks(self, table: str) -> list[int]:
+        """Blocks the table currently has, from folder names alone."""
+        return list(self._current_blocks(table))
 
     def range_of(self, blocks: Iterable[int]) -> int:
+        """Width of the id range that the blocks span."""
         blocks = list(blocks)
         return max(blocks) - min(blocks) + self.span if blocks else 0
 
