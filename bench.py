@@ -81,7 +81,7 @@ def main() -> None:
                 "value": round(total, 3),
                 "unit": "sec",
                 "queries": {name: round(seconds, 3) for name, seconds in times.items()},
-                "sf": Path(SF_DIR).name.removeprefix("sf"),
+                "sf": float(Path(SF_DIR).name.removeprefix("sf")),
                 "readings": star.fact.count(),
                 "cpus": CPUS,
             }

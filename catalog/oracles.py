@@ -678,8 +678,8 @@ known AS (SELECT rpm, CASE WHEN torque_c <= 10000 THEN torque_c END AS torque FR
         ),
         "last_ingestion": _q(
             _RAW,
-            f"""SELECT '{BATCH}' AS batch_id, 'SUCCESS' AS status, count(*) AS row_count,
-              '{LOADED_AT}' AS ingested_at FROM raw""",
+            f"""SELECT '{NEXT_BATCH}' AS batch_id, 'SUCCESS' AS status,
+              count(*) AS row_count, '{RELOADED_AT}' AS ingested_at FROM raw""",
         ),
         "search_readings": _q(
             _STAR,

@@ -87,7 +87,7 @@ class ReferenceCheck:
 
 @dataclass(frozen=True)
 class UniqueCheck:
-    """No key occurs twice."""
+    """No key occurs twice; a missing key repeats nothing."""
 
     table: str
     column: str
@@ -99,6 +99,7 @@ class UniqueCheck:
     def result(self, tables: Mapping[str, DataFrame], position: int) -> DataFrame:
         repeated = (
             tables[self.table]
+            .filter(F.col(self.column).isNotNull())
             .groupBy(self.column)
             .agg(F.count("*").alias("n"))
             .filter("n > 1")

@@ -91,7 +91,7 @@ def load_staging(
         raise ValueError(f"on_missing must be raise or quarantine, not {on_missing!r}")
 
     if warehouse.version(STAGING_TABLE) == 0:
-        warehouse.replace(STAGING_TABLE, projected)
+        warehouse.replace(STAGING_TABLE, projected, clustered=True)
         return
     # raw is keyed by udi, so the projection cannot repeat a key
     merged = upsert(

@@ -89,19 +89,26 @@ class Warehouse:
         return max(blocks) - min(blocks) + self.span if blocks else 0
 
     def stage(
-        self, table: str, df: DataFrame, partial: bool = False
+        self,
+        table: str,
+        df: DataFrame,
+        partial: bool = False,
+        clustered: bool = False,
     ) -> tuple[str, int, str]:
         """Write ``df`` as the next version without publishing it.
 
         A partial version has all rows of the blocks it holds, and no other block.
+        ``clustered`` says that each task already has rows of few blocks, as in a
+        projection of another table stored by block; such rows are not shuffled.
         """
         number = self.next_version(table)
         shaped = self._shaped(table, df)
         path = self._version_path(table, number)
         if table in BLOCKED:
-            # tasks write whole blocks; adaptive execution evens out their sizes
             placed = shaped.withColumn(self._block, block_of("udi", self.span))
-            placed = placed.hint("rebalance", self._block)
+            if not clustered:
+                # one block's rows meet; adaptive execution evens out file sizes
+                placed = placed.hint("rebalance", self._block)
             placed.write.partitionBy(self._block).parquet(path)
         elif partial:
             raise ValueError(f"{table} is not stored by block")
@@ -115,8 +122,8 @@ class Warehouse:
             marker = self._path(f"{self._version_path(table, number)}/{kind}")
             self._fs(marker).create(marker, True).close()
 
-    def replace(self, table: str, df: DataFrame, partial: bool = False) -> None:
-        self.publish(self.stage(table, df, partial))
+    def replace(self, table: str, df: DataFrame, **how: bool) -> None:
+        self.publish(self.stage(table, df, **how))
 
     def append(self, table: str, df: DataFrame) -> None:
         if table not in APPEND_ONLY:

@@ -3,15 +3,30 @@
 import re
 
 import pytest
-from conftest import reading
+from conftest import NOW, raw_frame, reading
 from gaugeworks.operators.quality import orphan_count
 from gaugeworks.plans import analytics
 from gaugeworks.plans.analytics import Star
+from gaugeworks.plans.staging import load_staging, to_staging
+from gaugeworks.plans.star import load_star
+from gaugeworks.schemas import RAW_TABLE
+from gaugeworks.sources.readings import load_raw
+from gaugeworks.sources.tables import Warehouse
+
+
+@pytest.fixture(scope="module")
+def warehouse(spark, tmp_path_factory):
+    warehouse = Warehouse(spark, str(tmp_path_factory.mktemp("plans")), span=64)
+    readings = [reading(udi=u, machine_failure=u % 2) for u in range(1, 20)]
+    load_raw(warehouse, raw_frame(spark, readings))
+    load_staging(warehouse, NOW)
+    load_star(warehouse, NOW)
+    return warehouse
 
 
 @pytest.fixture
-def star(loaded):
-    return Star.of(loaded([reading(udi=u, machine_failure=u % 2) for u in range(1, 20)]))
+def star(warehouse):
+    return Star.of(warehouse)
 
 
 def plan(df) -> str:
@@ -65,3 +80,7 @@ def test_root_cause_reads_failures_and_few_columns(star):
     assert "rotational_speed_rpm" not in schema[1] and "udi" not in schema[1]
     # aggregated by key below the first dimension join
     assert re.search(r"Join.*\n(.*\n)*.*HashAggregate\(keys=\[equipment_key", text)
+
+
+def test_staging_is_one_narrow_stage(warehouse):
+    assert "Exchange" not in plan(to_staging(warehouse.read(RAW_TABLE), NOW))

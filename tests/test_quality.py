@@ -71,7 +71,7 @@ def test_orphans_count_rows_and_nulls(verdicts):
 
 def test_unique_accepted_fits_parity(verdicts):
     unique, accepted, fits, varchar, parity = verdicts(
-        [(1.0, "a"), (2.0, "a"), (99.0, "long"), (None, None)],
+        [(1.0, "a"), (2.0, "a"), (99.0, "long"), (None, None), (None, None)],
         dq.UniqueCheck("t", "s"),
         dq.check_accepted_values("t", "s", ["a", "b"]),
         dq.check_fits_type("t", "v", "decimal(3,2)"),
@@ -82,7 +82,7 @@ def test_unique_accepted_fits_parity(verdicts):
     assert accepted.observed_value == 1
     assert fits.observed_value == 1
     assert varchar.observed_value == 1
-    assert parity.observed_value == 2
+    assert parity.observed_value == 3
 
 
 def test_log_statuses_are_accepted(spark, loaded, warehouse):
