@@ -307,6 +307,16 @@ merged AS (
   FROM raw r FULL OUTER JOIN {updates} u ON r.udi = u.udi)"""
 
 
+_QUINTILES = _q(
+    f"""{_STAR},
+tiled AS (SELECT *, ntile(5) OVER (ORDER BY rpm, udi) AS tile FROM s)""",
+    f"""SELECT CAST(tile AS BIGINT) AS speed_quintile,
+  CAST(min(rpm) AS BIGINT) AS min_rpm, CAST(max(rpm) AS BIGINT) AS max_rpm,
+  count(*) AS total_readings, count(*) FILTER (WHERE is_failure) AS failures_count,
+  {_percent("count(*) FILTER (WHERE is_failure)", "count(*)")} AS failure_rate_pct
+FROM tiled GROUP BY tile ORDER BY tile""",
+)
+
 _STAMPED = f"SELECT {_RAW_COLUMNS}, batch_id, ingested_at FROM"
 
 _PREVIEW_STAGING = f"""udi, product_id, product_type, product_quality_grade, {_MEASURES},
@@ -475,17 +485,8 @@ last_of AS (
               CAST(dense_rank() OVER (ORDER BY strain_c DESC) AS BIGINT) AS risk_rank
             FROM s""",
         ),
-        "speed_quintiles": _q(
-            f"""{_STAR},
-tiled AS (SELECT *, ntile(5) OVER (ORDER BY rpm, udi) AS tile FROM s)""",
-            f"""SELECT CAST(tile AS BIGINT) AS speed_quintile,
-              CAST(min(rpm) AS BIGINT) AS min_rpm, CAST(max(rpm) AS BIGINT) AS max_rpm,
-              count(*) AS total_readings,
-              count(*) FILTER (WHERE is_failure) AS failures_count,
-              {_percent("count(*) FILTER (WHERE is_failure)", "count(*)")}
-              AS failure_rate_pct
-            FROM tiled GROUP BY tile ORDER BY tile""",
-        ),
+        "speed_quintiles": _QUINTILES,
+        "speed_quintiles_by_cells": _QUINTILES,
         "ntile_rows": _q(
             _STAR,
             """SELECT udi, CAST(rpm AS BIGINT) AS rotational_speed_rpm,

@@ -382,6 +382,12 @@ def speed_quintiles(spark, sf_dir):
     return analytics.speed_quintiles(fx.star(spark, sf_dir))
 
 
+@_query
+def speed_quintiles_by_cells(spark, sf_dir):
+    """The same report from few cells at a time, so that several levels are opened."""
+    return analytics.speed_quintiles(fx.star(spark, sf_dir), max_cells=64)
+
+
 @_query
 def ntile_rows(spark, sf_dir):
     rows = fx.star(spark, sf_dir).fact.select("udi", "rotational_speed_rpm")

@@ -20,7 +20,7 @@ from gaugeworks.functions.numeric import (
 )
 from gaugeworks.operators.blocks import span_for
 from gaugeworks.operators.rolling import rolling, rolling_plain
-from gaugeworks.operators.tiles import tile_report
+from gaugeworks.operators.tiles import MAX_CELLS, tile_report
 from gaugeworks.plans.star import star_join
 from gaugeworks.schemas import EQUIPMENT_TABLE, FACT_TABLE, FAILURE_MODE_TABLE
 from gaugeworks.sources.tables import Warehouse
@@ -35,6 +35,8 @@ class Star:
     modes: DataFrame
     # ids per block for windows over the fact; looked up in the data when unknown
     span: int | None = None
+    # the fact is known to fit one task: plain windows are then the fastest
+    small: bool = False
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
@@ -43,6 +45,7 @@ class Star:
             warehouse.read(EQUIPMENT_TABLE),
             warehouse.read(FAILURE_MODE_TABLE),
             span_for(warehouse.range_of(warehouse.blocks(FACT_TABLE))),
+            warehouse.is_small(FACT_TABLE),
         )
 
     def joined(self, fact: DataFrame | None = None) -> DataFrame:
@@ -75,13 +78,20 @@ def _rolling_sums(ordered, framed) -> dict[str, Column]:
     }
 
 
-def anomaly_features(star: Star, span=None, plain: bool = False) -> DataFrame:
+def anomaly_features(
+    star: Star, span: int | None = None, plain: bool | None = None
+) -> DataFrame:
     """Each reading with its rolling torque statistics, step, z-score and flag.
 
     The frame is the reading and the nine before it of the same product type. The
     first reading of a type has step 0; a previous reading without torque gives NULL.
     A frame without variance has no score and is not an anomaly.
+
+    A fact known to be small goes through one plain window per type; any other is cut
+    into blocks of ``span`` ids. The results are the same.
     """
+    if plain is None:
+        plain = star.small and span is None
     # the mode's name is looked up after the windows: its key is what gets shuffled
     carried = [c for c in FEATURE_COLUMNS if c != "failure_mode_name"]
     readings = star.fact.join(star.equipment, "equipment_key").select(
@@ -325,11 +335,39 @@ def stress_top(star: Star, n: int = 10) -> DataFrame:
     )
 
 
-def speed_quintiles(star: Star, tiles: int = 5, **options) -> DataFrame:
-    """Failure rate per speed bucket of equal size; equal speeds go by ``udi``."""
-    report = tile_report(
-        star.fact, tiles, "rotational_speed_rpm", "udi", F.col("is_failure"), **options
-    )
+def speed_quintiles(
+    star: Star, tiles: int = 5, max_cells: int | None = None
+) -> DataFrame:
+    """Failure rate per speed bucket of equal size; equal speeds go by ``udi``.
+
+    A fact known to be small is numbered by a plain window; any other is counted by
+    cells, at most ``max_cells`` at a time. The results are the same.
+    """
+    if star.small and max_cells is None:
+        order = Window.orderBy("rotational_speed_rpm", "udi")
+        report = (
+            star.fact.select(
+                F.ntile(tiles).over(order).alias("tile"),
+                "rotational_speed_rpm",
+                "is_failure",
+            )
+            .groupBy("tile")
+            .agg(
+                F.min("rotational_speed_rpm").alias("min_value"),
+                F.max("rotational_speed_rpm").alias("max_value"),
+                F.count("*").alias("rows"),
+                F.count_if("is_failure").alias("hits"),
+            )
+        )
+    else:
+        report = tile_report(
+            star.fact,
+            tiles,
+            "rotational_speed_rpm",
+            "udi",
+            F.col("is_failure"),
+            max_cells or MAX_CELLS,
+        )
     return report.select(
         F.col("tile").alias("speed_quintile"),
         F.col("min_value").alias("min_rpm"),

@@ -28,6 +28,9 @@ _PARTIAL = "_PARTIAL"
 # Ids per stored block: some ten million rows, a few hundred megabytes of Parquet.
 STORED_SPAN = 1 << 24
 
+# What one task sorts in a second or so; about a million fact rows.
+SMALL_BYTES = 32 << 20
+
 
 class Warehouse:
     """The tables under one root folder."""
@@ -45,17 +48,10 @@ class Warehouse:
         With ``blocks`` only those blocks of a table stored by block are read.
         """
         schema = TABLES[table]
-        folder = self._folder(table)
-        if table in APPEND_ONLY:
-            paths = [folder] if self._exists(folder) else []
-        elif table in BLOCKED:
-            paths = self._block_paths(table, blocks)
-        else:
-            version = self.version(table)
-            paths = [self._version_path(table, version)] if version else []
+        paths = self._paths(table, blocks)
         if not paths:
             return literal_rows(self.spark, [], schema)
-        reader = self.spark.read.schema(schema).option("basePath", folder)
+        reader = self.spark.read.schema(schema).option("basePath", self._folder(table))
         return reader.parquet(*paths).select(*schema.names)
 
     def version(self, table: str) -> int:
@@ -83,6 +79,17 @@ class Warehouse:
         """Blocks the table currently has, from folder names alone."""
         return list(self._current_blocks(table))
 
+    def is_small(self, table: str, limit: int = SMALL_BYTES) -> bool:
+        """Whether the table's current files hold at most ``limit`` bytes."""
+        total = 0
+        for path in self._paths(table):
+            location = self._path(path)
+            if self._fs(location).exists(location):
+                total += self._fs(location).getContentSummary(location).getLength()
+            if total > limit:
+                return False
+        return True
+
     def range_of(self, blocks: Iterable[int]) -> int:
         """Width of the id range that the blocks span."""
         blocks = list(blocks)
@@ -152,6 +159,15 @@ class Warehouse:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table]]
         )
 
+    def _paths(self, table: str, blocks: Iterable[int] | None = None) -> list[str]:
+        if table in APPEND_ONLY:
+            folder = self._folder(table)
+            return [folder] if self._exists(folder) else []
+        if table in BLOCKED:
+            return self._block_paths(table, blocks)
+        version = self.version(table)
+        return [self._version_path(table, version)] if version else []
+
     def _block_paths(self, table: str, blocks: Iterable[int] | None) -> list[str]:
         if blocks is not None:
             wanted = set(blocks)

@@ -1,6 +1,7 @@
 """What the physical plans must look like, whatever the data size."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from conftest import NOW, raw_frame, reading
@@ -26,7 +27,10 @@ def warehouse(spark, tmp_path_factory):
 
 @pytest.fixture
 def star(warehouse):
-    return Star.of(warehouse)
+    """The star as it is once it is no longer small."""
+    found = Star.of(warehouse)
+    assert found.small
+    return replace(found, small=False)
 
 
 def plan(df) -> str:
@@ -84,3 +88,10 @@ def test_root_cause_reads_failures_and_few_columns(star):
 
 def test_staging_is_one_narrow_stage(warehouse):
     assert "Exchange" not in plan(to_staging(warehouse.read(RAW_TABLE), NOW))
+
+
+def test_small_facts_take_plain_windows(warehouse):
+    star = Star.of(warehouse)
+    assert "_block" not in plan(analytics.anomaly_features(star))
+    assert "ntile" in plan(analytics.speed_quintiles(star))
+    assert not warehouse.is_small(RAW_TABLE, limit=10)

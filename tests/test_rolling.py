@@ -39,7 +39,10 @@ def test_rolling_equals_plain_window(spark, span, preceding):
 
 def features_of(loaded, readings, **options):
     star = Star.of(loaded(readings))
-    return {r.udi: r for r in anomaly_features(star, **options).collect()}
+    rows = {r.udi: r for r in anomaly_features(star, **options).collect()}
+    plain = {r.udi: r for r in anomaly_features(star, plain=True).collect()}
+    assert rows == plain
+    return rows
 
 
 def torques(values, kind="L", start=1):
@@ -51,20 +54,20 @@ def torques(values, kind="L", start=1):
 
 
 def test_single_reading_has_fallback_deviation(loaded):
-    row = features_of(loaded, torques([40], "H"))[1]
+    row = features_of(loaded, torques([40], "H"), span=4)[1]
     assert row.rolling_std_torque == 0.01
     assert row.torque_step_delta == 0 and row.torque_z_score == 0
     assert row.is_torque_anomaly is False
 
 
 def test_no_variance_gives_no_score(loaded):
-    rows = features_of(loaded, torques([40] * 12))
+    rows = features_of(loaded, torques([40] * 12), span=4)
     assert all(rows[i].torque_z_score is None for i in range(2, 13))
     assert not any(r.is_torque_anomaly for r in rows.values())
 
 
 def test_frames_below_nine_rows_cannot_be_anomalous(loaded):
-    rows = features_of(loaded, torques([40] * 7 + [99]))
+    rows = features_of(loaded, torques([40] * 7 + [99]), span=4)
     assert rows[8].torque_z_score == Decimal("2.47")
     assert rows[8].is_torque_anomaly is False
 
