@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import features
@@ -53,13 +55,25 @@ def to_staging(raw: DataFrame, now: datetime) -> DataFrame:
     )
 
 
-def incomplete(staging: DataFrame):
-    """Predicate: some required staging column is NULL."""
-    required = [f.name for f in STAGING if not f.nullable]
-    missing = F.lit(False)
-    for name in required:
-        missing = missing | F.col(name).isNull()
-    return missing
+# Raw columns that may be missing, but not in staging: a feature is missing exactly
+# when one of its inputs is.
+REQUIRED_INPUTS = [
+    "air_temperature_k",
+    "process_temperature_k",
+    "rotational_speed_rpm",
+    "torque_nm",
+    "tool_wear_min",
+    "machine_failure",
+]
+
+
+def incomplete() -> Column:
+    """Predicate on raw rows: staging could not be filled.
+
+    On the stored raw table it is pushed to the scan, where the files' statistics
+    rule out row groups without a NULL.
+    """
+    return reduce(or_, [F.col(name).isNull() for name in REQUIRED_INPUTS])
 
 
 def load_staging(
@@ -80,16 +94,16 @@ def load_staging(
     else:
         raw = raw.filter(F.col("batch_id") == batch_id)
         blocks = warehouse.touched_blocks(raw)
-    projected = to_staging(raw, now)
     if on_missing == "raise":
-        if not projected.filter(incomplete(projected)).isEmpty():
+        if not raw.filter(incomplete()).isEmpty():
             raise MissingValuesError("raw rows lack values that staging requires")
     elif on_missing == "quarantine":
-        warehouse.append(QUARANTINE_TABLE, projected.filter(incomplete(projected)))
-        projected = projected.filter(~incomplete(projected))
+        warehouse.append(QUARANTINE_TABLE, to_staging(raw.filter(incomplete()), now))
+        raw = raw.filter(~incomplete())
     else:
         raise ValueError(f"on_missing must be raise or quarantine, not {on_missing!r}")
 
+    projected = to_staging(raw, now)
     if warehouse.version(STAGING_TABLE) == 0:
         warehouse.replace(STAGING_TABLE, projected, clustered=True)
         return

@@ -8,11 +8,12 @@ from conftest import NOW, raw_frame, reading
 from gaugeworks.operators.quality import orphan_count
 from gaugeworks.plans import analytics
 from gaugeworks.plans.analytics import Star
-from gaugeworks.plans.staging import load_staging, to_staging
+from gaugeworks.plans.staging import REQUIRED_INPUTS, incomplete, load_staging, to_staging
 from gaugeworks.plans.star import load_star
-from gaugeworks.schemas import RAW_TABLE
+from gaugeworks.schemas import RAW_TABLE, STAGING
 from gaugeworks.sources.readings import load_raw
 from gaugeworks.sources.tables import Warehouse
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +96,17 @@ def test_small_facts_take_plain_windows(warehouse):
     assert "_block" not in plan(analytics.anomaly_features(star))
     assert "ntile" in plan(analytics.speed_quintiles(star))
     assert not warehouse.is_small(RAW_TABLE, limit=10)
+
+
+def test_missing_inputs_are_looked_for_by_the_scan(warehouse):
+    text = plan(warehouse.read(RAW_TABLE).filter(incomplete()))
+    assert re.search(r"PushedFilters: \[Or\(.*IsNull\(air_temperature_k\)", text)
+
+
+def test_required_inputs_cover_the_required_columns(warehouse):
+    raw = warehouse.read(RAW_TABLE)
+    for name in REQUIRED_INPUTS:
+        kind = raw.schema[name].dataType
+        row = to_staging(raw.withColumn(name, F.lit(None).cast(kind)), NOW).first()
+        assert any(row[f.name] is None for f in STAGING if not f.nullable)
+    assert all(v is not None for v in to_staging(raw, NOW).first())
