@@ -49,8 +49,11 @@ class RejectedRowsError(ValueError):
 
 
 def read_sensor_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The file's columns as text, named by its header."""
-    return spark.read.csv(path, header=True)
+    """The file's columns as text, named by its header.
+
+    Of a folder of files, all must have the same header.
+    """
+    return spark.read.csv(path, header=True, enforceSchema=False)
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -200,10 +203,16 @@ def ingest_batch(
         raise FileNotFoundError(f"no source file at {path}")
     now = now or datetime.now(UTC)
     batch_id = batch_id or new_batch_id(now)
-    text = read_sensor_csv(spark, path).select("*", file_order().alias(FILE_ORDER))
-    text = rename_columns(text, RAW_COLUMN_MAP | {FILE_ORDER: FILE_ORDER})
-    placed = text.withColumn(ROW_ORDER, row_order())
     source = path.rstrip("/").rsplit("/", 1)[-1]
+    text = read_sensor_csv(spark, path).select("*", file_order().alias(FILE_ORDER))
+    try:
+        renamed = rename_columns(text, RAW_COLUMN_MAP | {FILE_ORDER: FILE_ORDER})
+    except ValueError as error:
+        rows = text.count()
+        log_ingestion(warehouse, batch_id, source, rows, "IN_PROGRESS", now)
+        log_ingestion(warehouse, batch_id, source, rows, "FAILED", now, str(error))
+        raise
+    placed = renamed.withColumn(ROW_ORDER, row_order())
     load_batch(
         warehouse, placed, source, batch_id, now, order_by=ROW_ORDER, **options
     )

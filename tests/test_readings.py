@@ -91,7 +91,9 @@ def test_extra_columns_go_and_order_does_not_matter(warehouse, csv):
 
 def test_missing_column_raises(warehouse, csv, spark):
     with pytest.raises(ValueError, match="RNF"):
-        load(warehouse, csv("1", header=HEADER.replace(",RNF", "")))
+        load(warehouse, csv(line(1)[:-2], header=HEADER.replace(",RNF", "")))
+    assert states(warehouse)["b1"].status == "FAILED"
+    assert states(warehouse)["b1"].row_count == 1
     with pytest.raises(ValueError, match="lacks"):
         rename_columns(spark.range(1), {"nope": "x"})
 
@@ -160,3 +162,16 @@ def test_stream_keeps_the_later_file(warehouse, csv, tmp_path, spark):
     stream = csv_stream(spark, str(tmp_path / "in"))
     ingest_stream(stream, warehouse, str(tmp_path / "checkpoint"), "a", NOW)
     assert warehouse.read(RAW_TABLE).first().torque_nm == Decimal("20.00")
+
+
+def test_folder_of_files(warehouse, csv, tmp_path):
+    (tmp_path / "in").mkdir()
+    csv(line(1), name="in/a.csv")
+    csv(line(2), name="in/b.csv")
+    load(warehouse, str(tmp_path / "in"))
+    assert sorted(r.udi for r in warehouse.read(RAW_TABLE).collect()) == [1, 2]
+    swapped = HEADER.replace("TWF,HDF", "HDF,TWF")
+    csv(line(3), name="in/c.csv", header=swapped)
+    with pytest.raises(Exception, match="header"):
+        load(warehouse, str(tmp_path / "in"), "b2")
+    assert warehouse.read(RAW_TABLE).count() == 2
