@@ -98,11 +98,10 @@ def ingest_csv(spark, sf_dir):
 
 @_query
 def stream_ingest(spark, sf_dir):
-    # a stream needs a folder; the file's name selects it within its folder
+    # as a pattern, since a stream takes a single file only where a pattern finds it
     arrived = (
         spark.readStream.schema(fx.events(spark, sf_dir).schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
+        .parquet(f"{sf_dir}/event[s].parquet")
         .select("*", file_order().alias(FILE_ORDER))
     )
     source = readings_from_events(arrived, FILE_ORDER)
