@@ -487,8 +487,8 @@ def dq_ri(spark, sf_dir):
     return _verdicts(
         tables,
         [
-            dq.ReferenceCheck(FACT_TABLE, "equipment_key", noted, "equipment_key"),
-            dq.ReferenceCheck(
+            dq.check_referential_integrity(FACT_TABLE, "equipment_key", noted, "equipment_key"),
+            dq.check_referential_integrity(
                 FACT_TABLE, "equipment_key", EQUIPMENT_TABLE, "equipment_key"
             ),
         ],
@@ -505,9 +505,9 @@ def dq_unique(spark, sf_dir):
     return _verdicts(
         _tables(spark, sf_dir),
         [
-            dq.UniqueCheck(RAW_TABLE, "udi"),
-            dq.UniqueCheck(RAW_TABLE, "product_id"),
-            dq.UniqueCheck(EQUIPMENT_TABLE, "product_id"),
+            dq.check_unique(RAW_TABLE, "udi"),
+            dq.check_unique(RAW_TABLE, "product_id"),
+            dq.check_unique(EQUIPMENT_TABLE, "product_id"),
         ],
     )
 
@@ -550,8 +550,8 @@ def dq_parity(spark, sf_dir):
     return _verdicts(
         _tables(spark, sf_dir),
         [
-            dq.ParityCheck(RAW_TABLE, FACT_TABLE),
-            dq.ParityCheck(RAW_TABLE, EQUIPMENT_TABLE),
+            dq.check_row_parity(RAW_TABLE, FACT_TABLE),
+            dq.check_row_parity(RAW_TABLE, EQUIPMENT_TABLE),
         ],
     )
 

@@ -225,6 +225,25 @@ def check_numeric_range(
     )
 
 
+def check_referential_integrity(
+    table: str,
+    column: str,
+    dim_table: str,
+    dim_column: str,
+    severity: str = "CRITICAL",
+) -> ReferenceCheck:
+    """Rows whose key has no dimension row; a NULL key has none."""
+    return ReferenceCheck(table, column, dim_table, dim_column, severity)
+
+
+def check_unique(table: str, column: str, severity: str = "CRITICAL") -> UniqueCheck:
+    return UniqueCheck(table, column, severity)
+
+
+def check_row_parity(table: str, other: str, severity: str = "CRITICAL") -> ParityCheck:
+    return ParityCheck(table, other, severity)
+
+
 def check_accepted_values(
     table: str, column: str, accepted: Sequence[str], severity: str = "CRITICAL"
 ) -> Check:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.numeric import percent
 from gaugeworks.operators.quality import (
-    ReferenceCheck,
     check_null_percentage,
     check_numeric_range,
+    check_referential_integrity,
     check_row_count,
     enforce,
     run_suite,
@@ -42,8 +42,10 @@ def standard_checks(
         check_numeric_range(FACT_TABLE, "torque_nm", 1.0, 100.0),
         check_numeric_range(FACT_TABLE, "air_temp_c", 10.0, 50.0),
         check_numeric_range(FACT_TABLE, "tool_wear_min", 0, 300),
-        ReferenceCheck(FACT_TABLE, "equipment_key", EQUIPMENT_TABLE, "equipment_key"),
-        ReferenceCheck(
+        check_referential_integrity(
+            FACT_TABLE, "equipment_key", EQUIPMENT_TABLE, "equipment_key"
+        ),
+        check_referential_integrity(
             FACT_TABLE, "failure_mode_key", FAILURE_MODE_TABLE, "failure_mode_key"
         ),
     ]

@@ -230,3 +230,8 @@ class Warehouse:
 
     def _fs(self, path):
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+
+def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The current rows of one table of the warehouse at ``root``."""
+    return Warehouse(spark, root).read(table)

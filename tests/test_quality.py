@@ -62,7 +62,7 @@ def test_bounds_belong_to_the_range(verdicts):
 def test_orphans_count_rows_and_nulls(verdicts):
     row = verdicts(
         [(1,), (9,), (9,), (None,)],
-        dq.ReferenceCheck("t", "fk", "dim", "pk"),
+        dq.check_referential_integrity("t", "fk", "dim", "pk"),
         schema="fk long",
     )[0]
     assert row.observed_value == 3
@@ -72,11 +72,11 @@ def test_orphans_count_rows_and_nulls(verdicts):
 def test_unique_accepted_fits_parity(verdicts):
     unique, accepted, fits, varchar, parity = verdicts(
         [(1.0, "a"), (2.0, "a"), (99.0, "long"), (None, None), (None, None)],
-        dq.UniqueCheck("t", "s"),
+        dq.check_unique("t", "s"),
         dq.check_accepted_values("t", "s", ["a", "b"]),
         dq.check_fits_type("t", "v", "decimal(3,2)"),
         dq.check_fits_type("t", "s", "varchar(3)"),
-        dq.ParityCheck("t", "dim"),
+        dq.check_row_parity("t", "dim"),
     )
     assert unique.observed_value == 1
     assert accepted.observed_value == 1
