@@ -6,11 +6,33 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from gaugeworks.llm import bpe, exact_dedup, token_counts, warc
+from pyspark.sql import functions as F
+
+from gaugeworks.llm import (
+    bpe,
+    exact_dedup,
+    jaccard_join,
+    line_dedup,
+    quality,
+    secrets,
+    token_counts,
+    warc,
+)
 from gaugeworks.llm.common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.secret_spans(docs, secrets.infer(docs))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ranking = quality.learn(docs, labels.filter(~quality.held_out(labels["doc_id"])))
+    scored = quality.quality_scores(docs, ranking)
+    return scored.withColumn("held_out", quality.held_out(scored["doc_id"]))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
@@ -25,13 +47,32 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.described(warc.read_archive(spark, archive))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    return docs.select("doc_id", "n_lines", "n_dropped", digest)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), path)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op3_token_counts, op4_exact_dedup, op5_warc, op9_bpe)
+    registered = (
+        op1_secrets,
+        op2_quality,
+        op3_token_counts,
+        op4_exact_dedup,
+        op5_warc,
+        op6_jaccard_join,
+        op7_line_dedup,
+        op9_bpe,
+    )
     return {f.__name__: f for f in registered}
 
 
