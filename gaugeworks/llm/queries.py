@@ -13,6 +13,7 @@ from gaugeworks.llm import (
     exact_dedup,
     jaccard_join,
     line_dedup,
+    pii,
     quality,
     secrets,
     token_counts,
@@ -57,6 +58,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), path)
@@ -71,6 +76,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_warc,
         op6_jaccard_join,
         op7_line_dedup,
+        op8_pii,
         op9_bpe,
     )
     return {f.__name__: f for f in registered}

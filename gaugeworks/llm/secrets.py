@@ -174,7 +174,8 @@ class Grammar:
                 k += 1
             if any(s < end and e > start for s, e in taken[k : k + 4]) or len(value) < 12:
                 continue
-            if not any(map(str.isdigit, value)) or value.isdigit():
+            # credentials mix letters and digits; addresses, dates and plain words do not
+            if not any(map(str.isdigit, value)) or not any(map(str.isalpha, value)):
                 continue
             if self.margin(value) >= self.bits_needed:
                 found.append((start, start + len(value), "grammar"))
