@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import (
     bpe,
+    decontaminate,
     exact_dedup,
     jaccard_join,
     line_dedup,
@@ -67,6 +69,15 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(table(spark, sf_dir, "documents"), path)
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items).drop("text_key")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_secrets,
@@ -78,6 +89,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_line_dedup,
         op8_pii,
         op9_bpe,
+        op10_decontaminate,
+        pipeline,
     )
     return {f.__name__: f for f in registered}
 
