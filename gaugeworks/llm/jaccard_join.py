@@ -28,17 +28,30 @@ from gaugeworks.session import written
 SKETCH_BITS = 20
 
 
-def _sets(size: int):
+#: A pair is looked at if it shares this many cells; documents go to as many more.
+SHARES = 3
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def _notes(size: int):
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
         hashes = WordHashes()
         for p in pieces:
             sets = [shingle_set(t, size, hashes) for t in p["text"]]
-            yield (
-                p["doc_id"],
-                [len(s) for s in sets],
-                [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                [s.tobytes() for s in sets],
-            )
+            yield p["doc_id"], [len(s) for s in sets], [_digest(s) for s in sets]
+
+    return rows
+
+
+def _set_rows(size: int):
+    def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+        hashes = WordHashes()
+        for p in pieces:
+            sets = [shingle_set(t, size, hashes) for t in p["text"]]
+            yield [_digest(s) for s in sets], [s.tobytes() for s in sets]
 
     return rows
 
@@ -47,28 +60,31 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes) >> U64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _sketch_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    for p in pieces:
-        for s in p["shingles"]:
-            np.add.at(counts, _cells(np.frombuffer(s, U64)), 1)
-    used = np.flatnonzero(counts)
-    for at in range(0, len(used), 65536):
-        part = used[at : at + 65536]
-        yield part.tolist(), counts[part].tolist()
+def _sketch_rows(size: int):
+    def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+        counts, hashes = np.zeros(1 << SKETCH_BITS, np.int64), WordHashes()
+        for p in pieces:
+            for text in p["text"]:
+                np.add.at(counts, _cells(shingle_set(text, size, hashes)), 1)
+        used = np.flatnonzero(counts)
+        for at in range(0, len(used), 65536):
+            part = used[at : at + 65536]
+            yield part.tolist(), counts[part].tolist()
+
+    return rows
 
 
-def _region_rows(order, num: int, den: int):
+def _region_rows(size: int, order, num: int, den: int):
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
-        counts = order.value
+        counts, hashes = order.value, WordHashes()
         for p in pieces:
             regions, ids, sizes = [], [], []
-            for doc, raw in zip(p["id"], p["shingles"], strict=True):
-                s = np.frombuffer(raw, U64)
-                reach = len(s) - -(-num * len(s) // den) + 1
+            for text in p["text"]:
+                s = shingle_set(text, size, hashes)
+                reach = min(len(s), len(s) - -(-num * len(s) // den) + SHARES)
                 nearest = np.lexsort((s, counts[_cells(s)]))[:reach]
                 regions += s[nearest].view(np.int64).tolist()
-                ids += [doc] * reach
+                ids += [_digest(s)] * reach
                 sizes += [len(s)] * reach
             yield regions, ids, sizes
 
@@ -106,9 +122,9 @@ def jaccard_classes(
     equal answers; null ids sort last (their component is null only if it has no other id).
     No rows give no rows; other columns are ignored. Shingles are 64-bit hashes."""
     spark = docs.sparkSession
-    fields = "doc_id long,n_shingles long,digest binary,shingles binary"
-    made = documents_of(docs, id_col, text_col).mapInArrow(rows_like(fields, _sets(words), 64), fields)
-    made = written(made, "shingles")
+    own = documents_of(docs, id_col, text_col)
+    fields = "doc_id long,n_shingles long,digest binary"
+    made = written(own.mapInArrow(rows_like(fields, _notes(words), 64), fields), "shingle-notes")
     full = made.filter("n_shingles > 0")
     members = full.groupBy("digest").agg(
         F.min("doc_id").alias("first_id"),
@@ -116,31 +132,39 @@ def jaccard_classes(
         F.any_value("n_shingles").alias("n_shingles"),
     )
     members = written(members, "set-classes")
-    # one row per set: a first row of each class by id; several such rows hold the same set
     groups = members.select("digest", "first_id")
-    reps = attach(full.select("digest", "doc_id", "shingles"), members.drop("n_shingles"), "digest")
-    reps = reps.filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    reps = written(
-        reps.select(F.col("digest").alias("id"), "shingles").dropDuplicates(["id"]), "sets"
-    )
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    sketch = reps.select("shingles").mapInArrow(
-        rows_like("cell long,n long", _sketch_rows), "cell long,n long"
-    )
+    sketch = own.mapInArrow(rows_like("cell long,n long", _sketch_rows(words)), "cell long,n long")
     # at most one number per cell, whatever the size of the data
     table = sketch.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts[table["cell"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
     order = spark.sparkContext.broadcast(counts)
     fields = "region long,id binary,size long"
-    regions = reps.mapInArrow(rows_like(fields, _region_rows(order, num, den), 64), fields)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = reps.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        right = reps.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        both = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
-        return both.mapInArrow(rows_like("a binary,b binary", _pair_rows(num, den), 64), "a binary,b binary")
-
-    classes = link_classes(regions, verified, num / den - 1e-9)
+    regions = own.mapInArrow(rows_like(fields, _region_rows(words, order, num, den), 64), fields)
+
+    def verifier(ids: DataFrame):
+        # sets are made again for those documents only that have a possible partner
+        first = members.join(ids.withColumnRenamed("id", "digest"), "digest").select(
+            F.col("first_id").alias("wanted")
+        )
+        texts = own.join(first.distinct(), own["doc_id"].eqNullSafe(F.col("wanted")), "left_semi")
+        sets = texts.mapInArrow(
+            rows_like("id binary,shingles binary", _set_rows(words), 64), "id binary,shingles binary"
+        )
+        # rows that repeat a doc_id may hold the same set again
+        sets = sets.join(ids, "id", "left_semi").dropDuplicates(["id"])
+        sets = written(sets, "sets")
+
+        def verified(pairs: DataFrame) -> DataFrame:
+            left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+            right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+            both = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
+            fields = "a binary,b binary"
+            return both.mapInArrow(rows_like(fields, _pair_rows(num, den), 64), fields)
+
+        return verified
+
+    classes = link_classes(regions, verifier, num / den - 1e-9, shares=SHARES)
     named = groups.join(classes.withColumnRenamed("id", "digest"), "digest", "left")
     named = named.select("digest", "first_id", F.coalesce("root", "digest").alias("class"))
     named = written(named, "named")

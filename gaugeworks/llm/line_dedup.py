@@ -141,7 +141,7 @@ def line_classes(
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return both.mapInArrow(rows_like("a binary,b binary", _pair_rows(edits), 1024), "a binary,b binary")
 
-    roots = link_classes(regions, verified, size_gap=edits)
+    roots = link_classes(regions, lambda _: verified, size_gap=edits)
     named = distinct.select("id", "first", "n_rows").join(roots, "id", "left")
     named = written(named.withColumn("class", F.coalesce("root", "id")).drop("root"), "line-classes")
     # classes of one line that occurs once have nothing to drop

@@ -51,13 +51,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 def link_classes(
     regions: DataFrame,
-    verified: Callable[[DataFrame], DataFrame],
+    verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
     size_ratio: float = 0.0,
     size_gap: int | None = None,
     pivots: int = 3,
+    shares: int = 1,
 ) -> DataFrame:
     """(id, root) of items linked to a smaller one, from ``regions`` (region, id, size):
-    two items that link share a region. ``verified`` keeps the true pairs (a, b).
+    two items that link share ``shares`` regions, or ``size_ratio`` times the larger size if
+    that is less. ``verifier`` gets the ids that share a region with others and returns a
+    function that keeps the true pairs of (a, b).
 
     Per region a pivot is compared with all members first; members that thereby fall in one
     class need no further comparison. After ``pivots`` such rounds, which cost a pair per
@@ -68,6 +71,7 @@ def link_classes(
     shared = regions.groupBy("region").agg(F.min("id").alias("x"), F.max("id").alias("y"))
     shared = shared.filter("x <> y").select("region")
     rows = written(regions.join(shared, "region", "left_semi").distinct(), "regions")
+    verified = verifier(rows.select("id").distinct())
     edges = None
     labels = None
 
@@ -112,8 +116,12 @@ def link_classes(
             )
             pairs = left.join(right, "region").filter("id > b")
         pairs = pairs.filter((F.col("label") != F.col("b_label")) & in_window("size", "b_size"))
-        pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-        pairs = written(pairs, "pairs")
+        needed = F.least(F.lit(shares), F.ceil(F.greatest("size", "b_size") * F.lit(size_ratio)))
+        pairs = pairs.select(
+            F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"), needed.alias("needed")
+        )
+        pairs = pairs.groupBy("a", "b", "needed").count().filter("count >= needed").select("a", "b")
+        pairs = written(pairs.distinct(), "pairs")
         if pairs.isEmpty():
             if turn < pivots:
                 continue
