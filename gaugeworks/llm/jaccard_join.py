@@ -24,8 +24,8 @@ from gaugeworks.llm.linking import link_classes
 from gaugeworks.llm.shingles import U64, WordHashes, mix, shingle_set
 from gaugeworks.session import written
 
-#: Cells of the frequency sketch that orders the pivots (8 MB in all).
-SKETCH_BITS = 20
+#: Bits of a cell number of the frequency sketch that orders the pivots (1 MB in all).
+SKETCH_BITS = 17
 
 
 #: A pair is looked at if it shares this many cells; documents go to as many more.
