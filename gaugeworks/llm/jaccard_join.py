@@ -36,12 +36,22 @@ def _digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _notes(size: int):
+def _note_rows(size: int):
+    """Per row its id, set size and digest; last, per task, the counts of the sketch."""
+
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
-        hashes = WordHashes()
+        counts, hashes = np.zeros(1 << SKETCH_BITS, np.int64), WordHashes()
         for p in pieces:
             sets = [shingle_set(t, size, hashes) for t in p["text"]]
-            yield p["doc_id"], [len(s) for s in sets], [_digest(s) for s in sets]
+            for s in sets:
+                np.add.at(counts, _cells(s), 1)
+            nothing = [None] * len(sets)
+            yield p["doc_id"], [len(s) for s in sets], [_digest(s) for s in sets], nothing, nothing
+        used = np.flatnonzero(counts)
+        for at in range(0, len(used), 65536):
+            part = used[at : at + 65536]
+            nothing = [None] * len(part)
+            yield nothing, nothing, nothing, part.tolist(), counts[part].tolist()
 
     return rows
 
@@ -60,20 +70,6 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes) >> U64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def _sketch_rows(size: int):
-    def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
-        counts, hashes = np.zeros(1 << SKETCH_BITS, np.int64), WordHashes()
-        for p in pieces:
-            for text in p["text"]:
-                np.add.at(counts, _cells(shingle_set(text, size, hashes)), 1)
-        used = np.flatnonzero(counts)
-        for at in range(0, len(used), 65536):
-            part = used[at : at + 65536]
-            yield part.tolist(), counts[part].tolist()
-
-    return rows
-
-
 def _region_rows(size: int, order, num: int, den: int):
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
         counts, hashes = order.value, WordHashes()
@@ -123,8 +119,9 @@ def jaccard_classes(
     No rows give no rows; other columns are ignored. Shingles are 64-bit hashes."""
     spark = docs.sparkSession
     own = documents_of(docs, id_col, text_col)
-    fields = "doc_id long,n_shingles long,digest binary"
-    made = written(own.mapInArrow(rows_like(fields, _notes(words), 64), fields), "shingle-notes")
+    fields = "doc_id long,n_shingles long,digest binary,cell long,n long"
+    noted = written(own.mapInArrow(rows_like(fields, _note_rows(words), 64), fields), "shingle-notes")
+    made = noted.filter("cell IS NULL").drop("cell", "n")
     full = made.filter("n_shingles > 0")
     members = full.groupBy("digest").agg(
         F.min("doc_id").alias("first_id"),
@@ -134,13 +131,13 @@ def jaccard_classes(
     members = written(members, "set-classes")
     groups = members.select("digest", "first_id")
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
-    sketch = own.mapInArrow(rows_like("cell long,n long", _sketch_rows(words)), "cell long,n long")
     # at most one number per cell, whatever the size of the data
-    table = sketch.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    table = noted.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     counts[table["cell"].to_numpy(np.int64)] = table["n"].to_numpy(np.int64)
     order = spark.sparkContext.broadcast(counts)
     fields = "region long,id binary,size long"
     regions = own.mapInArrow(rows_like(fields, _region_rows(words, order, num, den), 64), fields)
+    regions = written(regions, "own-regions")  # read twice, and costly to make
 
     def verifier(ids: DataFrame):
         # sets are made again for those documents only that have a possible partner
