@@ -1,8 +1,8 @@
 """Reports over the star schema.
 
-Every function takes the three star tables and returns a lazy frame. A top-k keeps
-its rows before looking up the dimensions: the fact's foreign keys are complete (the
-load joins on them and the quality gate checks them), so the lookup drops nothing.
+Every function takes the three star tables and returns a frame. A top-k takes its rows
+from the readings that have both dimension rows, then looks up the dimensions of those
+few.
 """
 
 from __future__ import annotations
@@ -35,8 +35,6 @@ class Star:
     modes: DataFrame
     # ids per block for windows over the fact; looked up in the data when unknown
     span: int | None = None
-    # the fact is known to fit one task: plain windows are then the fastest
-    small: bool = False
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
@@ -45,7 +43,6 @@ class Star:
             warehouse.read(EQUIPMENT_TABLE),
             warehouse.read(FAILURE_MODE_TABLE),
             span_for(warehouse.range_of(warehouse.blocks(FACT_TABLE))),
-            warehouse.is_small(FACT_TABLE),
         )
 
     def joined(self, fact: DataFrame | None = None) -> DataFrame:
@@ -79,7 +76,7 @@ def _rolling_sums(ordered, framed) -> dict[str, Column]:
 
 
 def anomaly_features(
-    star: Star, span: int | None = None, plain: bool | None = None
+    star: Star, span: int | None = None, plain: bool = False
 ) -> DataFrame:
     """Each reading with its rolling torque statistics, step, z-score and flag.
 
@@ -87,11 +84,9 @@ def anomaly_features(
     first reading of a type has step 0; a previous reading without torque gives NULL.
     A frame without variance has no score and is not an anomaly.
 
-    A fact known to be small goes through one plain window per type; any other is cut
-    into blocks of ``span`` ids. The results are the same.
+    The fact is cut into blocks of ``span`` ids. ``plain`` asks for one window per type,
+    the yardstick of the tests; the results are the same.
     """
-    if plain is None:
-        plain = star.small and span is None
     # the mode's name is looked up after the windows: its key is what gets shuffled
     carried = [c for c in FEATURE_COLUMNS if c != "failure_mode_name"]
     readings = star.fact.join(star.equipment, "equipment_key").select(
@@ -283,11 +278,20 @@ def _most_strained(star: Star, n: int, rank: str) -> DataFrame:
     The first ``n`` rows hold every value above the last one, so ranking them alone
     gives the ranks of the whole table.
     """
-    top = star.fact.orderBy(F.desc("overstrain_metric"), "udi").limit(n)
+    top = _complete(star).orderBy(F.desc("overstrain_metric"), "udi").limit(n)
     place = F.dense_rank().over(Window.orderBy(F.desc("overstrain_metric")))
     return _dimensions_of(star, top).withColumn(rank, place)
 
 
+def _complete(star: Star) -> DataFrame:
+    """Readings that the join with both dimensions keeps; each stays one row."""
+    equipment = star.equipment.select("equipment_key")
+    modes = F.broadcast(star.modes.select("failure_mode_key"))
+    return star.fact.join(equipment, "equipment_key", "left_semi").join(
+        modes, "failure_mode_key", "left_semi"
+    )
+
+
 def _dimensions_of(star: Star, few: DataFrame) -> DataFrame:
     """Look up the dimensions of a top-k; the k rows are the broadcast side."""
     return (
@@ -340,34 +344,16 @@ def speed_quintiles(
 ) -> DataFrame:
     """Failure rate per speed bucket of equal size; equal speeds go by ``udi``.
 
-    A fact known to be small is numbered by a plain window; any other is counted by
-    cells, at most ``max_cells`` at a time. The results are the same.
+    Rows are counted by cells, at most ``max_cells`` at a time.
     """
-    if star.small and max_cells is None:
-        order = Window.orderBy("rotational_speed_rpm", "udi")
-        report = (
-            star.fact.select(
-                F.ntile(tiles).over(order).alias("tile"),
-                "rotational_speed_rpm",
-                "is_failure",
-            )
-            .groupBy("tile")
-            .agg(
-                F.min("rotational_speed_rpm").alias("min_value"),
-                F.max("rotational_speed_rpm").alias("max_value"),
-                F.count("*").alias("rows"),
-                F.count_if("is_failure").alias("hits"),
-            )
-        )
-    else:
-        report = tile_report(
-            star.fact,
-            tiles,
-            "rotational_speed_rpm",
-            "udi",
-            F.col("is_failure"),
-            max_cells or MAX_CELLS,
-        )
+    report = tile_report(
+        star.fact,
+        tiles,
+        "rotational_speed_rpm",
+        "udi",
+        F.col("is_failure"),
+        max_cells or MAX_CELLS,
+    )
     return report.select(
         F.col("tile").alias("speed_quintile"),
         F.col("min_value").alias("min_rpm"),
@@ -391,7 +377,7 @@ def orphans(
 
 def star_sample(star: Star, n: int = 25) -> DataFrame:
     """The first readings with their dimensions."""
-    first = star.fact.orderBy("udi").limit(n)
+    first = _complete(star).orderBy("udi").limit(n)
     return (
         _dimensions_of(star, first)
         .select(

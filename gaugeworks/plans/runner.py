@@ -14,7 +14,7 @@ from gaugeworks.plans.quality import run_gate
 from gaugeworks.plans.staging import load_staging
 from gaugeworks.plans.star import load_star
 from gaugeworks.plans.summary import run_summary
-from gaugeworks.schemas import CHECK_LOG_TABLE, FACT_TABLE, RAW_TABLE
+from gaugeworks.schemas import CHECK_LOG_TABLE, FACT_TABLE, RAW_TABLE, STAGING_TABLE
 from gaugeworks.sources.readings import ingest_batch
 from gaugeworks.sources.tables import STORED_SPAN, Warehouse
 
@@ -51,16 +51,16 @@ def run_transforms(
     spark: SparkSession,
     root: str,
     now: datetime,
-    batch_id: str | None = None,
+    pending_only: bool = False,
     span: int = STORED_SPAN,
 ) -> dict[str, DataFrame]:
     """Staging, then star, then views, which are registered and returned.
 
-    With ``batch_id`` only that batch's rows go through staging and star.
+    With ``pending_only`` staging and star take what they have not taken in yet.
     """
     warehouse = Warehouse(spark, root, span)
-    load_staging(warehouse, now, batch_id)
-    load_star(warehouse, now, batch_id)
+    load_staging(warehouse, now, pending_only)
+    load_star(warehouse, now, pending_only)
     views = analytics_views(warehouse)
     warehouse.register_views(views)
     return views
@@ -86,8 +86,9 @@ def run_load(
 ) -> RunReport:
     """All stages in order. The first failure ends the run; the report says how far.
 
-    The views are only registered once the gate has passed. ``incremental`` sends only
-    this batch's rows through staging and star.
+    The views are only registered once the gate has passed. With ``incremental`` staging
+    and star take the blocks they have not taken in yet, this batch's and any that an
+    earlier run left behind. Either way raw, staging and fact must end with equal counts.
     """
     now = now or datetime.now(UTC)
     warehouse = Warehouse(spark, root, span)
@@ -100,15 +101,15 @@ def run_load(
         )
         return f"merged source records into {RAW_TABLE} (batch {report.batch_id})"
 
-    def only() -> str | None:
-        return report.batch_id if incremental else None
-
     def staging():
-        load_staging(warehouse, now, only())
+        load_staging(warehouse, now, incremental)
         return "computed units, power, overstrain and failure labels"
 
     def star():
-        load_star(warehouse, now, only())
+        load_star(warehouse, now, incremental)
+        counts = {t: warehouse.read(t).count() for t in (RAW_TABLE, STAGING_TABLE, FACT_TABLE)}
+        if len(set(counts.values())) > 1:
+            raise ValueError(f"rows got lost between layers: {counts}")
         return "loaded dimensions and fact with surrogate keys"
 
     def gate():

@@ -79,21 +79,24 @@ def incomplete() -> Column:
 def load_staging(
     warehouse: Warehouse,
     now: datetime,
-    batch_id: str | None = None,
+    pending_only: bool = False,
     on_missing: str = "raise",
 ) -> None:
     """Merge the staging projection of raw into the staging table by ``udi``.
 
-    With ``batch_id`` only the rows that batch wrote are recomputed: raw rows carry
-    the id of the last batch that touched them, so the measures come out the same as
-    from a full run and the cost follows the batch, not the table.
+    With ``pending_only`` only the blocks of raw are read and recomputed that were
+    written since staging last took from it, by whatever batch and however long ago. So
+    no batch is left out, and the cost follows the touched blocks, not the table.
     """
-    raw = warehouse.read(RAW_TABLE)
-    if batch_id is None:
-        blocks = warehouse.blocks(RAW_TABLE)
+    taken = warehouse.version(RAW_TABLE)
+    if pending_only:
+        blocks = warehouse.pending_blocks(RAW_TABLE, warehouse.consumed(STAGING_TABLE))
+        if not blocks and warehouse.version(STAGING_TABLE):
+            return
+        raw = warehouse.read(RAW_TABLE, blocks)
     else:
-        raw = raw.filter(F.col("batch_id") == batch_id)
-        blocks = warehouse.touched_blocks(raw)
+        blocks = warehouse.blocks(RAW_TABLE)
+        raw = warehouse.read(RAW_TABLE)
     if on_missing == "raise":
         if not raw.filter(incomplete()).isEmpty():
             raise MissingValuesError("raw rows lack values that staging requires")
@@ -105,7 +108,7 @@ def load_staging(
 
     projected = to_staging(raw, now)
     if warehouse.version(STAGING_TABLE) == 0:
-        warehouse.replace(STAGING_TABLE, projected, clustered=True)
+        warehouse.replace(STAGING_TABLE, projected, taken, clustered=True)
         return
     # raw is keyed by udi, so the projection cannot repeat a key
     merged = upsert(
@@ -115,4 +118,4 @@ def load_staging(
         RELOAD_COLUMNS,
         duplicates="unique",
     )
-    warehouse.replace(STAGING_TABLE, merged, partial=True)
+    warehouse.replace(STAGING_TABLE, merged, taken, partial=True)

@@ -161,18 +161,22 @@ def merge_fact(
 
 
 def load_star(
-    warehouse: Warehouse, now: datetime, batch_id: str | None = None
+    warehouse: Warehouse, now: datetime, pending_only: bool = False
 ) -> None:
     """Load dimensions and fact; all become current together at the end.
 
-    With ``batch_id`` only that batch's staging rows are loaded.
+    With ``pending_only`` only the blocks of staging are read and loaded that were
+    written since the fact last took from it.
     """
-    staging = warehouse.read(STAGING_TABLE)
-    if batch_id is None:
-        blocks = warehouse.blocks(STAGING_TABLE)
+    taken = warehouse.version(STAGING_TABLE)
+    if pending_only:
+        blocks = warehouse.pending_blocks(STAGING_TABLE, warehouse.consumed(FACT_TABLE))
+        if not blocks and warehouse.version(FACT_TABLE):
+            return
+        staging = warehouse.read(STAGING_TABLE, blocks)
     else:
-        staging = staging.filter(F.col("batch_id") == batch_id)
-        blocks = warehouse.touched_blocks(staging)
+        blocks = warehouse.blocks(STAGING_TABLE)
+        staging = warehouse.read(STAGING_TABLE)
 
     modes = warehouse.stage(
         FAILURE_MODE_TABLE,
@@ -196,7 +200,7 @@ def load_star(
             target = warehouse.read(FACT_TABLE, blocks)
             merged = merge_fact(target, batch, load, *bounds)
             fact = warehouse.stage(FACT_TABLE, merged, partial=True)
-    warehouse.publish(modes, equipment, fact)
+    warehouse.publish(modes, equipment, fact, consumed={FACT_TABLE: taken})
 
 
 def star_join(

@@ -24,13 +24,12 @@ from gaugeworks.session import literal_rows
 
 _WHOLE = "_WHOLE"
 _PARTIAL = "_PARTIAL"
+# followed by a number; a name without "=" is no partition to Spark's readers
+_CONSUMED = "_CONSUMED-"
 
 # Ids per stored block: some ten million rows, a few hundred megabytes of Parquet.
 STORED_SPAN = 1 << 24
 
-# What one task sorts in a second or so; about a million fact rows.
-SMALL_BYTES = 32 << 20
-
 
 class Warehouse:
     """The tables under one root folder."""
@@ -79,16 +78,21 @@ class Warehouse:
         """Blocks the table currently has, from folder names alone."""
         return list(self._current_blocks(table))
 
-    def is_small(self, table: str, limit: int = SMALL_BYTES) -> bool:
-        """Whether the table's current files hold at most ``limit`` bytes."""
-        total = 0
-        for path in self._paths(table):
-            location = self._path(path)
-            if self._fs(location).exists(location):
-                total += self._fs(location).getContentSummary(location).getLength()
-            if total > limit:
-                return False
-        return True
+    def consumed(self, table: str) -> int:
+        """Version of its source that the table has taken in; 0 if that is not known."""
+        for number, _ in sorted(self._published(table), reverse=True):
+            for name in self._names(self._version_path(table, number)):
+                if name.startswith(_CONSUMED):
+                    return int(name.removeprefix(_CONSUMED))
+        return 0
+
+    def pending_blocks(self, table: str, since: int) -> list[int]:
+        """Blocks that versions published after ``since`` have written."""
+        found: set[int] = set()
+        for number, _ in self._published(table):
+            if number > since:
+                found.update(self._blocks_in(self._version_path(table, number)))
+        return sorted(found)
 
     def range_of(self, blocks: Iterable[int]) -> int:
         """Width of the id range that the blocks span."""
@@ -123,14 +127,26 @@ class Warehouse:
             shaped.write.parquet(path)
         return table, number, _PARTIAL if partial else _WHOLE
 
-    def publish(self, *staged: tuple[str, int, str]) -> None:
-        """Make staged versions current; nothing but marker files is written here."""
+    def publish(
+        self,
+        *staged: tuple[str, int, str],
+        consumed: Mapping[str, int] | None = None,
+    ) -> None:
+        """Make staged versions current; nothing but marker files is written here.
+
+        ``consumed`` names, per table, the version of its source that it took in.
+        """
         for table, number, kind in staged:
-            marker = self._path(f"{self._version_path(table, number)}/{kind}")
-            self._fs(marker).create(marker, True).close()
+            path = self._version_path(table, number)
+            if consumed and table in consumed:
+                self._touch(f"{path}/{_CONSUMED}{consumed[table]}")
+            self._touch(f"{path}/{kind}")
 
-    def replace(self, table: str, df: DataFrame, **how: bool) -> None:
-        self.publish(self.stage(table, df, **how))
+    def replace(
+        self, table: str, df: DataFrame, consumed: int | None = None, **how: bool
+    ) -> None:
+        marks = None if consumed is None else {table: consumed}
+        self.publish(self.stage(table, df, **how), consumed=marks)
 
     def append(self, table: str, df: DataFrame) -> None:
         if table not in APPEND_ONLY:
@@ -183,17 +199,24 @@ class Warehouse:
         newest: dict[int, str] = {}
         for number, kind in sorted(self._published(table), reverse=True):
             path = self._version_path(table, number)
-            for name in self._names(path):
-                column, _, block = name.partition("=")
-                if not block:
-                    continue
-                if column != self._block:
-                    raise ValueError(f"{path} is cut by {column}, not by {self._block}")
-                newest.setdefault(int(block), f"{path}/{name}")
+            for block, name in self._blocks_in(path).items():
+                newest.setdefault(block, f"{path}/{name}")
             if kind == _WHOLE:
                 break
         return newest
 
+    def _blocks_in(self, path: str) -> dict[int, str]:
+        """Blocks of one version and the names of their folders."""
+        found: dict[int, str] = {}
+        for name in self._names(path):
+            column, _, block = name.partition("=")
+            if not block:
+                continue
+            if column != self._block:
+                raise ValueError(f"{path} is cut by {column}, not by {self._block}")
+            found[int(block)] = name
+        return found
+
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
@@ -214,6 +237,10 @@ class Warehouse:
                     found.append((number, kind))
         return found
 
+    def _touch(self, path: str) -> None:
+        marker = self._path(path)
+        self._fs(marker).create(marker, True).close()
+
     def _names(self, path: str) -> list[str]:
         folder = self._path(path)
         files = self._fs(folder)
