@@ -170,14 +170,14 @@ _ROOT_BODY = f"""SELECT product_type, quality_grade, failure_mode_name,
 FROM ranked"""
 
 
-def _leaders(n: int) -> str:
+def _leaders(n: int, where: str = "true") -> str:
     return f"""
 SELECT udi, product_id, product_quality_grade AS quality_grade,
   strain_c / 100e0 AS overstrain_metric, CAST(wear AS BIGINT) AS tool_wear_min,
   torque_c / 100e0 AS torque_nm, diff_c / 100e0 AS temp_differential_c,
   power_c / 100e0 AS mechanical_power_kw, mode AS failure_mode_name, is_failure,
   CAST(dense_rank() OVER (ORDER BY strain_c DESC) AS BIGINT) AS risk_rank
-FROM s ORDER BY strain_c DESC, udi LIMIT {n}"""
+FROM s WHERE {where} ORDER BY strain_c DESC, udi LIMIT {n}"""
 
 
 # --- quality: one SELECT per check ---------------------------------------------
@@ -408,6 +408,13 @@ last_of AS (
               AS loaded_at, r.udi IS NOT NULL AS kept_key
             FROM raw r FULL OUTER JOIN again u ON r.udi = u.udi""",
         ),
+        "incremental_catch_up": _q(
+            _RAW,
+            """SELECT coalesce(r.udi, u.udi) AS udi,
+              CAST(coalesce(u.torque_nm, r.torque_nm) AS DOUBLE) AS torque_nm,
+              coalesce(u.machine_failure, r.machine_failure) = 1 AS is_failure
+            FROM raw r FULL OUTER JOIN again u ON r.udi = u.udi""",
+        ),
         "anomaly_features": _q(
             _FEATURES,
             f"""SELECT {_FEED}, strain_c / 100e0 AS overstrain_metric,
@@ -416,12 +423,12 @@ last_of AS (
         "rolling_halo": _q(
             _FEATURES,
             f"""SELECT udi, product_type, {_ROLLING},
-              round(mean_p, 6) AS rolling_avg_power_kw FROM features""",
+              round(mean_p, 6) AS rolling_avg_power_kw, {_SCORE} FROM features""",
         ),
         "features_table": _q(
             _FEATURES,
             f"""SELECT udi, product_id, round(mean_t, 6) AS rolling_avg_torque, {_SCORE}
-            FROM features WHERE product_type = 'H'""",
+            FROM features""",
         ),
         "anomaly_top_step": _q(
             _FEATURES,
@@ -469,6 +476,7 @@ last_of AS (
             FROM ranked ORDER BY product_type, place, failure_mode_name""",
         ),
         "leaderboard": _q(_STAR, _leaders(25)),
+        "leaderboard_gaps": _q(_STAR, _leaders(25, "product_id NOT LIKE '%3'")),
         "leaderboard_short": _q(_STAR, _leaders(15)),
         "stress_top": _q(
             _STAR,

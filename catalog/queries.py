@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,12 @@ from gaugeworks.operators.upsert import upsert
 from gaugeworks.plans import adhoc, analytics, summary
 from gaugeworks.plans import quality as gate
 from gaugeworks.plans.runner import materialize_features, run_load
-from gaugeworks.plans.staging import to_staging
+from gaugeworks.plans.staging import load_staging, to_staging
 from gaugeworks.plans.star import (
     build_dim_equipment,
     build_fact,
     equipment_rows,
+    load_star,
     merge_fact,
 )
 from gaugeworks.schemas import (
@@ -45,6 +47,7 @@ from gaugeworks.sources.readings import (
     file_order,
     ingest_batch,
     load_batch,
+    load_raw,
     rename_columns,
 )
 from gaugeworks.sources.tables import Warehouse
@@ -272,6 +275,17 @@ def fact_reload(spark, sf_dir):
     )
 
 
+@_query
+def incremental_catch_up(spark, sf_dir):
+    """A batch that reached raw only, then an incremental load after the next one."""
+    warehouse = Warehouse(spark, scratch_path(spark, "catch-up"))
+    for batch in (fx.raw_batch(spark, sf_dir), fx.second_batch(spark, sf_dir)):
+        load_raw(warehouse, written(batch, "landing"))
+    load_staging(warehouse, fx.RELOADED_AT, pending_only=True)
+    load_star(warehouse, fx.RELOADED_AT, pending_only=True)
+    return warehouse.read(FACT_TABLE).select("udi", "torque_nm", "is_failure")
+
+
 # --- analytics ----------------------------------------------------------------
 
 
@@ -300,16 +314,17 @@ def rolling_halo(spark, sf_dir):
         "rolling_std_torque",
         "torque_step_delta",
         "rolling_avg_power_kw",
+        "torque_z_score",
+        "is_torque_anomaly",
     )
 
 
 @_query
 def features_table(spark, sf_dir):
-    """The features written once and read back for one product type."""
+    """The features written once and read back."""
     path = scratch_path(spark, "features")
     materialize_features(fx.warehouse(spark, sf_dir), path)
-    rows = spark.read.parquet(path).filter("product_type = 'H'")
-    return _six_places(rows).select(
+    return _six_places(spark.read.parquet(path)).select(
         "udi", "product_id", "rolling_avg_torque", "torque_z_score", "is_torque_anomaly"
     )
 
@@ -360,6 +375,14 @@ def leaderboard(spark, sf_dir):
     return analytics.leaderboard(fx.star(spark, sf_dir))
 
 
+@_query
+def leaderboard_gaps(spark, sf_dir):
+    """The leaderboard while a tenth of the machines have no dimension row."""
+    star = fx.star(spark, sf_dir)
+    known = star.equipment.filter(~F.col("product_id").endswith("3"))
+    return analytics.leaderboard(replace(star, equipment=known))
+
+
 @_query
 def leaderboard_short(spark, sf_dir):
     return analytics.leaderboard(fx.star(spark, sf_dir), 15)
