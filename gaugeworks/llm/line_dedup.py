@@ -1,10 +1,11 @@
-"""Near-duplicate lines by a segment-partition edit join.
-
-A line is cut into ``edits + 1`` segments. A line within ``edits`` edits of it holds one of
-them unchanged, shifted by at most ``edits`` places. So lines meet in regions keyed by
-(length, segment number, segment): a line enters its own, and, for each shorter length in
-reach, those of its substrings at the places an alignment allows. A banded bit-parallel
-edit distance verifies what meets.
+"""Repeated lines by digest, near-duplicate lines by a segment-partition edit join.
+
+Equal lines of any length are one by their digest. Of two lines the shorter says how many
+edits may lie between them (``letter_edits``). It is cut into one segment more than that;
+a line within reach holds one of them unchanged, shifted by at most as many places. So
+lines meet in regions keyed by (length, segment number, segment): a line enters its own,
+and, for each shorter length in reach, those of its substrings at the places an alignment
+allows. A banded bit-parallel edit distance verifies what meets.
 """
 
 from __future__ import annotations
@@ -20,6 +21,16 @@ from gaugeworks.llm.linking import link_classes
 from gaugeworks.session import written
 
 
+#: One edit per so many letters, up to MOST_EDITS.
+LETTERS_PER_EDIT = 20
+MOST_EDITS = 2
+
+
+def letter_edits(length: int) -> int:
+    """Edits allowed to a line of ``length`` letters, the shorter of two."""
+    return min(length // LETTERS_PER_EDIT, MOST_EDITS)
+
+
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
     """(start, length) of the even cut of a line into ``edits + 1`` segments."""
     parts = edits + 1
@@ -32,22 +43,42 @@ def segments(length: int, edits: int) -> list[tuple[int, int]]:
     return out
 
 
-def substring_keys(line: str, edits: int) -> list[int]:
-    """Regions of a line. For an indexed length and segment k (from 0), the substring may
-    start within k edits to its left and, counted from the right end, within the segments
-    that remain; an alignment exists where both windows meet."""
+def _aligned_keys(line: str, length: int, edits: int) -> set[int]:
+    """Regions of a line among lines of ``length`` letters, its own or fewer. For segment k
+    (from 0), the substring may start within k edits to its left and, counted from the right
+    end, within the segments that remain; an alignment exists where both windows meet."""
     n, keys = len(line), set()
-    for length in range(max(n - edits, edits + 1), n + 1):
-        gap = n - length
-        for k, (at, size) in enumerate(segments(length, edits)):
-            low = max(0, at - k, at + gap - (edits - k))
-            high = min(n - size, at + k, at + gap + (edits - k))
-            for start in range(low, high + 1):
-                key = f"{length}:{k}:{line[start : start + size]}"
-                keys.add(xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass")))
+    gap = n - length
+    for k, (at, size) in enumerate(segments(length, edits)):
+        low = max(0, at - k, at + gap - (edits - k))
+        high = min(n - size, at + k, at + gap + (edits - k))
+        for start in range(low, high + 1):
+            key = f"{length}:{k}:{line[start : start + size]}"
+            keys.add(xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass")))
+    return keys
+
+
+def _signed(keys: set[int]) -> list[int]:
     return [key - (1 << 64) if key >> 63 else key for key in keys]
 
 
+def substring_keys(line: str, edits: int) -> list[int]:
+    """Regions of a line where lines of all lengths have ``edits`` edits."""
+    n = len(line)
+    lengths = range(max(n - edits, edits + 1), n + 1)
+    return _signed(set().union(*[_aligned_keys(line, length, edits) for length in lengths]))
+
+
+def scaled_keys(line: str) -> list[int]:
+    """Regions of a line where each length has its own ``letter_edits``."""
+    n, keys = len(line), set()
+    for length in range(n - letter_edits(n), n + 1):
+        edits = letter_edits(length)
+        if edits and n - length <= edits:
+            keys |= _aligned_keys(line, length, edits)
+    return _signed(keys)
+
+
 def within_edits(a: str, b: str, edits: int) -> bool:
     """Whether the edit distance is at most ``edits``. Bit j of a level is the diagonal
     j - edits of the band; a level's bits are the cells reachable with that many edits."""
@@ -77,31 +108,29 @@ def within_edits(a: str, b: str, edits: int) -> bool:
     return any(level >> end & 1 for level in levels)
 
 
-def _region_rows(edits: int):
-    def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
-        for p in pieces:
-            regions, ids, sizes = [], [], []
-            for key, line in zip(p["id"], p["line"], strict=True):
-                found = substring_keys(line, edits)
-                regions += found
-                ids += [key] * len(found)
-                sizes += [len(line)] * len(found)
-            yield regions, ids, sizes
+def near(a: str, b: str) -> bool:
+    return within_edits(a, b, letter_edits(min(len(a), len(b))))
 
-    return rows
 
+def _region_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+    for p in pieces:
+        regions, ids, sizes = [], [], []
+        for key, line in zip(p["id"], p["line"], strict=True):
+            found = scaled_keys(line)
+            regions += found
+            ids += [key] * len(found)
+            sizes += [len(line)] * len(found)
+        yield regions, ids, sizes
 
-def _pair_rows(edits: int):
-    def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
-        for p in pieces:
-            good = [
-                (a, b)
-                for a, b, x, y in zip(p["a"], p["b"], p["x"], p["y"], strict=True)
-                if within_edits(x, y, edits)
-            ]
-            yield [a for a, _ in good], [b for _, b in good]
 
-    return rows
+def _pair_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+    for p in pieces:
+        good = [
+            (a, b)
+            for a, b, x, y in zip(p["a"], p["b"], p["x"], p["y"], strict=True)
+            if near(x, y)
+        ]
+        yield [a for a, _ in good], [b for _, b in good]
 
 
 def _plain(line: Column) -> Column:
@@ -113,18 +142,16 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.unhex(F.md5(F.concat_ws(":", own, F.coalesce(docs[text_col], F.lit("")))))
 
 
-def line_classes(
-    docs: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int
-) -> DataFrame:
-    """(row_key, at, id): every line of ``min_chars`` or more letters with its class, the
-    digest of one line of it, and ``keep``, whether it is the first of its class."""
+def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row_key, at, id, keep): every line that is not blank and has others in its class, by
+    the digest of one line of the class, and whether it is the first of its class."""
     last = F.lit((1 << 63) - 1)
     lines = docs.select(
         F.coalesce(docs[id_col].cast("long"), last).alias("doc"),
         _row_key(docs, id_col, text_col).alias("row_key"),
         F.posexplode(F.split(F.coalesce(docs[text_col], F.lit("")), "\n")).alias("at", "line"),
     ).withColumn("line", _plain(F.col("line")))
-    lines = lines.filter(F.char_length("line") >= max(min_chars, edits + 1))
+    lines = lines.filter(F.col("line") != "")
     lines = lines.withColumn("id", F.unhex(F.md5("line")))
     distinct = lines.groupBy("id").agg(
         F.any_value("line").alias("line"), F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n_rows")
@@ -132,16 +159,16 @@ def line_classes(
     distinct = written(distinct, "lines")
     fields = "region long,id binary,size long"
     regions = distinct.select("id", "line").mapInArrow(
-        rows_like(fields, _region_rows(edits), 1024), fields
+        rows_like(fields, _region_rows, 1024), fields
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = distinct.select(F.col("id").alias("a"), F.col("line").alias("x"))
         right = distinct.select(F.col("id").alias("b"), F.col("line").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return both.mapInArrow(rows_like("a binary,b binary", _pair_rows(edits), 1024), "a binary,b binary")
+        return both.mapInArrow(rows_like("a binary,b binary", _pair_rows, 1024), "a binary,b binary")
 
-    roots = link_classes(regions, lambda _: verified, size_gap=edits)
+    roots = link_classes(regions, lambda _: verified, size_gap=MOST_EDITS)
     named = distinct.select("id", "first", "n_rows").join(roots, "id", "left")
     named = written(named.withColumn("class", F.coalesce("root", "id")).drop("root"), "line-classes")
     # classes of one line that occurs once have nothing to drop
@@ -160,19 +187,16 @@ def line_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    edits: int = 2,
-    min_chars: int = 80,
 ) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, and n_lines, n_dropped added
     (input columns of these names are replaced).
 
-    Lines are compared with white-space runs as one space. Lines of ``min_chars`` or more
-    that are within ``edits`` edits of each other form classes (single link); of a class the
-    line of the smallest doc_id, then of the first place, stays. Shorter lines always stay,
-    so empty ones do. A null text stays null and has no lines; an empty one has one. Null
+    Lines are compared with white-space runs as one space. Lines that are equal or within
+    the ``letter_edits`` of the shorter one form classes (single link); of a class the line
+    of the smallest doc_id, then of the first place, stays. Blank lines always stay. A null text stays null and has no lines; an empty one has one. Null
     ids sort last. Rows that repeat both id and text are one document and get equal
     answers. An empty table gives no rows; other columns are passed on."""
-    drops = line_classes(docs, id_col, text_col, edits, min_chars).filter("NOT keep")
+    drops = line_classes(docs, id_col, text_col).filter("NOT keep")
     # at most as many numbers as the document has lines
     drops = drops.groupBy("row_key").agg(F.collect_set("at").alias("dropped_at"))
     drops = written(drops, "dropped-lines")

@@ -58,6 +58,30 @@ def test_line_dedup(spark):
     assert line_dedup.line_dedup(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_short_lines(spark):
+    texts = ["MIT\nPermission is granted.\n\n1", " MIT \n\nPermission is granted!\n2", "MIT\n \nMIT\n1\nMID"]
+    out = {r["doc_id"]: r for r in line_dedup.line_dedup(frame(spark, texts)).collect()}
+    assert out[0]["text"] == texts[0]
+    assert out[1]["text"] == "\n2" and out[1]["n_dropped"] == 2
+    assert out[2]["text"] == " \nMID" and out[2]["n_dropped"] == 3
+
+
+def test_scaled_segments():
+    import random
+
+    random.seed(5)
+    for _ in range(1500):
+        a = "".join(random.choice("ab") for _ in range(random.choice([18, 19, 20, 21, 38, 39, 40, 41, 42, 60])))
+        b = a
+        for _ in range(random.randint(0, 3)):
+            at = random.randint(0, len(b))
+            b = b[:at] + random.choice(["", "a", "b"]) + b[at + random.randint(0, 1) :]
+        reach = line_dedup.letter_edits(min(len(a), len(b)))
+        assert line_dedup.near(a, b) == (distance(a, b) <= reach)
+        if reach and distance(a, b) <= reach:
+            assert set(line_dedup.scaled_keys(a)) & set(line_dedup.scaled_keys(b))
+
+
 def test_jaccard_join(spark):
     close = LONG.replace("word39", "end")
     docs = frame(spark, [None, close + " x", LONG, "", LONG, "Two words", "two  WORDS", close])
