@@ -22,6 +22,8 @@ from gaugeworks.session import written
 
 #: The letter that stands for a space in pieces.
 SPACE = "▁"
+#: The segment of one space at the end of a text.
+SPACE_AT_END = " "
 _SEGMENTS = re.compile(" *[^ ]+| +")
 
 
@@ -51,8 +53,12 @@ class Counts(dict):
     def __missing__(self, segment: str) -> int:
         if len(self) >= self.most:
             self.clear()
-        # the library puts one space in front itself
-        found = len(self.sp.encode(segment[1:]))
+        if segment == SPACE_AT_END:
+            # alone it would be an empty text to the library
+            found = len(self.sp.encode("a ")) - len(self.sp.encode("a"))
+        else:
+            # the library puts one space in front itself
+            found = len(self.sp.encode(segment[1:]))
         if len(segment) <= 1000:
             self[segment] = found
         return found

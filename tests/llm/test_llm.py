@@ -11,6 +11,7 @@ from gaugeworks.llm import (
     pii,
     quality,
     secrets,
+    token_counts,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label string"
@@ -167,3 +168,20 @@ def test_common_subsequence():
 
     a, b = np.array([1, 2, 3, 4, 2]), np.array([2, 9, 3, 2, 1])
     assert decontaminate.common_subsequence(a, b) == 3
+
+
+def test_token_counts_are_the_library_s(spark):
+    import random
+
+    import public_tokenizers
+
+    random.seed(7)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["hello ", "hello", "hello  ", " ", "  ", "   ", "", " a", "  a b", "a  b ", "\u2581", "a\u2581", "a \u2581b", "\n ", " \n"]
+    texts += ["".join(random.choices(["a", "the", " ", "\u2581", "\n", "\xe9", "!"], k=random.randint(1, 12))) for _ in range(400)]
+    sp = token_counts.model(path)
+    rows = token_counts.token_counts(frame(spark, [*texts, None]), path).collect()
+    got = {r["doc_id"]: r["n_tokens"] for r in rows}
+    assert got == {k: len(sp.encode(t)) for k, t in enumerate([*texts, ""])}
+    edge = token_counts.token_counts(frame(spark, ["hello "]), path, limit=2).first()
+    assert edge["over_limit"]
