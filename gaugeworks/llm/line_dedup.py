@@ -6,12 +6,19 @@ a line within reach holds one of them unchanged, shifted by at most as many plac
 lines meet in regions keyed by (length, segment number, segment): a line enters its own,
 and, for each shorter length in reach, those of its substrings at the places an alignment
 allows. A banded bit-parallel edit distance verifies what meets.
+
+Longer lines may also differ in words, the more the longer they are (``word_edits``). What
+the edits leave untouched holds a run of words whose least length is known; both lines have
+the least hash of the word n-grams of that run, and meet in its region, wherever it stands.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
+from itertools import repeat
 
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +38,65 @@ def letter_edits(length: int) -> int:
     return min(length // LETTERS_PER_EDIT, MOST_EDITS)
 
 
+#: One word may differ from LEAST_WORDS words on, and one more per WORDS_PER_EDIT.
+LEAST_WORDS = 12
+WORDS_PER_EDIT = 24
+#: Scales of lines by words: (from, words of an n-gram, n-grams of a run). A line of
+#: ``from`` words or more whose words are cut by the edits has a run of both sizes less one.
+SCALES = ((LEAST_WORDS, 4, 3), (WORDS_PER_EDIT, 5, 4), (2 * WORDS_PER_EDIT, 6, 7))
+#: The least ratio of sizes, in letters or in words, that the edits allow.
+SIZE_RATIO = 0.92
+#: What stands between spaces, but each letter of scripts written without them.
+_NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORDS = re.compile(f"[{_NO_SPACES}]|[^{_NO_SPACES}\x20\x09-\x0d]+")
+
+
+def word_edits(n_words: int) -> int:
+    """Changed, missing or further words allowed to a line of ``n_words``, the shorter."""
+    return 1 + n_words // WORDS_PER_EDIT if n_words >= LEAST_WORDS else 0
+
+
+def scales_of(n_words: int) -> set[int]:
+    """The scales a line takes part in: its own and that of the shortest line in reach."""
+    ends = (n_words, n_words - word_edits(n_words))
+    return {sum(n >= least for least, _, _ in SCALES) - 1 for n in ends if n >= LEAST_WORDS}
+
+
+def word_regions(lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(region, index of the line) of lines as words: per scale the least n-gram hashes of
+    all runs."""
+    sizes = np.array([len(words) for words in lines], np.int64)
+    known: dict[str, int] = {}
+    for words in lines:
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+    hashes = np.fromiter((known[w] for words in lines for w in words), np.uint64, int(sizes.sum()))
+    owner = np.repeat(np.arange(len(lines)), sizes)
+    regions, owners = [], []
+    for scale, (_, gram, run) in enumerate(SCALES):
+        part = np.array([scale in scales_of(n) for n in sizes.tolist()], bool)
+        chosen = part[owner] if len(owner) else np.zeros(0, bool)
+        words, of = hashes[chosen], owner[chosen]
+        if len(words) < gram + run - 1:
+            continue
+        grams = np.full(len(words) - gram + 1, scale + 1, np.uint64)
+        for k in range(gram):
+            grams = (grams ^ words[k : k + len(grams)]) * np.uint64(0x9E3779B97F4A7C15)
+            grams ^= grams >> np.uint64(29)
+        least = np.lib.stride_tricks.sliding_window_view(grams, run).min(1)
+        # runs that lie in one line, each least n-gram once where it is the same in a row
+        first, last = of[: len(least)], of[gram + run - 2 :]
+        new = np.ones(len(least), bool)
+        new[1:] = (least[1:] != least[:-1]) | (first[1:] != first[:-1]) | (first[:-1] != last[:-1])
+        good = (first == last) & new
+        regions.append(least[good].view(np.int64))
+        owners.append(first[good])
+    if not regions:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(regions), np.concatenate(owners)
+
+
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
     """(start, length) of the even cut of a line into ``edits + 1`` segments."""
     parts = edits + 1
@@ -79,7 +145,7 @@ def scaled_keys(line: str) -> list[int]:
     return _signed(keys)
 
 
-def within_edits(a: str, b: str, edits: int) -> bool:
+def within_edits(a: Sequence[str], b: Sequence[str], edits: int) -> bool:
     """Whether the edit distance is at most ``edits``. Bit j of a level is the diagonal
     j - edits of the band; a level's bits are the cells reachable with that many edits."""
     if abs(len(a) - len(b)) > edits:
@@ -109,7 +175,12 @@ def within_edits(a: str, b: str, edits: int) -> bool:
 
 
 def near(a: str, b: str) -> bool:
-    return within_edits(a, b, letter_edits(min(len(a), len(b))))
+    """Whether two lines are within the edits of the shorter, in letters or in words."""
+    if within_edits(a, b, letter_edits(min(len(a), len(b)))):
+        return True
+    x, y = _WORDS.findall(a), _WORDS.findall(b)
+    edits = word_edits(min(len(x), len(y)))
+    return edits > 0 and within_edits(x, y, edits)
 
 
 def _region_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
@@ -118,8 +189,13 @@ def _region_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
         for key, line in zip(p["id"], p["line"], strict=True):
             found = scaled_keys(line)
             regions += found
-            ids += [key] * len(found)
-            sizes += [len(line)] * len(found)
+            ids += repeat(key, len(found))
+            sizes += repeat(len(line), len(found))
+        lines = [_WORDS.findall(line) for line in p["line"]]
+        found, owners = word_regions(lines)
+        regions += found.tolist()
+        ids += [p["id"][k] for k in owners.tolist()]
+        sizes += [len(lines[k]) for k in owners.tolist()]
         yield regions, ids, sizes
 
 
@@ -168,7 +244,7 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return both.mapInArrow(rows_like("a binary,b binary", _pair_rows, 1024), "a binary,b binary")
 
-    roots = link_classes(regions, lambda _: verified, size_gap=MOST_EDITS)
+    roots = link_classes(regions, lambda _: verified, size_ratio=SIZE_RATIO)
     named = distinct.select("id", "first", "n_rows").join(roots, "id", "left")
     named = written(named.withColumn("class", F.coalesce("root", "id")).drop("root"), "line-classes")
     # classes of one line that occurs once have nothing to drop
@@ -192,8 +268,9 @@ def line_dedup(
     (input columns of these names are replaced).
 
     Lines are compared with white-space runs as one space. Lines that are equal or within
-    the ``letter_edits`` of the shorter one form classes (single link); of a class the line
-    of the smallest doc_id, then of the first place, stays. Blank lines always stay. A null text stays null and has no lines; an empty one has one. Null
+    the ``letter_edits`` or the ``word_edits`` of the shorter one form classes (single
+    link); of a class the line of the smallest doc_id, then of the first place, stays. Blank
+    lines always stay. A null text stays null and has no lines; an empty one has one. Null
     ids sort last. Rows that repeat both id and text are one document and get equal
     answers. An empty table gives no rows; other columns are passed on."""
     drops = line_classes(docs, id_col, text_col).filter("NOT keep")

@@ -83,6 +83,47 @@ def test_scaled_segments():
             assert set(line_dedup.scaled_keys(a)) & set(line_dedup.scaled_keys(b))
 
 
+def test_changed_words():
+    import random
+
+    random.seed(6)
+    lines = []
+    for n in [*range(10, 30), 46, 47, 48, 49, 50, 51, 71, 72, 73, 100, 150] * 4:
+        words = [random.choice("abcdefghijkl") * 3 for _ in range(n)]
+        other = list(words)
+        for _ in range(random.randint(1, 1 + n // 20)):
+            at = random.randrange(len(other))
+            other[at : at + random.randint(0, 1)] = random.choice([[], ["new"], ["other", "more"]])
+        lines += [words, other]
+    regions, owners = line_dedup.word_regions(lines)
+    own = [set() for _ in lines]
+    for region, owner in zip(regions.tolist(), owners.tolist()):
+        own[owner].add(region)
+    n_near = 0
+    for k in range(0, len(lines), 2):
+        a, b = lines[k], lines[k + 1]
+        reach = line_dedup.word_edits(min(len(a), len(b)))
+        if reach and distance(a, b) <= reach:
+            n_near += 1
+            assert own[k] & own[k + 1]
+            assert line_dedup.near(" ".join(a), " ".join(b))
+    assert n_near > 60
+    low = line_dedup.SIZE_RATIO
+    for n in range(12, 500):
+        assert n >= low * (n + line_dedup.word_edits(n))
+    for n in range(20, 500):
+        assert n >= low * (n + line_dedup.letter_edits(n))
+
+
+def test_line_dedup_of_changed_words(spark):
+    replaced = LONG.replace("word7 ", "something ")
+    docs = frame(spark, [LONG, "own\n" + replaced, LONG.replace("word2", "else")])
+    out = {r["doc_id"]: r for r in line_dedup.line_dedup(docs).collect()}
+    assert out[1]["text"] == "own" and out[0]["n_dropped"] == 0
+    # twelve of its words differ
+    assert out[2]["n_dropped"] == 0
+
+
 def test_jaccard_join(spark):
     close = LONG.replace("word39", "end")
     docs = frame(spark, [None, close + " x", LONG, "", LONG, "Two words", "two  WORDS", close])
