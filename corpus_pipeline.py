@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated long lines go. A document of which nothing but white space is left, having
+    """Repeated lines of any length go. A document of which nothing but white space is left, having
     had some, goes too: all it said stands in documents that stay."""
     out = line_dedup.line_dedup(docs)
     emptied = (F.col("n_dropped") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")

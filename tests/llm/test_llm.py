@@ -2,6 +2,7 @@
 
 import re
 
+import corpus_pipeline
 import pytest
 
 from gaugeworks.llm import (
@@ -226,3 +227,12 @@ def test_token_counts_are_the_library_s(spark):
     assert got == {k: len(sp.encode(t)) for k, t in enumerate([*texts, ""])}
     edge = token_counts.token_counts(frame(spark, ["hello "]), path, limit=2).first()
     assert edge["over_limit"]
+
+
+def test_pipeline_leaves_one_of_each_exact_copy(spark):
+    groups = [f"{LONG} {k * k}\nTitle {k}\n\n" + "\n".join(f"Own {k} {j}." for j in range(k + 1)) for k in range(4)]
+    texts = [*groups, "Quite alone.", *groups, groups[0].replace("\n", " \n"), *groups[2:]]
+    docs = frame(spark, texts)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        docs = stage(spark, docs, None)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [0, 1, 2, 3, 4]
