@@ -205,6 +205,20 @@ def test_decontaminate(spark, size):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_what_the_cosine_misses(spark):
+    item = " ".join(f"item{k}" for k in range(60))
+    long = " ".join(f"long{k}" for k in range(150))
+    plain = " ".join(f"plain{k}" for k in range(200))
+    half, across = " ".join(item.split()[20:50]), " ".join(long.split()[44:58])
+    texts = [f"{plain} {item} {plain}", f"{plain} {half} {plain}", f"{plain} {across}", f"{plain} {' '.join(half.split()[:12])}"]
+    items = spark.createDataFrame([(7, item), (9, long)], "item_id long, text string")
+    blind = decontaminate.Rules(cosine=2.0)
+    out = decontaminate.contaminated(frame(spark, texts), items, rules=blind).collect()
+    got = {(r["doc_id"], r["item_id"]): r["lcs_share"] for r in out}
+    assert set(got) == {(0, 7), (1, 7), (2, 9)}
+    assert got[0, 7] == 1.0 and got[1, 7] == 0.5
+
+
 def test_common_subsequence():
     import numpy as np
 
