@@ -18,6 +18,7 @@ from gaugeworks.llm import (
     pii,
     quality,
     secrets,
+    simhash,
     token_counts,
     warc,
 )
@@ -74,6 +75,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items).drop("text_key")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -90,6 +95,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_pii,
         op9_bpe,
         op10_decontaminate,
+        op11_simhash,
         pipeline,
     )
     return {f.__name__: f for f in registered}
