@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.blocks import block_of, block_span
+from gaugeworks.operators.blocks import LAST_KEY, Blocks, equal_blocks
 from gaugeworks.session import written
 
 # monotonically_increasing_id keeps the row's place in the low 33 bits.
@@ -55,31 +55,28 @@ def global_ordinal(
     )
 
 
-def key_ordinal(
-    df: DataFrame, key: str, name: str = "ordinal", span: Column | int | None = None
+def counted_ordinal(
+    df: DataFrame,
+    value: str,
+    tiebreak: str | None = None,
+    name: str = "ordinal",
+    rows: int | None = None,
+    blocks: Blocks | None = None,
 ) -> DataFrame:
-    """Number rows 1..n by a unique integer key, lazily and without sampling.
+    """Number rows 1..n by an integer ``value`` without NULLs, lazily and without sampling.
 
-    Counts per block (at most ``MAX_BLOCKS`` rows, broadcast) give each block its
-    offset; rows are numbered within their block.
+    Rows are counted level by level until blocks of at most ``rows`` rows are known, and
+    with them the rows ahead of each. A row's block follows from its key, its number in
+    the block from a window over the block. A value held by a third of the rows is cut by
+    the integer ``tiebreak``; without one, values must be unique.
     """
-    span = block_span(df, key) if span is None else span
-    cut = df.withColumn("_block", block_of(key, span))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy("_block")
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            "_block",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        )
-    )
-    place = F.row_number().over(Window.partitionBy("_block").orderBy(key))
-    return (
-        cut.withColumn("_row", place)
-        .join(F.broadcast(offsets), "_block")
-        .select(*df.columns, (F.col("_before") + F.col("_row")).alias(name))
-    )
+    order = [value] if tiebreak is None else [value, tiebreak]
+    if blocks is None:
+        blocks = equal_blocks(df, *order, rows=rows)
+    cut = df.withColumn("_block", blocks.number())
+    place = F.row_number().over(Window.partitionBy("_block").orderBy(*order))
+    ordinal = blocks.ahead(F.col("_block")) + place
+    return cut.withColumn(name, ordinal).drop("_block")
 
 
 def tile_of(ordinal: Column, rows: Column, tiles: int) -> Column:
@@ -104,29 +101,54 @@ def _div(numerator: Column, denominator: Column | int) -> Column:
 
 
 def ntile_exact(
-    df: DataFrame, tiles: int, *order: Column, name: str = "tile"
+    df: DataFrame, tiles: int, value: str, tiebreak: str, name: str = "tile", rows: int | None = None
 ) -> DataFrame:
-    """NTILE over the whole table, row by row."""
-    numbered = global_ordinal(df, *order, name="_ordinal")
-    # the numbered rows are a written table, whose count is in its footers
-    rows = F.lit(numbered.count()).cast("bigint")
-    return numbered.select(
-        *df.columns, tile_of(F.col("_ordinal"), rows, tiles).alias(name)
-    )
+    """NTILE over the whole table, row by row, in ascending order of ``value``, NULLs last."""
+    keyed = df.withColumn("_value", _nulls_last(value))
+    blocks = equal_blocks(keyed, "_value", tiebreak, rows=rows)
+    numbered = counted_ordinal(keyed, "_value", tiebreak, "_ordinal", blocks=blocks)
+    total = F.lit(blocks.total).cast("bigint")
+    return numbered.select(*df.columns, tile_of(F.col("_ordinal"), total, tiles).alias(name))
 
 
 def dense_rank_exact(
-    df: DataFrame, value: str, descending: bool = True, name: str = "dense_rank"
+    df: DataFrame,
+    value: str,
+    tiebreak: str,
+    descending: bool = True,
+    name: str = "dense_rank",
+    scale: int = 0,
+    rows: int | None = None,
 ) -> DataFrame:
-    """DENSE_RANK over the whole table: number the distinct values, join them back.
+    """DENSE_RANK over the whole table of a value with ``scale`` decimal places; NULLs rank
+    first where the order descends, else last.
 
-    The distinct values are unique, so a hot value is an ordinary skewed probe
-    side that adaptive execution can split.
+    The rank is the number of distinct values ahead of the row's block plus the rank in the
+    block. A value may go on in later blocks: it counts where it starts. So neither the
+    distinct values nor a hot value are gathered, and no row meets another table.
     """
-    column = F.col(value)
-    order = column.desc_nulls_first() if descending else column.asc_nulls_last()
-    ranks = global_ordinal(df.select(value).distinct(), order, name=name)
-    ranks = ranks.withColumnRenamed(value, "_value")
-    return df.join(ranks, F.col(value).eqNullSafe(F.col("_value"))).select(
-        *df.columns, name
+    key = (F.col(value) * 10**scale).cast("bigint") if scale else F.col(value)
+    key = _nulls_last(key)
+    keyed = df.withColumn("_value", -key if descending else key)
+    blocks = equal_blocks(keyed, "_value", tiebreak, rows=rows)
+    cut = keyed.withColumn("_block", blocks.number())
+    per_value = cut.groupBy("_block", "_value").agg(F.lit(1).alias("_one"))
+    per_block = per_value.groupBy("_block").agg(
+        F.count("*").alias("n"), F.min("_value").alias("low"), F.max("_value").alias("high")
     )
+    # one row per block
+    ahead, last, seen = {}, None, 0
+    for row in sorted(per_block.collect(), key=lambda r: r["_block"]):
+        shared = row.low == last
+        ahead[row["_block"]] = seen - shared
+        seen += row.n - shared
+        last = row.high
+    firsts = Blocks(("_value",), (), tuple(ahead.get(k, 0) for k in range(len(blocks.starts))), 0)
+    place = F.dense_rank().over(Window.partitionBy("_block").orderBy("_value"))
+    rank = firsts.ahead(F.col("_block")) + place
+    return cut.withColumn(name, rank).select(*df.columns, name)
+
+
+def _nulls_last(value: Column | str) -> Column:
+    column = F.col(value) if isinstance(value, str) else value
+    return F.coalesce(column.cast("bigint"), F.lit(LAST_KEY))

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.blocks import block_of, block_span
+from gaugeworks.operators.blocks import Blocks, equal_blocks
 
 BuildColumns = Callable[[WindowSpec, WindowSpec], dict[str, Column]]
 
@@ -19,7 +19,8 @@ def rolling(
     build: BuildColumns,
     preceding: int,
     inputs: Sequence[str],
-    span: Column | int | None = None,
+    blocks: Blocks | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``build(ordered, framed)`` computed per ``series`` in ``order``.
 
@@ -27,14 +28,14 @@ def rolling(
     of the current row and the ``preceding`` rows before it. ``inputs`` are the
     columns the expressions read and ``order`` is a unique integer.
 
-    A window partitioned by the series alone runs in one task per series. Here each
-    series is cut into blocks of ``order``, and every block receives copies of the
-    last ``preceding`` rows before it. A block has at most ``span`` rows because
-    ``order`` is unique, the copies are few, and the results equal the plain
-    window's, row by row.
+    A window partitioned by the series alone runs in one task per series. Here the order
+    is cut into blocks of at most ``rows`` rows (``equal_blocks``, unless given), and every
+    block of a series receives copies of the last ``preceding`` rows before it. The copies
+    are few, and the results equal the plain window's, row by row.
     """
-    span = block_span(df, order) if span is None else span
-    rows = df.withColumn("_block", block_of(order, span))
+    if blocks is None:
+        blocks = equal_blocks(df, order, rows=rows)
+    rows = df.withColumn("_block", blocks.number())
     halo = _halo(rows.select(series, order, *inputs, "_block"), series, order, preceding)
     stacked = rows.withColumn("_own", F.lit(True)).unionByName(
         halo.withColumn("_own", F.lit(False)), allowMissingColumns=True
@@ -63,7 +64,7 @@ def _halo(rows: DataFrame, series: str, order: str, preceding: int) -> DataFrame
     these tails, laid end to end, a row is in reach of a block exactly when the
     block's first row is among the next ``preceding`` rows - also when the blocks in
     between hold fewer rows than the frame. There are at most ``preceding`` tail rows
-    per block and ``MAX_BLOCKS`` blocks per series, however long the series is.
+    per block and series, however long the series is.
     """
     last = Window.partitionBy(series, "_block").orderBy(F.desc(order))
     tails = (

@@ -1,10 +1,13 @@
+import os
 import random
+import re
 
 import pytest
+from gaugeworks.session import shared_dir
 from gaugeworks.operators.ordinal import (
     dense_rank_exact,
+    counted_ordinal,
     global_ordinal,
-    key_ordinal,
     ntile_exact,
 )
 from gaugeworks.operators.tiles import tile_ends, tile_report
@@ -40,25 +43,45 @@ def test_hot_value_is_spread_over_ranges(spark):
     assert len(sizes) == 8 and max(sizes) < 600
 
 
-def test_key_ordinal_equals_row_number(spark):
+@pytest.mark.parametrize("rows", [2, 50, 10_000, None])
+def test_counted_ordinal_equals_row_number(spark, rows):
+    df = frame(spark, hot_rows(500, 3) + [(1500, 2**61)])
+    for order in (["id"], ["v", "id"]):
+        plain = df.withColumn("n", F.row_number().over(Window.orderBy(*order)))
+        ours = counted_ordinal(df, *order, name="n", rows=rows)
+        assert ours.exceptAll(plain).isEmpty() and ours.count() == 501
+
+
+def test_numbering_leaves_nothing_behind(spark):
+    """No written copy, no sampled ranges, and a window per block of rows."""
     df = frame(spark, hot_rows(500, 3))
-    plain = df.withColumn("n", F.row_number().over(Window.orderBy("id")))
-    for span in (1, 50, 10_000, None):
-        ours = key_ordinal(df, "id", name="n", span=span)
-        assert ours.exceptAll(plain).isEmpty() and ours.count() == 500
+    before = files_below(shared_dir(spark))
+    for numbered in (
+        ntile_exact(df, 5, "v", "id", rows=40),
+        dense_rank_exact(df, "v", "id", rows=40),
+    ):
+        text = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in text and "SinglePartition" not in text
+        assert re.search(r"hashpartitioning\(_block#\d+", text)
+        assert numbered.count() == 500
+    assert files_below(shared_dir(spark)) == before
+
+
+def files_below(path):
+    return sum(len(names) for _, _, names in os.walk(path))
 
 
 @pytest.mark.parametrize("tiles", [1, 4, 5])
 def test_ntile_equals_builtin(spark, tiles):
     df = frame(spark, hot_rows(503, 4))
     plain = df.withColumn("tile", F.ntile(tiles).over(Window.orderBy("v", "id")))
-    ours = ntile_exact(df, tiles, F.asc("v"), F.asc("id"))
+    ours = ntile_exact(df, tiles, "v", "id", rows=60)
     assert ours.exceptAll(plain).isEmpty()
 
 
 def test_ntile_with_equal_values_and_remainder(spark):
     df = frame(spark, [(7, i) for i in range(13)])
-    tiles = ntile_exact(df, 5, F.asc("v"), F.asc("id"))
+    tiles = ntile_exact(df, 5, "v", "id", rows=3)
     sizes = {r.tile: r["count"] for r in tiles.groupBy("tile").count().collect()}
     assert sizes == {1: 3, 2: 3, 3: 3, 4: 2, 5: 2}
 
@@ -69,8 +92,14 @@ def test_dense_rank_equals_builtin_and_keeps_nulls(spark):
     plain = df.withColumn(
         "dense_rank", F.dense_rank().over(Window.orderBy(F.desc_nulls_first("v")))
     )
-    ours = dense_rank_exact(df, "v")
-    assert ours.exceptAll(plain).isEmpty() and ours.count() == 302
+    for rows in (4, 40, None):
+        ours = dense_rank_exact(df, "v", "id", rows=rows)
+        assert ours.exceptAll(plain).isEmpty() and ours.count() == 302
+    ascending = df.withColumn(
+        "dense_rank", F.dense_rank().over(Window.orderBy(F.asc_nulls_last("v")))
+    )
+    ours = dense_rank_exact(df, "v", "id", descending=False, rows=30)
+    assert ours.exceptAll(ascending).isEmpty()
 
 
 def reports(df, tiles, max_cells):
