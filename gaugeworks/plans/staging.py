@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import features
+from gaugeworks.operators.changes import effective
 from gaugeworks.operators.upsert import upsert
 from gaugeworks.schemas import (
     QUARANTINE_TABLE,
@@ -17,6 +18,7 @@ from gaugeworks.schemas import (
     STAGING,
     STAGING_TABLE,
 )
+from gaugeworks.session import landed
 from gaugeworks.sources.tables import Warehouse
 
 # A reload recomputes everything but identity: a changed type shows in the grade only.
@@ -24,6 +26,9 @@ RELOAD_COLUMNS = [
     c for c in STAGING.names if c not in ("udi", "product_id", "product_type")
 ]
 
+# What makes a staging row another one; the rest are stamps.
+COMPARED = [c for c in RELOAD_COLUMNS if c not in ("batch_id", "transformed_at")]
+
 
 class MissingValuesError(ValueError):
     """Staging rows lack a required value."""
@@ -81,16 +86,20 @@ def load_staging(
     now: datetime,
     pending_only: bool = False,
     on_missing: str = "raise",
+    skip_unchanged: bool = False,
 ) -> None:
     """Merge the staging projection of raw into the staging table by ``udi``.
 
     With ``pending_only`` only the blocks of raw are read and recomputed that were
     written since staging last took from it, by whatever batch and however long ago. So
-    no batch is left out, and the cost follows the touched blocks, not the table.
+    no batch is left out, and the cost follows the touched blocks, not the table. With
+    ``skip_unchanged`` rows that would only get new stamps keep theirs, and blocks of such
+    rows are not written.
     """
     taken = warehouse.version(RAW_TABLE)
     if pending_only:
-        blocks = warehouse.pending_blocks(RAW_TABLE, warehouse.consumed(STAGING_TABLE))
+        since = warehouse.mark(STAGING_TABLE, "consumed")
+        blocks = warehouse.pending_blocks(RAW_TABLE, since)
         if not blocks and warehouse.version(STAGING_TABLE):
             return
         raw = warehouse.read(RAW_TABLE, blocks)
@@ -107,15 +116,34 @@ def load_staging(
         raise ValueError(f"on_missing must be raise or quarantine, not {on_missing!r}")
 
     projected = to_staging(raw, now)
+    marks = {"consumed": taken}
     if warehouse.version(STAGING_TABLE) == 0:
-        warehouse.replace(STAGING_TABLE, projected, taken, clustered=True)
+        starts = warehouse.blocks(RAW_TABLE)
+        warehouse.replace(STAGING_TABLE, projected, marks, starts=starts, clustered=True)
+        return
+    own = warehouse.overlapping(STAGING_TABLE, RAW_TABLE, blocks)
+    if skip_unchanged:
+        known = warehouse.read(STAGING_TABLE, own)
+        with landed(effective(projected, known, ["udi"], COMPARED), "staging-changes") as news:
+            touched = sorted(warehouse.touched(STAGING_TABLE, news))
+            if touched:
+                _merge_staging(warehouse, news, touched, marks)
+            else:
+                warehouse.publish(marks={STAGING_TABLE: marks})
         return
+    _merge_staging(warehouse, projected, own, marks)
+
+
+def _merge_staging(
+    warehouse: Warehouse, projected: DataFrame, own: list[int], marks: dict[str, int]
+) -> None:
     # raw is keyed by udi, so the projection cannot repeat a key
     merged = upsert(
-        warehouse.read(STAGING_TABLE, blocks),
+        warehouse.read(STAGING_TABLE, own),
         projected,
         ["udi"],
         RELOAD_COLUMNS,
         duplicates="unique",
     )
-    warehouse.replace(STAGING_TABLE, merged, taken, partial=True)
+    starts = warehouse.blocks(RAW_TABLE)
+    warehouse.replace(STAGING_TABLE, merged, marks, starts=starts, replaced=own)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from datetime import datetime
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions import features
-from gaugeworks.operators.blocks import span_for
-from gaugeworks.operators.ordinal import global_ordinal, key_ordinal
+from gaugeworks.operators.blocks import LEAST_KEY, Blocks
+from gaugeworks.operators.changes import effective
+from gaugeworks.operators.ordinal import counted_ordinal
 from gaugeworks.operators.upsert import resolve_duplicates, upsert
 from gaugeworks.schemas import (
     DIM_EQUIPMENT,
@@ -47,9 +50,10 @@ def equipment_rows(staging: DataFrame) -> DataFrame:
 
 
 def assign_keys(fresh: DataFrame, natural_key: str, key: str, top: int) -> DataFrame:
-    """Number new rows above ``top`` in the order of their natural key."""
-    numbered = global_ordinal(fresh, F.col(natural_key).asc(), name="_number")
-    return numbered.withColumn(key, F.col("_number") + F.lit(top)).drop("_number")
+    """Number new rows above ``top``, in the order of a hash of their natural key."""
+    hashed = fresh.withColumn("_hash", F.xxhash64(natural_key))
+    numbered = counted_ordinal(hashed, "_hash", name="_number")
+    return numbered.withColumn(key, F.col("_number") + F.lit(top)).drop("_hash", "_number")
 
 
 def build_dim_equipment(
@@ -125,30 +129,24 @@ def build_fact(
     )
 
 
-# Every load of the fact has its own range of keys, above those of earlier loads.
-KEYS_PER_LOAD = 1 << 40
+# What makes a fact row another one: neither its keys nor its time.
+COMPARED = [c for c in FACT.names if c not in ("telemetry_key", "udi", "loaded_at")]
 
 
 def merge_fact(
     existing: DataFrame | None,
     rows: DataFrame,
-    load: int,
-    low: int = 0,
-    width: int = KEYS_PER_LOAD,
+    first: int = 1,
+    leases: Blocks | None = None,
 ) -> DataFrame:
     """Fact rows merged by ``udi``; known rows keep their key, new ones get larger.
 
-    ``load`` counts the loads from 1, ``low`` and ``width`` bound the ids of this one.
-    Ids are unique, so an id's distance from ``low`` numbers the row within the load's
-    key range: no sort, and no look at the keys given out before. Only a load whose
-    ids spread wider than the range is numbered by counting.
+    Keys from ``first`` on are this load's. Each block of ids leases as many of them as it
+    has rows, and numbers its rows within its lease: no look at keys given out before, and
+    the same form whether ids are dense or far apart. Keys of known rows stay unused.
     """
-    if width <= KEYS_PER_LOAD:
-        numbered = rows.withColumn("_number", F.col("udi") - F.lit(low))
-    else:
-        numbered = key_ordinal(rows, "udi", name="_number", span=span_for(width))
-    first = F.lit((load - 1) * KEYS_PER_LOAD)
-    keyed = numbered.withColumn("telemetry_key", first + F.col("_number"))
+    numbered = counted_ordinal(rows, "udi", name="_number", blocks=leases)
+    keyed = numbered.withColumn("telemetry_key", F.col("_number") + F.lit(first - 1))
     if existing is None:
         return keyed.select(*FACT.names)
     return upsert(
@@ -160,47 +158,72 @@ def merge_fact(
     )
 
 
+def key_leases(sizes: Mapping[int, int], blocks: Iterable[int]) -> Blocks:
+    """Blocks of ids with the keys that blocks before them may use up."""
+    starts = sorted(blocks)
+    ahead = list(accumulate((sizes[b] for b in starts), initial=0))
+    return Blocks(("udi",), tuple((b,) for b in starts) or ((LEAST_KEY,),), tuple(ahead), ahead[-1])
+
+
 def load_star(
-    warehouse: Warehouse, now: datetime, pending_only: bool = False
+    warehouse: Warehouse,
+    now: datetime,
+    pending_only: bool = False,
+    skip_unchanged: bool = False,
 ) -> None:
     """Load dimensions and fact; all become current together at the end.
 
     With ``pending_only`` only the blocks of staging are read and loaded that were
-    written since the fact last took from it.
+    written since the fact last took from it. With ``skip_unchanged`` rows that would only
+    get a new time keep theirs: neither their blocks nor a dimension without news are
+    written.
     """
     taken = warehouse.version(STAGING_TABLE)
     if pending_only:
-        blocks = warehouse.pending_blocks(STAGING_TABLE, warehouse.consumed(FACT_TABLE))
+        since = warehouse.mark(FACT_TABLE, "consumed")
+        blocks = warehouse.pending_blocks(STAGING_TABLE, since)
         if not blocks and warehouse.version(FACT_TABLE):
             return
-        staging = warehouse.read(STAGING_TABLE, blocks)
     else:
         blocks = warehouse.blocks(STAGING_TABLE)
-        staging = warehouse.read(STAGING_TABLE)
-
-    modes = warehouse.stage(
-        FAILURE_MODE_TABLE,
-        seed_failure_modes(warehouse.spark, warehouse.read(FAILURE_MODE_TABLE)),
-    )
+    staging = warehouse.read(STAGING_TABLE, blocks)
+    staged = []
+
+    modes = warehouse.read(FAILURE_MODE_TABLE)
+    if not skip_unchanged or modes.count() < len(FAILURE_MODE_SEED):
+        seeded = seed_failure_modes(warehouse.spark, modes)
+        staged.append(warehouse.stage(FAILURE_MODE_TABLE, seeded))
+        modes = warehouse.read_staged(staged[-1])
+    equipment = warehouse.read(EQUIPMENT_TABLE)
     with landed(equipment_rows(staging), "equipment") as found:
-        known = warehouse.read(EQUIPMENT_TABLE)
-        equipment = warehouse.stage(
-            EQUIPMENT_TABLE, build_dim_equipment(found, known, now)
-        )
-    rows = build_fact(
-        staging, warehouse.read_staged(equipment), warehouse.read_staged(modes), now
-    )
-
-    load = warehouse.next_version(FACT_TABLE)
-    bounds = min(blocks, default=0), warehouse.range_of(blocks)
+        if skip_unchanged:
+            found = effective(found, equipment, ["product_id"], ["quality_grade"])
+        if not skip_unchanged or not found.isEmpty():
+            built = build_dim_equipment(found, equipment, now)
+            staged.append(warehouse.stage(EQUIPMENT_TABLE, built))
+            equipment = warehouse.read_staged(staged[-1])
+    rows = build_fact(staging, equipment, modes, now)
+
+    starts = warehouse.blocks(STAGING_TABLE)
+    leases = key_leases(warehouse.sizes(STAGING_TABLE), blocks)
+    used = warehouse.mark(FACT_TABLE, "leased")
+    marks = {"consumed": taken, "leased": used + leases.total}
     if warehouse.version(FACT_TABLE) == 0:
-        fact = warehouse.stage(FACT_TABLE, merge_fact(None, rows, load, *bounds))
-    else:
-        with landed(rows, "fact-batch") as batch:
-            target = warehouse.read(FACT_TABLE, blocks)
-            merged = merge_fact(target, batch, load, *bounds)
-            fact = warehouse.stage(FACT_TABLE, merged, partial=True)
-    warehouse.publish(modes, equipment, fact, consumed={FACT_TABLE: taken})
+        # numbering brings a block's rows together, so they are written as they come
+        merged = merge_fact(None, rows, used + 1, leases)
+        staged.append(warehouse.stage(FACT_TABLE, merged, starts, clustered=True))
+        warehouse.publish(*staged, marks={FACT_TABLE: marks})
+        return
+    own = warehouse.overlapping(FACT_TABLE, STAGING_TABLE, blocks)
+    if skip_unchanged:
+        rows = effective(rows, warehouse.read(FACT_TABLE, own), ["udi"], COMPARED)
+    with landed(rows, "fact-batch") as batch:
+        if skip_unchanged:
+            own = sorted(warehouse.touched(FACT_TABLE, batch))
+        if own:
+            merged = merge_fact(warehouse.read(FACT_TABLE, own), batch, used + 1, leases)
+            staged.append(warehouse.stage(FACT_TABLE, merged, starts, replaced=own))
+        warehouse.publish(*staged, marks={FACT_TABLE: marks})
 
 
 def star_join(

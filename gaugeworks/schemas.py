@@ -142,6 +142,54 @@ CHECK_LOG = _schema(
     ("checked_at", T.TimestampType(), True),
 )
 
+# The anomaly features as they are kept.
+FEATURES = _schema(
+    ("udi", T.LongType(), False),
+    ("product_id", T.StringType(), True),
+    ("product_type", T.StringType(), True),
+    ("quality_grade", T.StringType(), True),
+    ("rotational_speed_rpm", T.IntegerType(), True),
+    ("torque_nm", MEASURE, True),
+    ("temp_differential_c", MEASURE, True),
+    ("mechanical_power_kw", MEASURE, True),
+    ("tool_wear_min", T.IntegerType(), True),
+    ("overstrain_metric", WIDE_MEASURE, True),
+    ("failure_mode_name", T.StringType(), True),
+    ("is_failure", T.BooleanType(), True),
+    ("rolling_avg_torque", T.DoubleType(), True),
+    ("rolling_std_torque", T.DoubleType(), True),
+    ("torque_step_delta", T.DecimalType(9, 2), True),
+    ("rolling_avg_power_kw", T.DoubleType(), True),
+    ("torque_z_score", T.DecimalType(19, 2), True),
+    ("is_torque_anomaly", T.BooleanType(), True),
+)
+
+# Aggregates of the fact by block, ``block_start`` being the block's first id.
+SUM = T.DecimalType(28, 2)
+FAILURE_SUMS = _schema(
+    ("block_start", T.LongType(), False),
+    ("equipment_key", T.LongType(), False),
+    ("failure_mode_key", T.LongType(), False),
+    ("n", T.LongType(), False),
+    ("temp_differential_c", SUM, True),
+    ("rotational_speed_rpm", T.LongType(), True),
+    ("torque_nm", SUM, True),
+    ("mechanical_power_kw", SUM, True),
+)
+SPEED_COUNTS = _schema(
+    ("block_start", T.LongType(), False),
+    ("rotational_speed_rpm", T.IntegerType(), False),
+    ("n", T.LongType(), False),
+    ("failures", T.LongType(), False),
+)
+BLOCK_COUNTS = _schema(
+    ("block_start", T.LongType(), False),
+    ("product_type", T.StringType(), True),
+    ("n", T.LongType(), False),
+    ("failures", T.LongType(), False),
+    ("max_overstrain", WIDE_MEASURE, True),
+)
+
 # Failure-mode catalogue: name, severity, root cause (fixed values).
 FAILURE_MODE_SEED = [
     ("Normal Operation", "None", "Healthy"),
@@ -167,6 +215,10 @@ EQUIPMENT_TABLE = "warehouse.dim_equipment"
 FAILURE_MODE_TABLE = "warehouse.dim_failure_mode"
 FACT_TABLE = "warehouse.fact_sensor_telemetry"
 CHECK_LOG_TABLE = "quality.check_log"
+FEATURES_TABLE = "analytics.sensor_anomaly_features"
+FAILURE_SUMS_TABLE = "analytics.fact_failure_sums"
+SPEED_COUNTS_TABLE = "analytics.fact_speed_counts"
+BLOCK_COUNTS_TABLE = "analytics.fact_block_counts"
 
 TABLES = {
     RAW_TABLE: RAW,
@@ -176,6 +228,10 @@ TABLES = {
     FAILURE_MODE_TABLE: DIM_FAILURE_MODE,
     FACT_TABLE: FACT,
     CHECK_LOG_TABLE: CHECK_LOG,
+    FEATURES_TABLE: FEATURES,
+    FAILURE_SUMS_TABLE: FAILURE_SUMS,
+    SPEED_COUNTS_TABLE: SPEED_COUNTS,
+    BLOCK_COUNTS_TABLE: BLOCK_COUNTS,
     REJECTS_TABLE: T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in READING.fields]
         + _schema(
@@ -196,5 +252,13 @@ APPEND_ONLY = {
     QUARANTINE_TABLE,
 }
 
-# Tables keyed by reading id; they are stored and replaced by block of ids.
-BLOCKED = {RAW_TABLE, STAGING_TABLE, FACT_TABLE}
+# Tables stored and replaced by block of ids, and the column that has the id.
+BLOCKED = {
+    RAW_TABLE: "udi",
+    STAGING_TABLE: "udi",
+    FACT_TABLE: "udi",
+    FEATURES_TABLE: "udi",
+    FAILURE_SUMS_TABLE: "block_start",
+    SPEED_COUNTS_TABLE: "block_start",
+    BLOCK_COUNTS_TABLE: "block_start",
+}

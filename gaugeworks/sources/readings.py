@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeworks.operators.changes import effective
 from gaugeworks.operators.upsert import resolve_duplicates, upsert
 from gaugeworks.schemas import (
     RAW,
@@ -19,7 +21,7 @@ from gaugeworks.schemas import (
 )
 from gaugeworks.session import landed
 from gaugeworks.sources.logs import log_ingestion
-from gaugeworks.sources.tables import STORED_SPAN, Warehouse
+from gaugeworks.sources.tables import STORED_ROWS, Warehouse
 
 # Cell texts that mean "no value" (fixed values).
 NULL_TOKENS = [
@@ -40,6 +42,9 @@ RELOAD_COLUMNS = [
     "ingested_at",
 ]
 
+# Where a row came from and when, which says nothing about the reading.
+STAMPS = ["source_dataset", "batch_id", "ingested_at"]
+
 FILE_ORDER = "_file_order"
 ROW_ORDER = "_row_order"
 
@@ -136,21 +141,46 @@ def load_raw(
     update_cols=RELOAD_COLUMNS,
     duplicates: str = "error",
     order_by: str | None = None,
+    skip_unchanged: bool = False,
+    marks: Mapping[str, int] | None = None,
 ) -> None:
-    """Merge stamped readings into the raw table by ``udi``."""
+    """Merge stamped readings into the raw table by ``udi``.
+
+    With ``skip_unchanged`` readings that are in the table as they come, but for their
+    stamps, keep their old stamps; a batch of such readings writes nothing. ``marks`` become
+    current together with the rows.
+    """
     batch = resolve_duplicates(batch, ["udi"], duplicates, order_by)
-    blocks = warehouse.touched_blocks(batch)
+    if skip_unchanged and warehouse.version(RAW_TABLE):
+        known = warehouse.read(RAW_TABLE, warehouse.touched(RAW_TABLE, batch))
+        with landed(effective(batch, known, ["udi"], compared_columns(update_cols)), "raw-changes") as news:
+            if news.isEmpty():
+                warehouse.publish(marks={RAW_TABLE: marks or {}})
+            else:
+                _merge_raw(warehouse, news, update_cols, marks)
+        return
+    _merge_raw(warehouse, batch, update_cols, marks)
+
+
+def compared_columns(update_cols) -> list[str]:
+    """The columns in which a reload may change a known reading, but for its stamps."""
+    chosen = [c for c in RAW.names if c != "udi"] if update_cols == "all" else update_cols
+    return [c for c in chosen if c not in STAMPS]
+
+
+def _merge_raw(warehouse: Warehouse, batch: DataFrame, update_cols, marks) -> None:
+    starts, touched = warehouse.cut(RAW_TABLE, batch)
     if warehouse.version(RAW_TABLE) == 0:
-        warehouse.replace(RAW_TABLE, batch)
+        warehouse.replace(RAW_TABLE, batch, marks, starts=starts)
         return
     merged = upsert(
-        warehouse.read(RAW_TABLE, blocks),
+        warehouse.read(RAW_TABLE, touched),
         batch,
         ["udi"],
         update_cols,
         duplicates="unique",
     )
-    warehouse.replace(RAW_TABLE, merged, partial=True)
+    warehouse.replace(RAW_TABLE, merged, marks, starts=starts, replaced=touched)
 
 
 def load_batch(
@@ -163,6 +193,7 @@ def load_batch(
     duplicates: str = "error",
     order_by: str | None = None,
     update_cols=RELOAD_COLUMNS,
+    skip_unchanged: bool = False,
 ) -> None:
     """Load text columns named as readings, as one audited batch.
 
@@ -175,9 +206,9 @@ def load_batch(
         rows = typed.count()
         log_ingestion(warehouse, batch_id, source, rows, "IN_PROGRESS", now)
         try:
-            fitting = _without_rejects(warehouse, typed, batch_id, on_reject)
+            fitting = without_rejects(warehouse, typed, batch_id, on_reject)
             stamped = add_lineage(fitting, source, batch_id, now)
-            load_raw(warehouse, stamped, update_cols, duplicates, order_by)
+            load_raw(warehouse, stamped, update_cols, duplicates, order_by, skip_unchanged)
         except Exception as error:
             log_ingestion(warehouse, batch_id, source, rows, "FAILED", now, str(error))
             raise
@@ -190,7 +221,7 @@ def ingest_batch(
     root: str,
     batch_id: str | None = None,
     now: datetime | None = None,
-    span: int = STORED_SPAN,
+    rows: int = STORED_ROWS,
     **options,
 ) -> str:
     """Load one CSV file, or a folder of them, as a batch and return its id.
@@ -198,7 +229,7 @@ def ingest_batch(
     ``options`` are those of ``load_batch``. Where ``duplicates="last"`` is chosen, the
     line further down wins.
     """
-    warehouse = Warehouse(spark, root, span)
+    warehouse = Warehouse(spark, root, rows)
     if not warehouse.exists(path):
         raise FileNotFoundError(f"no source file at {path}")
     now = now or datetime.now(UTC)
@@ -208,9 +239,9 @@ def ingest_batch(
     try:
         renamed = rename_columns(text, RAW_COLUMN_MAP | {FILE_ORDER: FILE_ORDER})
     except ValueError as error:
-        rows = text.count()
-        log_ingestion(warehouse, batch_id, source, rows, "IN_PROGRESS", now)
-        log_ingestion(warehouse, batch_id, source, rows, "FAILED", now, str(error))
+        found = text.count()
+        log_ingestion(warehouse, batch_id, source, found, "IN_PROGRESS", now)
+        log_ingestion(warehouse, batch_id, source, found, "FAILED", now, str(error))
         raise
     placed = renamed.withColumn(ROW_ORDER, row_order())
     load_batch(
@@ -234,7 +265,7 @@ def row_order() -> Column:
     return F.struct(F.col(FILE_ORDER).alias("file"), place)
 
 
-def _without_rejects(
+def without_rejects(
     warehouse: Warehouse, typed: DataFrame, batch_id: str, on_reject: str
 ) -> DataFrame:
     rejected = typed.filter(F.col("reject_reason").isNotNull())

@@ -1,163 +1,271 @@
-"""Warehouse tables as Parquet folders.
+"""Warehouse tables as Parquet folders, made current by one commit file per load.
 
-A replaceable table is a folder of numbered versions. A version counts once its
-marker file exists, and markers are set only after all data of a load is written,
-so a load that dies leaves every table at the version it had.
+A replaceable table is a folder of numbered versions. Which of them count is said by the
+newest file under ``_commits``: for all tables at once, so a load of several tables shows
+as a whole or not at all, however late it dies. Two loads that commit at the same time
+cannot both succeed.
 
-Tables keyed by reading id are stored by block of ids. A merge writes a version that
-holds only the blocks its batch touches, and a block is read from the newest version
-that has it - so the cost of a merge follows the batch, not the table.
+Tables of readings are stored by block of ids. A block begins at an id chosen when rows were
+counted and ends where the next begins, so it holds a bounded number of rows however the
+ids are spread. A merge writes a version with the blocks its batch touches, and cuts those
+that it fills up; the commit says in which version each block is. So the cost of a merge
+follows the batch, not the table.
 
 An append-only table is one folder that Spark's own commit protocol extends.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugeworks.operators.blocks import MAX_BLOCKS, block_of
+from gaugeworks.operators.blocks import LEAST_KEY, Blocks, equal_blocks
 from gaugeworks.schemas import APPEND_ONLY, BLOCKED, TABLES
 from gaugeworks.session import literal_rows
 
-_WHOLE = "_WHOLE"
-_PARTIAL = "_PARTIAL"
-# followed by a number; a name without "=" is no partition to Spark's readers
-_CONSUMED = "_CONSUMED-"
+_COMMITS = "_commits"
+_BLOCK = "ids_from"
 
-# Ids per stored block: some ten million rows, a few hundred megabytes of Parquet.
-STORED_SPAN = 1 << 24
+# Rows per stored block when it is cut; some fifty megabytes of Parquet.
+STORED_ROWS = 1 << 20
+
+
+class CommitConflict(RuntimeError):
+    """Another load has committed since this one read the state."""
+
+
+@dataclass
+class TableState:
+    """What is current of one table: the version written last, and by block where it lies
+    and how many rows it has; of a table without blocks the one version that counts."""
+
+    version: int = 0
+    blocks: dict[int, int] = field(default_factory=dict)
+    sizes: dict[int, int] = field(default_factory=dict)
+    marks: dict[str, int] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A version that is written and not yet current; ``after`` is the one it follows, and
+    ``replaced`` the blocks it stands for, all of them if None."""
+
+    table: str
+    number: int
+    after: int
+    replaced: tuple[int, ...] | None
+    sizes: dict[int, int]
 
 
 class Warehouse:
-    """The tables under one root folder."""
+    """The tables under one root folder; blocks are cut to at most ``rows`` rows."""
 
-    def __init__(self, spark: SparkSession, root: str, span: int = STORED_SPAN):
+    def __init__(self, spark: SparkSession, root: str, rows: int = STORED_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.span = span
-        # the name carries the span, so that folders cut differently cannot mix
-        self._block = f"ids_{span}"
+        self.rows = rows
 
-    def read(self, table: str, blocks: Iterable[int] | None = None) -> DataFrame:
+    def read(
+        self,
+        table: str,
+        blocks: Iterable[int] | None = None,
+        block_column: str | None = None,
+    ) -> DataFrame:
         """The table's current rows; an empty frame before the first load.
 
-        With ``blocks`` only those blocks of a table stored by block are read.
+        With ``blocks`` only those blocks of a table stored by block are read. Where a
+        ``block_column`` is named, it has the first id of each row's block.
         """
         schema = TABLES[table]
+        names = schema.names
+        if block_column:
+            schema = T.StructType([*schema.fields, T.StructField(_BLOCK, T.LongType())])
         paths = self._paths(table, blocks)
         if not paths:
-            return literal_rows(self.spark, [], schema)
-        reader = self.spark.read.schema(schema).option("basePath", self._folder(table))
-        return reader.parquet(*paths).select(*schema.names)
+            rows = literal_rows(self.spark, [], schema)
+        else:
+            reader = self.spark.read.schema(schema).option("basePath", self._folder(table))
+            rows = reader.parquet(*paths)
+        if block_column:
+            return rows.select(*names, F.col(_BLOCK).alias(block_column))
+        return rows.select(*names)
 
     def version(self, table: str) -> int:
-        """Number of the newest published version, 0 when there is none."""
-        return max((number for number, _ in self._published(table)), default=0)
+        """Number of the newest current version, 0 when there is none."""
+        return self._state(table).version
 
     def next_version(self, table: str) -> int:
-        return max(self._versions(table), default=0) + 1
+        return max(self.numbered(self._folder(table), "version"), default=0) + 1
 
-    def touched_blocks(self, batch: DataFrame, key: str = "udi") -> list[int]:
-        """Blocks that hold the batch's ids: one number per block, however many rows.
-
-        Ids too sparse to be stored by block are refused, never cut short.
-        """
-        block = block_of(key, self.span).alias("block")
-        found = batch.select(block).distinct().take(MAX_BLOCKS + 1)
-        if len(found) > MAX_BLOCKS:
-            raise ValueError(
-                f"ids fall into more than {MAX_BLOCKS} blocks of {self.span};"
-                " give the warehouse a larger span"
-            )
-        return [row.block for row in found]
+    def mark(self, table: str, name: str, default: int = 0) -> int:
+        """A number that loads keep with a table, such as what it has taken in."""
+        return self._state(table).marks.get(name, default)
 
     def blocks(self, table: str) -> list[int]:
-        """Blocks the table currently has, from folder names alone."""
-        return list(self._current_blocks(table))
+        """First ids of the table's current blocks, ascending."""
+        return sorted(self._state(table).blocks)
 
-    def consumed(self, table: str) -> int:
-        """Version of its source that the table has taken in; 0 if that is not known."""
-        for number, _ in sorted(self._published(table), reverse=True):
-            for name in self._names(self._version_path(table, number)):
-                if name.startswith(_CONSUMED):
-                    return int(name.removeprefix(_CONSUMED))
-        return 0
+    def sizes(self, table: str) -> dict[int, int]:
+        """Rows per block."""
+        return dict(self._state(table).sizes)
 
     def pending_blocks(self, table: str, since: int) -> list[int]:
-        """Blocks that versions published after ``since`` have written."""
-        found: set[int] = set()
-        for number, _ in self._published(table):
-            if number > since:
-                found.update(self._blocks_in(self._version_path(table, number)))
-        return sorted(found)
-
-    def range_of(self, blocks: Iterable[int]) -> int:
-        """Width of the id range that the blocks span."""
-        blocks = list(blocks)
-        return max(blocks) - min(blocks) + self.span if blocks else 0
+        """Blocks that versions after ``since`` have written."""
+        current = self._state(table).blocks
+        return sorted(block for block, version in current.items() if version > since)
+
+    def overlapping(self, table: str, source: str, blocks: Iterable[int]) -> list[int]:
+        """Blocks of ``table`` that have ids of the given blocks of ``source``, which may
+        have been cut finer since."""
+        wanted = set(blocks)
+        spans = [(low, end) for b, low, end in _spans(self.blocks(source)) if b in wanted]
+        found, at = [], 0
+        for block, low, end in _spans(self.blocks(table)):
+            while at < len(spans) and spans[at][1] <= low:
+                at += 1
+            if at < len(spans) and spans[at][0] < end:
+                found.append(block)
+        return found
+
+    def touched(self, table: str, batch: DataFrame) -> dict[int, int]:
+        """Current blocks that ids of the batch fall in, and how many rows do."""
+        block = _start_of(self.blocks(table), BLOCKED[table]).alias("block")
+        counted = batch.select(block).groupBy("block").count()
+        return {row["block"]: row["count"] for row in counted.collect()}
+
+    def cut(self, table: str, batch: DataFrame) -> tuple[list[int], list[int]]:
+        """Where blocks begin once the batch is in, and the current blocks it touches.
+
+        A block that the batch makes twice as long as wanted is cut by its own and the
+        batch's ids. So rows that all go behind the last id are cut like any others.
+        """
+        key = BLOCKED[table]
+        current = self.blocks(table)
+        if not current:
+            return self._starts(batch.select(key), key, None), []
+        touched = self.touched(table, batch)
+        sizes = self.sizes(table)
+        full = [b for b, n in touched.items() if sizes.get(b, 0) + n > 2 * self.rows]
+        if not full:
+            return current, sorted(touched)
+        inside = _start_of(current, key).isin(full)
+        ids = self.read(table, full).select(key).unionByName(batch.select(key).filter(inside))
+        return sorted({*current, *self._starts(ids, key, current)}), sorted(touched)
+
+    def _starts(self, ids: DataFrame, key: str, current: list[int] | None) -> list[int]:
+        starts = [start[0] for start in equal_blocks(ids, key, rows=self.rows).starts]
+        # the first block has all ids below it too
+        return starts if current else [LEAST_KEY, *starts[1:]]
 
     def stage(
         self,
         table: str,
         df: DataFrame,
-        partial: bool = False,
+        starts: list[int] | None = None,
+        replaced: Iterable[int] | None = None,
         clustered: bool = False,
-    ) -> tuple[str, int, str]:
-        """Write ``df`` as the next version without publishing it.
-
-        A partial version has all rows of the blocks it holds, and no other block.
-        ``clustered`` says that each task already has rows of few blocks, as in a
-        projection of another table stored by block; such rows are not shuffled.
+    ) -> Staged:
+        """Write ``df`` as the next version without making it current.
+
+        Rows of a table stored by block are dealt by ``starts``. With ``replaced`` the version
+        has all rows of those blocks, which may come out cut finer or empty, and no others;
+        without, it is the whole table. ``clustered`` says that each task
+        already has rows of few blocks, as in a projection of another table stored by
+        block; such rows are not shuffled.
         """
-        number = self.next_version(table)
+        number, after = self.next_version(table), self.version(table)
+        replaced = None if replaced is None else tuple(replaced)
         shaped = self._shaped(table, df)
         path = self._version_path(table, number)
+        sizes: dict[int, int] = {}
         if table in BLOCKED:
-            placed = shaped.withColumn(self._block, block_of("udi", self.span))
+            starts = starts or [LEAST_KEY]
+            placed = shaped.withColumn(_BLOCK, _start_of(starts, BLOCKED[table]))
             if not clustered:
                 # one block's rows meet; adaptive execution evens out file sizes
-                placed = placed.hint("rebalance", self._block)
-            placed.write.partitionBy(self._block).parquet(path)
-        elif partial:
+                placed = placed.hint("rebalance", _BLOCK)
+            placed.write.partitionBy(_BLOCK).parquet(path)
+            # a block without rows is a block too: its ids belong to no other
+            sizes = dict.fromkeys(self._within(table, starts, replaced), 0)
+            if self.numbered(path, _BLOCK):
+                # the rows of a block stand in the files' footers
+                rows = self.spark.read.parquet(path).groupBy(_BLOCK).count().collect()
+                sizes |= {int(row[_BLOCK]): row["count"] for row in rows}
+        elif replaced is not None:
             raise ValueError(f"{table} is not stored by block")
         else:
             shaped.write.parquet(path)
-        return table, number, _PARTIAL if partial else _WHOLE
+        return Staged(table, number, after, replaced, sizes)
+
+    def _within(
+        self, table: str, starts: list[int], replaced: tuple[int, ...] | None
+    ) -> list[int]:
+        """Those of ``starts`` that lie in the ranges of the blocks to be replaced."""
+        if replaced is None:
+            return starts
+        spans = [(low, end) for b, low, end in _spans(self.blocks(table)) if b in set(replaced)]
+        found, at = [], 0
+        for start in sorted(starts):
+            while at < len(spans) and spans[at][1] <= start:
+                at += 1
+            if at < len(spans) and spans[at][0] <= start:
+                found.append(start)
+        return found
 
     def publish(
-        self,
-        *staged: tuple[str, int, str],
-        consumed: Mapping[str, int] | None = None,
+        self, *staged: Staged, marks: Mapping[str, Mapping[str, int]] | None = None
     ) -> None:
-        """Make staged versions current; nothing but marker files is written here.
+        """Make staged versions and marks current, all with one file.
 
-        ``consumed`` names, per table, the version of its source that it took in.
+        Raises ``CommitConflict`` if another load got in between; nothing is changed then.
         """
-        for table, number, kind in staged:
-            path = self._version_path(table, number)
-            if consumed and table in consumed:
-                self._touch(f"{path}/{_CONSUMED}{consumed[table]}")
-            self._touch(f"{path}/{kind}")
+        number, tables = self._newest()
+        for version in staged:
+            old = tables.get(version.table, TableState())
+            if old.version != version.after:
+                raise CommitConflict(f"{version.table} has changed since the load read it")
+            gone = set(old.blocks if version.replaced is None else version.replaced)
+            lies = {b: v for b, v in old.blocks.items() if b not in gone}
+            sizes = {b: n for b, n in old.sizes.items() if b not in gone}
+            fresh = dict.fromkeys(version.sizes, version.number)
+            tables[version.table] = TableState(
+                version.number, lies | fresh, sizes | version.sizes, old.marks
+            )
+        for table, values in (marks or {}).items():
+            state = tables.setdefault(table, TableState())
+            state.marks = {**state.marks, **values}
+        self._commit(number + 1, tables)
 
     def replace(
-        self, table: str, df: DataFrame, consumed: int | None = None, **how: bool
+        self, table: str, df: DataFrame, marks: Mapping[str, int] | None = None, **how
     ) -> None:
-        marks = None if consumed is None else {table: consumed}
-        self.publish(self.stage(table, df, **how), consumed=marks)
+        self.publish(self.stage(table, df, **how), marks={table: marks or {}})
+
+    def lease(self, table: str, count: int, name: str = "leased") -> int:
+        """The first of ``count`` numbers that no other load gets, from 1."""
+        while True:
+            first = self.mark(table, name)
+            try:
+                self.publish(marks={table: {name: first + count}})
+                return first + 1
+            except CommitConflict:
+                continue
 
     def append(self, table: str, df: DataFrame) -> None:
         if table not in APPEND_ONLY:
             raise ValueError(f"{table} is replaced by version, not appended to")
         self._shaped(table, df).write.mode("append").parquet(self._folder(table))
 
-    def read_staged(self, staged: tuple[str, int, str]) -> DataFrame:
-        """Rows of one version, published or not."""
-        table, number, _ = staged
-        schema = TABLES[table]
-        path = self._version_path(table, number)
+    def read_staged(self, staged: Staged) -> DataFrame:
+        """Rows of one version, current or not."""
+        schema = TABLES[staged.table]
+        path = self._version_path(staged.table, staged.number)
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
     def register_views(self, frames: Mapping[str, DataFrame] | None = None) -> None:
@@ -168,7 +276,8 @@ class Warehouse:
             frame.createOrReplaceTempView(name.replace(".", "_"))
 
     def exists(self, path: str) -> bool:
-        return self._exists(path)
+        location = self._path(path)
+        return self._fs(location).exists(location)
 
     def _shaped(self, table: str, df: DataFrame) -> DataFrame:
         return df.select(
@@ -178,44 +287,63 @@ class Warehouse:
     def _paths(self, table: str, blocks: Iterable[int] | None = None) -> list[str]:
         if table in APPEND_ONLY:
             folder = self._folder(table)
-            return [folder] if self._exists(folder) else []
-        if table in BLOCKED:
-            return self._block_paths(table, blocks)
-        version = self.version(table)
-        return [self._version_path(table, version)] if version else []
-
-    def _block_paths(self, table: str, blocks: Iterable[int] | None) -> list[str]:
-        if blocks is not None:
-            wanted = set(blocks)
-            current = self._current_blocks(table)
-            return [path for block, path in current.items() if block in wanted]
-        published = max(self._published(table), default=None)
-        if published and published[1] == _WHOLE:
-            return [self._version_path(table, published[0])]
-        return list(self._current_blocks(table).values())
-
-    def _current_blocks(self, table: str) -> dict[int, str]:
-        """Where each current block lies: in the newest version that has it."""
-        newest: dict[int, str] = {}
-        for number, kind in sorted(self._published(table), reverse=True):
-            path = self._version_path(table, number)
-            for block, name in self._blocks_in(path).items():
-                newest.setdefault(block, f"{path}/{name}")
-            if kind == _WHOLE:
-                break
-        return newest
-
-    def _blocks_in(self, path: str) -> dict[int, str]:
-        """Blocks of one version and the names of their folders."""
-        found: dict[int, str] = {}
-        for name in self._names(path):
-            column, _, block = name.partition("=")
-            if not block:
-                continue
-            if column != self._block:
-                raise ValueError(f"{path} is cut by {column}, not by {self._block}")
-            found[int(block)] = name
-        return found
+            return [folder] if self.exists(folder) else []
+        state = self._state(table)
+        if table not in BLOCKED:
+            return [self._version_path(table, state.version)] if state.version else []
+        wanted = {b for b in (state.blocks if blocks is None else blocks) if state.sizes.get(b)}
+        if blocks is None and len(set(state.blocks.values())) == 1:
+            if set(self.numbered(path := self._version_path(table, state.version), _BLOCK)) == wanted:
+                return [path]
+        return [
+            f"{self._version_path(table, version)}/{_BLOCK}={block}"
+            for block, version in state.blocks.items()
+            if block in wanted
+        ]
+
+    def _state(self, table: str) -> TableState:
+        return self._newest()[1].get(table, TableState())
+
+    def _newest(self) -> tuple[int, dict[str, TableState]]:
+        """Number and content of the newest commit; earlier ones are never needed."""
+        folder = f"{self.root}/{_COMMITS}"
+        numbers = [int(n.removesuffix(".json")) for n in self._names(folder) if n.endswith(".json")]
+        if not numbers:
+            return 0, {}
+        path = self._path(f"{folder}/{max(numbers):08d}.json")
+        stream = self._fs(path).open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return max(numbers), {
+            table: TableState(
+                kept["version"],
+                {int(k): v for k, v in kept["blocks"].items()},
+                {int(k): v for k, v in kept["sizes"].items()},
+                kept["marks"],
+            )
+            for table, kept in json.loads(text).items()
+        }
+
+    def _commit(self, number: int, tables: dict[str, TableState]) -> None:
+        """A file that is complete when it gets its name, which is given once."""
+        folder = f"{self.root}/{_COMMITS}"
+        final = self._path(f"{folder}/{number:08d}.json")
+        draft = self._path(f"{folder}/{uuid.uuid4().hex}.draft")
+        files = self._fs(final)
+        out = files.create(draft, False)
+        try:
+            out.write(json.dumps({t: vars(state) for t, state in tables.items()}).encode())
+        finally:
+            out.close()
+        if not self._rename(draft, final):
+            files.delete(draft, False)
+            raise CommitConflict(f"another load made commit {number}")
+
+    def _rename(self, draft, final) -> bool:
+        files = self._fs(final)
+        return not files.exists(final) and files.rename(draft, final)
 
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
@@ -223,23 +351,10 @@ class Warehouse:
     def _version_path(self, table: str, number: int) -> str:
         return f"{self._folder(table)}/version={number:06d}"
 
-    def _versions(self, table: str) -> list[int]:
-        names = self._names(self._folder(table))
-        return [int(n.partition("=")[2]) for n in names if n.startswith("version=")]
-
-    def _published(self, table: str) -> list[tuple[int, str]]:
-        """Published versions and whether each is the whole table or some blocks."""
-        found = []
-        for number in self._versions(table):
-            path = self._version_path(table, number)
-            for kind in (_WHOLE, _PARTIAL):
-                if self._exists(f"{path}/{kind}"):
-                    found.append((number, kind))
-        return found
-
-    def _touch(self, path: str) -> None:
-        marker = self._path(path)
-        self._fs(marker).create(marker, True).close()
+    def numbered(self, path: str, name: str) -> list[int]:
+        """Numbers of the folders ``<name>=<number>`` in a folder, ascending."""
+        found = [n.partition("=") for n in self._names(path)]
+        return sorted(int(number) for column, _, number in found if column == name)
 
     def _names(self, path: str) -> list[str]:
         folder = self._path(path)
@@ -248,10 +363,6 @@ class Warehouse:
             return []
         return [status.getPath().getName() for status in files.listStatus(folder)]
 
-    def _exists(self, path: str) -> bool:
-        location = self._path(path)
-        return self._fs(location).exists(location)
-
     def _path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -259,6 +370,20 @@ class Warehouse:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
 
+def _spans(starts: list[int]) -> list[tuple[int, int, int]]:
+    """Blocks as (name, least id, first id of the next); the first has all ids below it."""
+    lows = [LEAST_KEY, *starts[1:]]
+    return list(zip(starts, lows, [*starts[1:], 1 << 63], strict=False))
+
+
+def _start_of(starts: list[int], key: str) -> Column:
+    """First id of the block that holds a key."""
+    if len(starts) < 2:
+        return F.lit(starts[0] if starts else LEAST_KEY).cast("bigint")
+    blocks = Blocks((key,), tuple((start,) for start in starts), tuple(starts), 0)
+    return blocks.ahead(blocks.number())
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The current rows of one table of the warehouse at ``root``."""
     return Warehouse(spark, root).read(table)

@@ -33,7 +33,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "warehouse"), span=64)
+    return Warehouse(spark, str(tmp_path / "warehouse"), rows=16)
 
 
 DEFAULTS = {

@@ -39,7 +39,7 @@ def csv(tmp_path):
 
 def load(warehouse, path, batch="b1", now=NOW, **options):
     return ingest_batch(
-        warehouse.spark, path, warehouse.root, batch, now, span=64, **options
+        warehouse.spark, path, warehouse.root, batch, now, rows=16, **options
     )
 
 

@@ -2,26 +2,26 @@ from decimal import Decimal
 
 import pytest
 from conftest import LATER, NOW, reading
+from gaugeworks.operators.changes import change_counts, with_change
 from gaugeworks.operators.upsert import DuplicateKeyError
 from gaugeworks.plans.analytics import Star
 from gaugeworks.plans.staging import MissingValuesError, load_staging, to_staging
 from gaugeworks.plans.star import (
-    KEYS_PER_LOAD,
     build_dim_equipment,
     equipment_rows,
     load_star,
-    merge_fact,
     seed_failure_modes,
 )
 from gaugeworks.schemas import (
     EQUIPMENT_TABLE,
     FACT_TABLE,
     FAILURE_MODE_SEED,
+    FAILURE_MODE_TABLE,
     QUARANTINE_TABLE,
+    RAW_TABLE,
     STAGING_TABLE,
 )
 from gaugeworks.sources.readings import load_raw
-from pyspark.sql import functions as F
 
 
 def keys(frame, natural, key):
@@ -49,10 +49,11 @@ def test_new_products_get_larger_keys(loaded, warehouse, raw):
     load_staging(warehouse, LATER, pending_only=True)
     load_star(warehouse, LATER, pending_only=True)
     after = keys(warehouse.read(EQUIPMENT_TABLE), "product_id", "equipment_key")
-    assert before == {"L5": 1, "L9": 2}
-    assert after == {"L5": 1, "L9": 2, "L1": 3}
+    assert sorted(before.values()) == [1, 2]
+    assert after == before | {"L1": 3}
     fact = keys(warehouse.read(FACT_TABLE), "udi", "telemetry_key")
-    assert fact == {1: 1, 2: 2, 3: KEYS_PER_LOAD + 3}
+    # the one block's three rows lease three keys, of which known rows leave theirs unused
+    assert fact == {1: 1, 2: 2, 3: 5}
 
 
 def test_changed_type_changes_the_grade_only(warehouse, raw):
@@ -68,8 +69,6 @@ def test_changed_type_changes_the_grade_only(warehouse, raw):
 def test_staging_reload_keeps_identity(loaded, warehouse, raw):
     loaded([reading(udi=1)])
     # raw never changes a type, so a changed one is put there by hand
-    from gaugeworks.schemas import RAW_TABLE
-
     warehouse.replace(RAW_TABLE, raw([reading(udi=1, product_type="M")]))
     load_staging(warehouse, LATER)
     row = warehouse.read(STAGING_TABLE).first()
@@ -105,7 +104,7 @@ def test_incremental_load_equals_full_load(spark, tmp_path, raw):
     ]
     results = []
     for batch in (None, "b2"):
-        wh = Warehouse(spark, str(tmp_path / f"wh-{batch}"), span=64)
+        wh = Warehouse(spark, str(tmp_path / f"wh-{batch}"), rows=16)
         load_raw(wh, raw(first))
         load_staging(wh, NOW)
         load_star(wh, NOW)
@@ -148,9 +147,54 @@ def test_failed_star_load_leaves_everything_as_it_was(loaded, warehouse, raw, mo
     assert warehouse.read(FACT_TABLE).count() == 1
 
 
-def test_ids_wider_than_the_key_range_are_numbered(spark, loaded, warehouse):
-    loaded([reading(udi=u) for u in (1, 70, 140)])
-    rows = warehouse.read(FACT_TABLE).withColumn("udi", (F.col("udi") + 1) * 2**40)
-    merged = merge_fact(None, rows, load=3, low=0, width=2**62)
-    found = sorted(keys(merged, "udi", "telemetry_key").values())
-    assert found == [2 * KEYS_PER_LOAD + n for n in (1, 2, 3)]
+@pytest.mark.parametrize("step", [1, 2**40])
+def test_keys_are_leased_by_block_however_far_ids_are_apart(warehouse, raw, step):
+    """Three loads, the second and third of which cut and touch several blocks."""
+    seen = {}
+    for batch, udis in enumerate((range(40), range(30, 100), [5, 55, 500])):
+        rows = [reading(udi=1 + u * step, batch_id=f"b{batch}") for u in udis]
+        load_raw(warehouse, raw(rows))
+        load_staging(warehouse, NOW, pending_only=True)
+        load_star(warehouse, NOW, pending_only=True)
+        found = keys(warehouse.read(FACT_TABLE), "udi", "telemetry_key")
+        assert len(set(found.values())) == len(found)
+        assert {u: found[u] for u in seen} == seen
+        fresh = [k for u, k in found.items() if u not in seen]
+        assert min(fresh) > max(seen.values(), default=0)
+        assert max(fresh) <= warehouse.mark(FACT_TABLE, "leased")
+        seen = found
+    assert len(seen) == 101 and len(warehouse.blocks(FACT_TABLE)) > 3
+
+
+def test_identical_reload_writes_nothing(loaded, warehouse, raw):
+    first = [reading(udi=u, product_id=f"L{u % 3}") for u in range(1, 60)]
+    loaded(first)
+    tables = (RAW_TABLE, STAGING_TABLE, FACT_TABLE, EQUIPMENT_TABLE, FAILURE_MODE_TABLE)
+    before = {t: warehouse.next_version(t) for t in tables}
+
+    def reload(rows):
+        load_raw(warehouse, raw(rows), skip_unchanged=True)
+        load_staging(warehouse, LATER, pending_only=True, skip_unchanged=True)
+        load_star(warehouse, LATER, pending_only=True, skip_unchanged=True)
+
+    reload([r | {"batch_id": "b2", "ingested_at": LATER} for r in first])
+    assert {t: warehouse.next_version(t) for t in tables} == before
+    # one reading changed: its block is written in each layer, no dimension is
+    changed = [r | {"batch_id": "b3"} for r in first]
+    changed[20] = changed[20] | {"torque_nm": Decimal("77.00")}
+    reload(changed)
+    wanted = {RAW_TABLE, STAGING_TABLE, FACT_TABLE}
+    assert {t for t in tables if warehouse.next_version(t) > before[t]} == wanted
+    assert len(warehouse.pending_blocks(FACT_TABLE, 1)) == 1
+    stamped = {r.udi for r in warehouse.read(FACT_TABLE).collect() if r.loaded_at == LATER}
+    assert stamped == {21}
+
+
+def test_nulls_count_as_changes(spark):
+    kind = "k int, a int, b int"
+    target = spark.createDataFrame([(1, None, 5), (2, 7, None), (3, None, None)], kind)
+    batch = spark.createDataFrame([(1, 5, None), (2, 7, None), (3, None, 0), (4, 1, 1)], kind)
+    told = {r.k: r.change for r in with_change(batch, target, ["k"], ["a", "b"]).collect()}
+    assert told == {1: "changed", 2: "unchanged", 3: "changed", 4: "new"}
+    counts = change_counts(with_change(batch, target, ["k"], ["a", "b"])).first()
+    assert tuple(counts) == (1, 2, 1)
