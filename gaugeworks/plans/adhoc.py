@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import time
 from dataclasses import dataclass
 
@@ -191,45 +190,63 @@ class ReadOnlyViolation(ValueError):
     """The text is not a single read-only query."""
 
 
-_LITERALS_AND_COMMENTS = re.compile(
-    r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", re.DOTALL
+# Rows that a query may return at most, whatever its own LIMIT.
+MOST_ROWS = 10_000
+
+# Plans that do something other than read. Statements are commands too once they are
+# analysed, but writing ones would run by then, so the parsed plan is what is checked.
+_ACTIONS = (
+    "org.apache.spark.sql.catalyst.plans.logical.Command",
+    "org.apache.spark.sql.catalyst.plans.logical.ParsedStatement",
+    "org.apache.spark.sql.catalyst.plans.logical.CompoundPlanStatement",
+    "org.apache.spark.sql.catalyst.plans.logical.ScriptTransformation",
 )
-_READ = {"SELECT", "WITH", "FROM", "VALUES", "TABLE"}
-_WRITE = {
-    "INSERT", "UPDATE", "DELETE", "MERGE", "DROP", "TRUNCATE", "ALTER", "CREATE",
-    "REPLACE", "GRANT", "REVOKE", "LOAD", "OVERWRITE",
-}
 
 
-def check_read_only(sql: str) -> str:
-    """The statement without its closing semicolon, if it only reads.
+def check_read_only(spark: SparkSession, sql: str) -> str:
+    """The statement without its closing semicolon, if it is one query that only reads.
 
-    Words inside strings, quoted names and comments do not count. ``REPLACE`` is a
-    function as well and counts only where it is not called.
+    Spark's own parser decides, so words in names, strings and comments mean nothing. A
+    text it cannot read raises its ``ParseException``.
     """
     statement = sql.strip().rstrip(";").strip()
-    bare = _LITERALS_AND_COMMENTS.sub(" ", statement)
-    if ";" in bare:
-        raise ReadOnlyViolation("only one statement is allowed")
-    words = list(re.finditer(r"[A-Za-z_][A-Za-z_0-9]*", bare))
-    first = words[0].group().upper() if words else ""
-    if first not in _READ:
-        raise ReadOnlyViolation(f"a query must start with one of {sorted(_READ)}")
-    for match in words:
-        word = match.group().upper()
-        called = bare[match.end() :].lstrip().startswith("(")
-        if word in _WRITE and not (word == "REPLACE" and called):
-            raise ReadOnlyViolation(f"{word} is not permitted in a read-only query")
+    if not statement:
+        raise ReadOnlyViolation("there is no query")
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(statement)
+    for node in _nodes(plan):
+        if any(_is_a(spark, node, name) for name in _ACTIONS):
+            raise ReadOnlyViolation(f"{node.nodeName()} is not permitted in a read-only query")
     return statement
 
 
+def _nodes(plan):
+    """A plan and the plans in it: children, common table expressions and subqueries."""
+    waiting = [plan]
+    while waiting:
+        node = waiting.pop()
+        yield node
+        for inner in (node.children(), node.innerChildren(), node.subqueries()):
+            waiting += [inner.apply(i) for i in range(inner.size())]
+
+
+def _is_a(spark: SparkSession, node, name: str) -> bool:
+    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    try:
+        return loader.loadClass(name).isInstance(node)
+    except Exception as error:
+        if "ClassNotFoundException" in str(error):
+            return False
+        raise
+
+
 def readonly_frame(spark: SparkSession, sql: str, limit: int = 100) -> DataFrame:
-    """A read-only query as a lazy frame, capped unless it brings its own limit."""
-    frame = spark.sql(check_read_only(sql))
+    """A read-only query as a lazy frame, capped unless it brings its own limit, which may
+    not go beyond ``MOST_ROWS``."""
+    frame = spark.sql(check_read_only(spark, sql))
     plan = frame._jdf.queryExecution().analyzed()
     while plan.nodeName() == "WithCTE":
         plan = plan.plan()
-    return frame if plan.nodeName() == "GlobalLimit" else frame.limit(limit)
+    return frame.limit(MOST_ROWS if plan.nodeName() == "GlobalLimit" else limit)
 
 
 def run_readonly_sql(spark: SparkSession, sql: str, limit: int = 100) -> dict:

@@ -8,6 +8,7 @@ few.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from gaugeworks.functions.numeric import (
     percent,
     round_double,
 )
-from gaugeworks.operators.blocks import span_for
+from gaugeworks.operators.blocks import Blocks, equal_blocks
 from gaugeworks.operators.rolling import rolling, rolling_plain
 from gaugeworks.operators.tiles import MAX_CELLS, tile_report
 from gaugeworks.plans.star import star_join
@@ -33,8 +34,11 @@ class Star:
     fact: DataFrame
     equipment: DataFrame
     modes: DataFrame
-    # ids per block for windows over the fact; looked up in the data when unknown
-    span: int | None = None
+
+    @cached_property
+    def blocks(self) -> Blocks:
+        """The fact in blocks of ids for windows, counted once."""
+        return equal_blocks(self.fact, "udi")
 
     @classmethod
     def of(cls, warehouse: Warehouse) -> Star:
@@ -42,7 +46,6 @@ class Star:
             warehouse.read(FACT_TABLE),
             warehouse.read(EQUIPMENT_TABLE),
             warehouse.read(FAILURE_MODE_TABLE),
-            span_for(warehouse.range_of(warehouse.blocks(FACT_TABLE))),
         )
 
     def joined(self, fact: DataFrame | None = None) -> DataFrame:
@@ -67,7 +70,7 @@ FEATURE_COLUMNS = [
 ]
 
 
-def _rolling_sums(ordered, framed) -> dict[str, Column]:
+def rolling_sums(ordered, framed) -> dict[str, Column]:
     return {
         **RollingStats.over("torque_nm", framed),
         **RollingStats.over("mechanical_power_kw", framed),
@@ -76,7 +79,7 @@ def _rolling_sums(ordered, framed) -> dict[str, Column]:
 
 
 def anomaly_features(
-    star: Star, span: int | None = None, plain: bool = False
+    star: Star, rows: int | None = None, plain: bool = False
 ) -> DataFrame:
     """Each reading with its rolling torque statistics, step, z-score and flag.
 
@@ -84,28 +87,38 @@ def anomaly_features(
     first reading of a type has step 0; a previous reading without torque gives NULL.
     A frame without variance has no score and is not an anomaly.
 
-    The fact is cut into blocks of ``span`` ids. ``plain`` asks for one window per type,
+    The fact is cut into blocks of at most ``rows`` rows. ``plain`` asks for one window per type,
     the yardstick of the tests; the results are the same.
     """
-    # the mode's name is looked up after the windows: its key is what gets shuffled
-    carried = [c for c in FEATURE_COLUMNS if c != "failure_mode_name"]
-    readings = star.fact.join(star.equipment, "equipment_key").select(
-        *carried, "failure_mode_key"
-    )
+    readings = feature_readings(star)
     if plain:
         summed = rolling_plain(
-            readings, "product_type", "udi", _rolling_sums, FRAME_PRECEDING
+            readings, "product_type", "udi", rolling_sums, FRAME_PRECEDING
         )
     else:
         summed = rolling(
             readings,
             "product_type",
             "udi",
-            _rolling_sums,
+            rolling_sums,
             FRAME_PRECEDING,
             inputs=["torque_nm", "mechanical_power_kw"],
-            span=star.span if span is None else span,
+            blocks=equal_blocks(star.fact, "udi", rows=rows) if rows else star.blocks,
         )
+    return scored(star, summed)
+
+
+def feature_readings(star: Star) -> DataFrame:
+    """What the windows work on. The mode's name is looked up after them: its key is what
+    gets shuffled."""
+    carried = [c for c in FEATURE_COLUMNS if c != "failure_mode_name"]
+    return star.fact.join(star.equipment, "equipment_key").select(
+        *carried, "failure_mode_key"
+    )
+
+
+def scored(star: Star, summed: DataFrame) -> DataFrame:
+    """Features from readings with their rolling sums."""
     torque = RollingStats.of("torque_nm")
     power = RollingStats.of("mechanical_power_kw")
     first = F.col("_previous").isNull()
@@ -189,16 +202,27 @@ def anomaly_preset(features: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
-def _failures_by_mode(star: Star, measures: list[str]) -> DataFrame:
+ROOT_CAUSE_MEASURES = [
+    "temp_differential_c",
+    "rotational_speed_rpm",
+    "torque_nm",
+    "mechanical_power_kw",
+]
+
+
+def _failures_by_mode(
+    star: Star, measures: list[str], sums: DataFrame | None = None
+) -> DataFrame:
     """Failure counts and measure sums per (type, grade, mode).
 
     Failures are summed per pair of surrogate keys first, so what meets the
-    dimensions is one row per machine and mode, not one per reading.
+    dimensions is one row per machine and mode, not one per reading. ``sums`` has such
+    sums, ``n`` and the measures, of parts of the fact that make up the whole.
     """
-    by_key = (
-        star.fact.filter("is_failure")
-        .groupBy("equipment_key", "failure_mode_key")
-        .agg(F.count("*").alias("_n"), *[F.sum(m).alias(m) for m in measures])
+    rows = star.fact.filter("is_failure") if sums is None else sums
+    count = F.count("*") if sums is None else F.sum("n")
+    by_key = rows.groupBy("equipment_key", "failure_mode_key").agg(
+        count.alias("_n"), *[F.sum(m).alias(m) for m in measures]
     )
     return (
         star.joined(by_key)
@@ -220,17 +244,9 @@ def _mean(measure: str, places: int) -> Column:
     return mean_rounded(F.col(measure), F.col("_n"), places)
 
 
-def root_cause(star: Star) -> DataFrame:
+def root_cause(star: Star, sums: DataFrame | None = None) -> DataFrame:
     """Failure modes per product type: counts, mean conditions, rank and share."""
-    grouped = _failures_by_mode(
-        star,
-        [
-            "temp_differential_c",
-            "rotational_speed_rpm",
-            "torque_nm",
-            "mechanical_power_kw",
-        ],
-    )
+    grouped = _failures_by_mode(star, ROOT_CAUSE_MEASURES, sums)
     return grouped.select(
         "product_type",
         "quality_grade",
@@ -257,9 +273,10 @@ def failure_ranking(star: Star) -> DataFrame:
     return failure_feed(star).drop("avg_rpm", "avg_torque_nm")
 
 
-def tier_failures(star: Star) -> DataFrame:
+def tier_failures(star: Star, sums: DataFrame | None = None) -> DataFrame:
     """The shorter root-cause report, in reading order."""
-    grouped = _failures_by_mode(star, ["temp_differential_c", "mechanical_power_kw"])
+    measures = ["temp_differential_c", "mechanical_power_kw"]
+    grouped = _failures_by_mode(star, measures, sums)
     return grouped.select(
         "product_type",
         "quality_grade",
@@ -278,11 +295,16 @@ def _most_strained(star: Star, n: int, rank: str) -> DataFrame:
     The first ``n`` rows hold every value above the last one, so ranking them alone
     gives the ranks of the whole table.
     """
-    top = _complete(star).orderBy(F.desc("overstrain_metric"), "udi").limit(n)
+    top = most_strained_readings(star, n)
     place = F.dense_rank().over(Window.orderBy(F.desc("overstrain_metric")))
     return _dimensions_of(star, top).withColumn(rank, place)
 
 
+def most_strained_readings(star: Star, n: int) -> DataFrame:
+    """The ``n`` readings with the highest overstrain; equal ones go by ``udi``."""
+    return _complete(star).orderBy(F.desc("overstrain_metric"), "udi").limit(n)
+
+
 def _complete(star: Star) -> DataFrame:
     """Readings that the join with both dimensions keeps; each stays one row."""
     equipment = star.equipment.select("equipment_key")

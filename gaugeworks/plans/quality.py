@@ -24,6 +24,7 @@ from gaugeworks.schemas import (
     FAILURE_MODE_TABLE,
     RAW_TABLE,
 )
+from gaugeworks.session import landed
 from gaugeworks.sources.tables import Warehouse
 
 
@@ -72,16 +73,25 @@ def as_log_rows(
 def append_check_log(
     warehouse: Warehouse, results: DataFrame, batch_id: str | None, now: datetime
 ) -> list:
-    """Evaluate verdicts straight into the log and return the rows written."""
-    log = warehouse.read(CHECK_LOG_TABLE)
-    last_id = log.agg(F.coalesce(F.max("check_id"), F.lit(0))).first()[0]
-    rows = as_log_rows(results, batch_id, now, last_id)
-    # a row per check: one small file instead of one per check
-    warehouse.append(CHECK_LOG_TABLE, rows.coalesce(1))
-    added = warehouse.read(CHECK_LOG_TABLE).filter(F.col("check_id") > last_id)
+    """Evaluate verdicts straight into the log and return the rows written.
+
+    Their ids are leased: no look at the log, and no other run gets the same ones.
+    """
+    with landed(results, "verdicts") as verdicts:
+        count = verdicts.count()
+        first = warehouse.lease(CHECK_LOG_TABLE, count)
+        rows = as_log_rows(verdicts, batch_id, now, first - 1)
+        # a row per check: one small file instead of one per check
+        warehouse.append(CHECK_LOG_TABLE, rows.coalesce(1))
+    added = logged_run(warehouse.read(CHECK_LOG_TABLE), first, count)
     return sorted(added.collect(), key=lambda row: row.check_id)
 
 
+def logged_run(log: DataFrame, first: int, count: int) -> DataFrame:
+    """The rows of one run of the gate, by the ids it leased."""
+    return log.filter(F.col("check_id").between(first, first + count - 1))
+
+
 def run_gate(
     warehouse: Warehouse,
     now: datetime,

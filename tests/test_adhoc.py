@@ -2,6 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ParseException
 from conftest import reading
 from gaugeworks.operators.search import search_rows
 from gaugeworks.plans import adhoc
@@ -42,12 +43,24 @@ def test_describe(warehouse):
         "SELECT 1; DROP TABLE t",
         "/* SELECT */ TRUNCATE TABLE t",
         "SET spark.sql.ansi.enabled=false",
+        "MERGE INTO t USING u ON t.a = u.a WHEN MATCHED THEN DELETE",
+        "UPDATE t SET a = 1",
+        "DELETE FROM t",
+        "CACHE TABLE t",
+        "EXPLAIN SELECT 1",
+        "SELECT TRANSFORM(a) USING 'cat' FROM t",
         "",
     ],
 )
-def test_writes_are_refused(sql):
+def test_writes_are_refused(spark, sql):
+    with pytest.raises((adhoc.ReadOnlyViolation, ParseException)):
+        adhoc.check_read_only(spark, sql)
+
+
+def test_a_refused_statement_has_not_run(spark):
     with pytest.raises(adhoc.ReadOnlyViolation):
-        adhoc.check_read_only(sql)
+        adhoc.readonly_frame(spark, "CREATE TEMPORARY VIEW made_by_refused AS SELECT 1")
+    assert not spark.catalog.tableExists("made_by_refused")
 
 
 @pytest.mark.parametrize(
@@ -58,6 +71,9 @@ def test_writes_are_refused(sql):
         "WITH q AS (SELECT 1 a) SELECT * FROM q",
         "VALUES (1), (2)",
         "SELECT `update` FROM (SELECT 1 AS `update`)",
+        "SELECT update, merge, load FROM (SELECT 1 AS update, 2 AS merge, 3 AS load)",
+        "FROM range(3) SELECT id",
+        "(SELECT 1 AS a) UNION ALL (SELECT 2)",
     ],
 )
 def test_reads_are_allowed(spark, sql):
@@ -70,6 +86,8 @@ def test_row_cap(spark):
     assert run(spark, "SELECT * FROM range(500) LIMIT 200")["row_count"] == 200
     inner = "SELECT * FROM range(500) WHERE id NOT IN (SELECT 3 LIMIT 1)"
     assert run(spark, inner, limit=7)["row_count"] == 7
+    unbounded = "SELECT * FROM range(30000) LIMIT 1000000000"
+    assert adhoc.readonly_frame(spark, unbounded).count() == adhoc.MOST_ROWS
     cte = "WITH q AS (SELECT * FROM range(9)) SELECT * FROM q ORDER BY id LIMIT 8"
     assert run(spark, cte, limit=2)["row_count"] == 8
 

@@ -49,7 +49,7 @@ def test_scores_equal_fifty_digit_arithmetic(loaded, kind):
             ]
         )
     )
-    rows = anomaly_features(star, span=32).orderBy("udi").collect()
+    rows = anomaly_features(star, rows=32).orderBy("udi").collect()
     for place, row in enumerate(rows):
         score, extreme = exact_score(values[max(0, place - 9) : place + 1])
         assert row.torque_z_score == score

@@ -1,7 +1,12 @@
 import pytest
 from conftest import LATER, NOW, reading
 from gaugeworks.plans import quality as gate
-from gaugeworks.plans.runner import materialize_features, run_load, run_transforms
+from gaugeworks.plans.runner import (
+    check_parity,
+    materialize_features,
+    run_load,
+    run_transforms,
+)
 from gaugeworks.plans.summary import run_summary, warehouse_summary
 from gaugeworks.schemas import (
     CHECK_LOG_TABLE,
@@ -29,7 +34,7 @@ def csv(tmp_path):
 def run(warehouse, csv, batch, now, checks=None, **options):
     checks = gate.standard_checks(40, 40, 4) if checks is None else checks
     return run_load(
-        warehouse.spark, csv, warehouse.root, now, batch, checks, span=64, **options
+        warehouse.spark, csv, warehouse.root, now, batch, checks, rows=16, **options
     )
 
 
@@ -72,6 +77,51 @@ def test_run_stops_at_the_gate(warehouse, csv):
     assert warehouse.read(CHECK_LOG_TABLE).count() == 12
 
 
+def test_readings_set_aside_do_not_break_later_runs(warehouse, csv):
+    """Two readings without torque stay out of staging; the layers still agree."""
+    lines = open(csv).read().splitlines()
+    for at in (5, 9):
+        cells = lines[at].split(",")
+        lines[at] = ",".join([*cells[:6], "", *cells[7:]])
+    open(csv, "w").write("\n".join(lines) + "\n")
+    checks = gate.standard_checks(40, 38, 4)
+    refused = run(warehouse, csv, "b0", NOW, checks)
+    assert refused.error.startswith("staging:")
+    for batch, incremental in (("b1", False), ("b2", True), ("b3", False)):
+        report = run(
+            warehouse, csv, batch, LATER, checks, incremental=incremental, on_missing="quarantine"
+        )
+        assert report.status == "success", report.error
+    assert warehouse.read(FACT_TABLE).count() == 38
+
+
+def test_lost_rows_are_noticed(warehouse, csv):
+    run(warehouse, csv, "b1", NOW)
+    fact = warehouse.read(FACT_TABLE)
+    warehouse.replace(FACT_TABLE, fact.filter("udi <> 7"), starts=warehouse.blocks(FACT_TABLE))
+    with pytest.raises(ValueError, match="got lost"):
+        check_parity(warehouse)
+
+
+def test_a_stopped_run_is_in_the_log(warehouse, csv):
+    run(warehouse, csv, "b1", NOW)
+    report = run(warehouse, csv, "b2", LATER, gate.standard_checks(41, 1, 1))
+    assert report.status == "error"
+    log = warehouse.read(CHECK_LOG_TABLE)
+    rows = {r.check_id: (r.batch_id, r.status) for r in log.collect()}
+    assert sorted(rows) == list(range(1, 25))
+    assert rows[13] == ("b2", "FAILED") and rows[1] == ("b1", "PASSED")
+    assert gate.logged_run(log, 13, 12).filter("batch_id = 'b2'").count() == 12
+
+
+def test_an_unchanged_file_writes_nothing(warehouse, csv):
+    run(warehouse, csv, "b1", NOW)
+    versions = {t: warehouse.next_version(t) for t in (RAW_TABLE, STAGING_TABLE, FACT_TABLE, EQUIPMENT_TABLE)}
+    report = run(warehouse, csv, "b2", LATER, incremental=True, skip_unchanged=True)
+    assert report.status == "success"
+    assert {t: warehouse.next_version(t) for t in versions} == versions
+
+
 def test_run_without_a_file(warehouse, tmp_path):
     report = run(warehouse, str(tmp_path / "none.csv"), "b1", NOW)
     assert report.status == "error" and report.steps == []
@@ -81,7 +131,7 @@ def test_transforms_and_materialised_features(warehouse, raw, tmp_path):
     from gaugeworks.sources.readings import load_raw
 
     load_raw(warehouse, raw([reading(udi=u) for u in range(1, 5)]))
-    views = run_transforms(warehouse.spark, warehouse.root, NOW, span=64)
+    views = run_transforms(warehouse.spark, warehouse.root, NOW, rows=16)
     assert len(views) == 3
     path = str(tmp_path / "features")
     materialize_features(warehouse, path)
