@@ -1,9 +1,9 @@
 """Time the headline queries and print one JSON line.
 
 The warehouse is loaded once (timed as ``warehouse_load``); each query then runs
-several times to completion and its median counts. The last four times are not in the
-total: the forms that larger facts take, and the one-task windows beside ``ntile_rows``
-and ``dense_rank_global``.
+several times to completion and its median counts. The last times are not in the total: the
+plain windows beside ``anomaly_features``, ``ntile_rows`` and ``dense_rank_global``, and
+the reports from partial aggregates beside those from the fact.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from catalog import fixture as fx  # noqa: E402
 from catalog.queries import all_queries  # noqa: E402
 from gaugeworks.operators.quality import run_suite  # noqa: E402
-from gaugeworks.operators.tiles import MAX_CELLS  # noqa: E402
 from gaugeworks.plans import analytics  # noqa: E402
+from gaugeworks.plans.partials import Partials, refresh_partials  # noqa: E402
 from gaugeworks.plans.quality import standard_checks, tables_of  # noqa: E402
 from gaugeworks.session import local_session  # noqa: E402
 
@@ -67,11 +67,18 @@ def main() -> None:
     tiles = Window.orderBy("rotational_speed_rpm", "udi")
     ranks = Window.orderBy(F.desc("overstrain_metric"))
     forms = {
-        "block_features": lambda: analytics.anomaly_features(star, span=star.span),
-        "cell_quintiles": lambda: analytics.speed_quintiles(star, max_cells=MAX_CELLS),
+        "plain_features": lambda: analytics.anomaly_features(star, plain=True),
         "plain_ntile": lambda: star.fact.select("udi", F.ntile(5).over(tiles)),
         "plain_dense_rank": lambda: star.fact.select("udi", F.dense_rank().over(ranks)),
     }
+    refresh_partials(warehouse)
+    partials = Partials.of(warehouse)
+    forms |= {
+        "root_cause_partials": partials.root_cause,
+        "speed_quintiles_partials": partials.speed_quintiles,
+        "leaderboard_partials": partials.leaderboard,
+        "counts_partials": partials.counts_row,
+    }
     for name, build in {**headline, **forms}.items():
         run(build)
         times[name] = statistics.median(run(build) for _ in range(REPEATS))

@@ -87,14 +87,16 @@ def _staged(name: str, source: str) -> str:
 _STAR = f"""{_RAW},{_staged("s", "raw")},
 noted AS (SELECT DISTINCT product_id FROM s WHERE mode = 'Unclassified Failure')"""
 
-_FEATURES = f"""{_STAR},
+
+def _features_of(star: str, source: str = "s") -> str:
+    return f"""{star},
 rolled AS (
   SELECT *, avg(torque_nm) OVER w AS mean_t,
          coalesce(stddev_samp(torque_nm) OVER w, 0.01) AS std_t,
          avg(power_c / 100e0) OVER w AS mean_p,
          torque_c - lag(torque_c, 1, torque_c)
            OVER (PARTITION BY product_type ORDER BY udi) AS step_c
-  FROM s
+  FROM {source}
   WINDOW w AS (PARTITION BY product_type ORDER BY udi
                ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
 scored AS (
@@ -103,6 +105,9 @@ features AS (
   SELECT *, round(CAST(z AS DECIMAL(18,9)), 2) AS z2,
          coalesce(abs(z) > 2.5, FALSE) AS anomaly FROM scored)"""
 
+
+_FEATURES = _features_of(_STAR)
+
 _RAW_COLUMNS = """udi, product_id, product_type,
   CAST(air_temperature_k AS DOUBLE) AS air_temperature_k,
   CAST(process_temperature_k AS DOUBLE) AS process_temperature_k,
@@ -148,8 +153,8 @@ def _percent(part: str, whole: str, places: int = 2) -> str:
     )
 
 
-def _failures(extra: str) -> str:
-    return f"""{_STAR},
+def _failures(extra: str, star: str = _STAR) -> str:
+    return f"""{star},
 grouped AS (
   SELECT product_type, product_quality_grade AS quality_grade, mode AS failure_mode_name,
          count(*) AS n, {extra}
@@ -159,10 +164,9 @@ ranked AS (
          sum(n) OVER (PARTITION BY product_type) AS tier FROM grouped)"""
 
 
-_ROOT = _failures(
-    f"""{_mean("diff_c")} AS avg_temp_diff_c, {_mean("rpm", 0)} AS avg_rpm,
+_ROOT_MEANS = f"""{_mean("diff_c")} AS avg_temp_diff_c, {_mean("rpm", 0)} AS avg_rpm,
          {_mean("torque_c")} AS avg_torque_nm, {_mean("power_c")} AS avg_power_kw"""
-)
+_ROOT = _failures(_ROOT_MEANS)
 _SHARE = _percent("n", "tier")
 _ROOT_BODY = f"""SELECT product_type, quality_grade, failure_mode_name,
   n AS occurrence_count, avg_temp_diff_c, avg_rpm, avg_torque_nm, avg_power_kw,
@@ -307,15 +311,21 @@ merged AS (
   FROM raw r FULL OUTER JOIN {updates} u ON r.udi = u.udi)"""
 
 
-_QUINTILES = _q(
-    f"""{_STAR},
-tiled AS (SELECT *, ntile(5) OVER (ORDER BY rpm, udi) AS tile FROM s)""",
-    f"""SELECT CAST(tile AS BIGINT) AS speed_quintile,
+# The star after a second batch.
+_GROWN = f"""{_RAW},{_merged("again", _RELOADED)},{_staged("s", "merged")}"""
+
+
+def _tiled(star: str) -> str:
+    return f"""{star},
+tiled AS (SELECT *, ntile(5) OVER (ORDER BY rpm, udi) AS tile FROM s)"""
+
+
+_TILES = f"""SELECT CAST(tile AS BIGINT) AS speed_quintile,
   CAST(min(rpm) AS BIGINT) AS min_rpm, CAST(max(rpm) AS BIGINT) AS max_rpm,
   count(*) AS total_readings, count(*) FILTER (WHERE is_failure) AS failures_count,
   {_percent("count(*) FILTER (WHERE is_failure)", "count(*)")} AS failure_rate_pct
-FROM tiled GROUP BY tile ORDER BY tile""",
-)
+FROM tiled GROUP BY tile ORDER BY tile"""
+_QUINTILES = _q(_tiled(_STAR), _TILES)
 
 _STAMPED = f"SELECT {_RAW_COLUMNS}, batch_id, ingested_at FROM"
 
@@ -375,6 +385,68 @@ def all_oracles() -> dict[str, str]:
               count(DISTINCT product_id) AS greatest_key FROM s
             UNION ALL SELECT 'fact_sensor_telemetry', count(*), count(*), 1, count(*) FROM s""",
         ),
+        "surrogate_keys_far": _q(
+            _STAR,
+            """SELECT 'dim_equipment' AS table_name, count(DISTINCT product_id) AS total_keys,
+              count(DISTINCT product_id) AS distinct_keys, CAST(1 AS BIGINT) AS least_key,
+              count(DISTINCT product_id) AS greatest_key FROM s
+            UNION ALL SELECT 'fact_sensor_telemetry', count(*), count(*), 1, count(*) FROM s""",
+        ),
+        "stream_replay": _q(
+            _RAW,
+            f"""SELECT {_RAW_COLUMNS}, ingested_at, CAST(1 AS BIGINT) AS versions_written
+            FROM (SELECT * REPLACE ('files' AS source_dataset) FROM raw)""",
+        ),
+        "run_with_summary": _q(
+            _STAR,
+            f"""SELECT *, raw_rows AS reported_raw_rows, fact_rows AS reported_fact_rows,
+              failure_rows AS reported_failure_rows,
+              passed_quality_checks AS reported_passed_quality_checks
+            FROM (SELECT count(*) AS raw_rows, count(*) AS fact_rows,
+              count(*) FILTER (WHERE is_failure) AS failure_rows,
+              2 * (SELECT {_PASSED} FROM ({_suite(1, 1, 1)})) AS passed_quality_checks FROM s)""",
+        ),
+        "transforms_only": _q(_ROOT, _ROOT_BODY),
+        "gate_failing": _q(
+            f"""{_STAR}, verdicts AS ({_suite(1_000, 1_000_000_000, 1)})""",
+            f"""SELECT position AS check_id, '{BATCH}' AS batch_id, * EXCLUDE (position),
+              '{FIRST_RUN}' AS checked_at, TRUE AS run_stopped FROM verdicts""",
+        ),
+        "reload_changes": _q(
+            _RAW,
+            """SELECT * FROM (VALUES ('raw.sensor_telemetry'), ('staging.stg_sensor_telemetry'),
+                ('warehouse.fact_sensor_telemetry')) t(table_name),
+              (SELECT count(*) AS all_rows,
+                 count(*) FILTER (WHERE u.udi IS NOT NULL AND NOT known_same) AS fresh_rows,
+                 count(*) FILTER (WHERE r.udi IS NULL) AS new_rows,
+                 count(*) FILTER (WHERE u.udi IS NOT NULL AND r.udi IS NOT NULL AND NOT known_same)
+                   AS changed_rows,
+                 count(*) FILTER (WHERE known_same) AS unchanged_rows
+               FROM (SELECT *, udi % 4 = 3 AS third FROM raw) r FULL OUTER JOIN again u
+                 ON r.udi = u.udi,
+               LATERAL (SELECT coalesce(u.udi IS NOT NULL AND r.third, FALSE) AS known_same))""",
+        ),
+        "features_refresh": _q(
+            _features_of(_GROWN),
+            f"""SELECT {_FEED}, round(mean_p, 6) AS rolling_avg_power_kw FROM features""",
+        ),
+        "root_cause_partials": _q(_failures(_ROOT_MEANS, _GROWN), _ROOT_BODY),
+        "layer_counts_partials": _q(
+            _GROWN,
+            """SELECT count(*) AS raw_rows, count(*) AS staging_rows, count(*) AS fact_rows,
+              count(*) FILTER (WHERE is_failure) AS failure_rows FROM s""",
+        ),
+        "speed_quintiles_partials": _q(_tiled(_GROWN), _TILES),
+        "leaderboard_bounds": _q(_GROWN, _leaders(25)),
+        "rolling_far_id": _q(
+            _features_of(
+                f"""{_STAR}, far AS (
+  SELECT * REPLACE (CASE WHEN udi = (SELECT max(udi) FROM s) THEN 1152921504606846976
+    ELSE udi END AS udi) FROM s)""",
+                "far",
+            ),
+            f"""SELECT udi, {_ROLLING}, {_SCORE} FROM features""",
+        ),
         "upsert_partial": _q(f"{_RAW},{_merged('again', _RELOADED)}", f"{_STAMPED} merged"),
         "upsert_nothing": _q(
             _RAW,

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from catalog import fixture as fx
 from gaugeworks.operators import quality as dq
+from gaugeworks.operators.changes import change_counts, with_change
 from gaugeworks.operators.ordinal import dense_rank_exact, ntile_exact
 from gaugeworks.operators.search import search_rows
 from gaugeworks.operators.upsert import upsert
 from gaugeworks.plans import adhoc, analytics, summary
 from gaugeworks.plans import quality as gate
-from gaugeworks.plans.runner import materialize_features, run_load
+from gaugeworks.plans.materialized import refresh_features
+from gaugeworks.plans.partials import Partials, refresh_partials
+from gaugeworks.plans.runner import materialize_features, run_load, run_transforms
 from gaugeworks.plans.staging import load_staging, to_staging
 from gaugeworks.plans.star import (
     build_dim_equipment,
@@ -29,6 +32,7 @@ from gaugeworks.schemas import (
     EQUIPMENT_TABLE,
     FACT_TABLE,
     FAILURE_MODE_TABLE,
+    FEATURES_TABLE,
     INGESTION_LOG_TABLE,
     RAW,
     RAW_COLUMN_MAP,
@@ -36,7 +40,7 @@ from gaugeworks.schemas import (
     READING,
     STAGING_TABLE,
 )
-from gaugeworks.session import scratch_path, written
+from gaugeworks.session import landed, scratch_path, written
 from gaugeworks.sources.events import readings_from_events
 from gaugeworks.sources.logs import latest_ingestion
 from gaugeworks.sources.readings import (
@@ -44,6 +48,7 @@ from gaugeworks.sources.readings import (
     RELOAD_COLUMNS,
     add_lineage,
     cast_readings,
+    compared_columns,
     file_order,
     ingest_batch,
     load_batch,
@@ -51,7 +56,7 @@ from gaugeworks.sources.readings import (
     rename_columns,
 )
 from gaugeworks.sources.tables import Warehouse
-from gaugeworks.streaming.ingest import ingest_stream
+from gaugeworks.streaming.ingest import csv_stream, ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,14 +120,82 @@ def stream_ingest(spark, sf_dir):
 
 
 @_query
-def full_load_twice(spark, sf_dir):
+def stream_replay(spark, sf_dir):
+    """Three files in three micro-batches, of which one comes again: one version of raw."""
+    path = scratch_path(spark, "csv")
+    for part in range(3):
+        some = fx.readings(spark, sf_dir).filter(F.col("udi") % 3 == part)
+        _as_source_file(some).coalesce(1).write.option("header", True).csv(f"{path}/part={part}")
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    checkpoint = scratch_path(spark, "stream")
+    for _ in range(2):
+        source = csv_stream(spark, f"{path}/*", files_per_batch=1)
+        ingest_stream(source, warehouse, checkpoint, "files", fx.LOADED_AT)
+    version = F.lit(warehouse.next_version(RAW_TABLE) - 1).alias("versions_written")
+    return warehouse.read(RAW_TABLE).drop("batch_id").select("*", version)
+
+
+def _source_csv(spark, sf_dir) -> str:
     path = scratch_path(spark, "csv") + "/readings.csv"
     source = _as_source_file(fx.readings(spark, sf_dir))
     source.write.option("header", True).csv(path)
-    root = scratch_path(spark, "warehouse")
+    return path
+
+
+def _passing_checks() -> list:
     checks = gate.standard_checks(1, 1, 1)
     # torque leaves its range in this data, which must not stop the load
     checks[7] = dq.check_numeric_range(FACT_TABLE, "torque_nm", 1.0, 100.0, "WARNING")
+    return checks
+
+
+@_query
+def run_with_summary(spark, sf_dir):
+    """The whole run, twice; the second one's summary."""
+    path = _source_csv(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
+    for batch, now in ((fx.BATCH, fx.LOADED_AT), (fx.NEXT_BATCH, fx.RELOADED_AT)):
+        report = run_load(
+            spark, path, root, now, batch, _passing_checks(), incremental=True, summary=True
+        )
+        if report.status != "success":
+            raise RuntimeError(report.error)
+    names = ["raw_rows", "fact_rows", "failure_rows", "passed_quality_checks"]
+    warehouse = Warehouse(spark, root)
+    frame = summary.run_summary(
+        warehouse.read(RAW_TABLE), warehouse.read(FACT_TABLE), warehouse.read(CHECK_LOG_TABLE)
+    )
+    told = [F.lit(report.summary[n]).cast("bigint").alias(f"reported_{n}") for n in names]
+    return frame.select(*names, *told)
+
+
+@_query
+def transforms_only(spark, sf_dir):
+    """Staging, star and views from a raw table that is there; the views answer."""
+    root = scratch_path(spark, "warehouse")
+    with landed(fx.raw_batch(spark, sf_dir), "landing") as batch:
+        load_raw(Warehouse(spark, root), batch)
+    views = run_transforms(spark, root, fx.LOADED_AT)
+    return views[adhoc.ROOT_CAUSE_VIEW]
+
+
+@_query
+def gate_failing(spark, sf_dir):
+    """A run that its gate stops, and what the log then has about it."""
+    path = _source_csv(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
+    checks = gate.standard_checks(1_000, 1_000_000_000, 1)
+    report = run_load(spark, path, root, fx.FIRST_RUN, fx.BATCH, checks)
+    stopped = report.status == "error" and len(report.steps) == 3
+    log = Warehouse(spark, root).read(CHECK_LOG_TABLE)
+    return log.withColumn("run_stopped", F.lit(stopped))
+
+
+@_query
+def full_load_twice(spark, sf_dir):
+    path = _source_csv(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
+    checks = _passing_checks()
     for batch, now in ((fx.BATCH, fx.LOADED_AT), (fx.NEXT_BATCH, fx.RELOADED_AT)):
         report = run_load(spark, path, root, now, batch, checks, incremental=True)
         if report.status != "success":
@@ -174,9 +247,7 @@ def fact_star(spark, sf_dir):
     return _natural_fact(fx.star(spark, sf_dir))
 
 
-@_query
-def surrogate_key_props(spark, sf_dir):
-    star = fx.star(spark, sf_dir)
+def _key_props(star: analytics.Star) -> DataFrame:
     parts = []
     for table, frame, key in (
         ("dim_equipment", star.equipment, "equipment_key"),
@@ -196,6 +267,24 @@ def surrogate_key_props(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@_query
+def surrogate_key_props(spark, sf_dir):
+    return _key_props(fx.star(spark, sf_dir))
+
+
+@_query
+def surrogate_keys_far(spark, sf_dir):
+    """The same from ids a trillion apart, and one at 2 ** 62, in blocks of 700 rows."""
+    last = fx.raw(spark, sf_dir).agg(F.max("udi")).scalar()
+    far = F.when(F.col("udi") == last, F.lit(1 << 62)).otherwise(F.col("udi") * (1 << 40))
+    warehouse = Warehouse(spark, scratch_path(spark, "far"), rows=700)
+    with landed(fx.raw(spark, sf_dir).withColumn("udi", far), "far") as batch:
+        load_raw(warehouse, batch)
+    load_staging(warehouse, fx.LOADED_AT)
+    load_star(warehouse, fx.LOADED_AT)
+    return _key_props(analytics.Star.of(warehouse))
+
+
 # --- upserts ------------------------------------------------------------------
 
 
@@ -262,7 +351,8 @@ def fact_reload(spark, sf_dir):
     star = fx.star(spark, sf_dir)
     staging = to_staging(fx.second_batch(spark, sf_dir), fx.RELOADED_AT)
     rows = build_fact(staging, star.equipment, star.modes, fx.RELOADED_AT)
-    merged = merge_fact(star.fact, rows, load=2)
+    first = fx.warehouse(spark, sf_dir).mark(FACT_TABLE, "leased") + 1
+    merged = merge_fact(star.fact, rows, first)
     old = star.fact.select("udi", F.col("telemetry_key").alias("_old_key"))
     return merged.join(old, "udi", "left").select(
         "udi",
@@ -275,6 +365,97 @@ def fact_reload(spark, sf_dir):
     )
 
 
+def _half_known(spark, sf_dir) -> DataFrame:
+    """The second batch, of which the readings with ``udi % 4 = 3`` come as they were."""
+    again, first = fx.second_batch(spark, sf_dir), fx.raw_batch(spark, sf_dir)
+    same = F.col("udi") % 4 == 3
+    known = first.select("udi").join(again.select("udi"), "udi", "left_semi")
+    restored = first.join(known, "udi", "left_semi").filter(same)
+    others = again.join(restored.select("udi"), "udi", "left_anti")
+    stamps = {"batch_id": F.lit(fx.NEXT_BATCH), "ingested_at": F.lit(fx.RELOADED_AT).cast("timestamp")}
+    return others.unionByName(restored.withColumns(stamps))
+
+
+@_query
+def reload_changes(spark, sf_dir):
+    """What a batch does to raw: its rows by kind, and the stamps after loading it without
+    the unchanged ones, layer by layer."""
+    warehouse = Warehouse(spark, scratch_path(spark, "reload"), rows=1_000)
+    with landed(fx.raw_batch(spark, sf_dir), "landing") as batch:
+        load_raw(warehouse, batch)
+    load_staging(warehouse, fx.LOADED_AT)
+    load_star(warehouse, fx.LOADED_AT)
+    batch = written(_half_known(spark, sf_dir), "landing")
+    compared = compared_columns(RELOAD_COLUMNS)
+    told = with_change(batch, warehouse.read(RAW_TABLE), ["udi"], compared)
+    counts = written(change_counts(told), "counts")
+    load_raw(warehouse, batch, skip_unchanged=True)
+    load_staging(warehouse, fx.RELOADED_AT, pending_only=True, skip_unchanged=True)
+    load_star(warehouse, fx.RELOADED_AT, pending_only=True, skip_unchanged=True)
+    stamped = []
+    for table, column in (
+        (RAW_TABLE, "ingested_at"),
+        (STAGING_TABLE, "transformed_at"),
+        (FACT_TABLE, "loaded_at"),
+    ):
+        fresh = F.count_if(F.col(column) == F.lit(fx.RELOADED_AT)).alias("fresh_rows")
+        rows = warehouse.read(table).agg(F.lit(table).alias("table_name"), F.count("*").alias("all_rows"), fresh)
+        stamped.append(rows)
+    both = stamped[0].unionByName(stamped[1]).unionByName(stamped[2])
+    return both.select("*", *[counts.select(c).scalar().alias(c) for c in counts.columns])
+
+
+def _two_loads(spark, sf_dir) -> Warehouse:
+    """A warehouse in small blocks whose fact grew by a second batch; its partial aggregates
+    and stored features were made before that and brought up to it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _followed:
+        warehouse = Warehouse(spark, scratch_path(spark, "followed"), rows=1_000)
+        for batch, now in (
+            (fx.raw_batch(spark, sf_dir), fx.LOADED_AT),
+            (fx.second_batch(spark, sf_dir), fx.RELOADED_AT),
+        ):
+            with landed(batch, "landing") as rows:
+                load_raw(warehouse, rows)
+            load_staging(warehouse, now, pending_only=True)
+            load_star(warehouse, now, pending_only=True)
+            refresh_partials(warehouse)
+            refresh_features(warehouse)
+        _followed[key] = warehouse
+    return _followed[key]
+
+
+_followed: dict[tuple[str, str], Warehouse] = {}
+
+
+@_query
+def features_refresh(spark, sf_dir):
+    """Stored features after a second batch: only rows that it reaches were made again."""
+    stored = _two_loads(spark, sf_dir).read(FEATURES_TABLE)
+    return _six_places(stored).drop("overstrain_metric")
+
+
+@_query
+def root_cause_partials(spark, sf_dir):
+    return Partials.of(_two_loads(spark, sf_dir)).root_cause()
+
+
+@_query
+def layer_counts_partials(spark, sf_dir):
+    return Partials.of(_two_loads(spark, sf_dir)).counts_row()
+
+
+@_query
+def speed_quintiles_partials(spark, sf_dir):
+    return Partials.of(_two_loads(spark, sf_dir)).speed_quintiles()
+
+
+@_query
+def leaderboard_bounds(spark, sf_dir):
+    """The leaderboard from the blocks whose maxima reach it."""
+    return Partials.of(_two_loads(spark, sf_dir)).leaderboard()
+
+
 @_query
 def incremental_catch_up(spark, sf_dir):
     """A batch that reached raw only, then an incremental load after the next one."""
@@ -307,7 +488,7 @@ def anomaly_features(spark, sf_dir):
 @_query
 def rolling_halo(spark, sf_dir):
     """The same features from blocks of 64 ids, so that nearly all frames cross one."""
-    return _six_places(_features(spark, sf_dir, span=64)).select(
+    return _six_places(_features(spark, sf_dir, rows=64)).select(
         "udi",
         "product_type",
         "rolling_avg_torque",
@@ -319,6 +500,23 @@ def rolling_halo(spark, sf_dir):
     )
 
 
+@_query
+def rolling_far_id(spark, sf_dir):
+    """The features while the last reading has an id far off all others."""
+    star = fx.star(spark, sf_dir)
+    last = star.fact.agg(F.max("udi")).scalar()
+    far = F.when(F.col("udi") == last, F.lit(1 << 60)).otherwise(F.col("udi"))
+    star = replace(star, fact=star.fact.withColumn("udi", far))
+    return _six_places(analytics.anomaly_features(star, rows=300)).select(
+        "udi",
+        "rolling_avg_torque",
+        "rolling_std_torque",
+        "torque_step_delta",
+        "torque_z_score",
+        "is_torque_anomaly",
+    )
+
+
 @_query
 def features_table(spark, sf_dir):
     """The features written once and read back."""
@@ -396,7 +594,9 @@ def stress_top(spark, sf_dir):
 @_query
 def dense_rank_global(spark, sf_dir):
     rows = fx.star(spark, sf_dir).fact.select("udi", "overstrain_metric")
-    return dense_rank_exact(rows, "overstrain_metric", name="risk_rank")
+    return dense_rank_exact(
+        rows, "overstrain_metric", "udi", name="risk_rank", scale=2, rows=2_000
+    )
 
 
 @_query
@@ -413,8 +613,9 @@ def speed_quintiles_by_cells(spark, sf_dir):
 @_query
 def ntile_rows(spark, sf_dir):
     rows = fx.star(spark, sf_dir).fact.select("udi", "rotational_speed_rpm")
-    order = F.col("rotational_speed_rpm").asc_nulls_last(), F.col("udi").asc()
-    return ntile_exact(rows, 5, *order, name="speed_quintile")
+    return ntile_exact(
+        rows, 5, "rotational_speed_rpm", "udi", name="speed_quintile", rows=2_000
+    )
 
 
 @_query
