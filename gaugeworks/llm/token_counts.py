@@ -107,10 +107,9 @@ def _chunk_rows(path: str):
             for doc, start, head, tail, text in zip(
                 p["doc_id"], p["start"], p["head"], p["tail"], p["text"], strict=True
             ):
-                tokens = sp.encode(text, out_type="immutable_proto").pieces
-                ends: dict[int, int] = {}
-                for k, piece in enumerate(tokens):
-                    ends[piece.end] = k + 1
+                # offsets in letters, not in bytes
+                tokens = sp.encode(text, return_type="offset_mapping")["offsets"]
+                ends = {end: k for k, (_, end) in enumerate(tokens, 1)}
                 left = cut(text, 0, head, ends) if head else (0, 0)
                 right = cut(text, len(text) - tail, len(text), ends) if tail else (len(text), len(tokens))
                 at_left = start + left[0] if left[0] >= 0 else -1
