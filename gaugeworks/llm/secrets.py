@@ -9,15 +9,18 @@ scored by how much likelier an automaton makes it than one learnt from ordinary
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import documents_of, rows_like
+from gaugeworks.session import written
 
 _ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -186,20 +189,43 @@ class Grammar:
         return max((a.bits(value) - plain for a in self.kinds.values()), default=-math.inf)
 
 
-def _labelled_rows(longest: int):
+class Smallest:
+    """The ``most`` distinct values of smallest hash among all that are offered."""
+
+    def __init__(self, most: int):
+        self.most, self.heap, self.held = most, [], set()
+        self.least = 1 << 63
+
+    def offer(self, value: str) -> None:
+        h = xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"), 42)
+        h -= (h >> 63) << 64
+        if h >= self.least or value in self.held:
+            return
+        self.held.add(value)
+        heapq.heappush(self.heap, (-h, value))
+        if len(self.heap) > self.most:
+            self.held.remove(heapq.heappop(self.heap)[1])
+            self.least = -self.heap[0][0]
+
+
+def _labelled_rows(most: int, longest: int):
+    """Of each kind, the values of smallest hash of a whole task, at its end."""
+
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+        kept = {kind: Smallest(most) for kind in (*KINDS[:3], "ordinary")}
         for p in pieces:
-            found = set()
             for text in p["text"]:
                 for m in _ASSIGN.finditer(text):
-                    if len(m[2]) >= 6:
-                        found.add(("assign", m[2]))
+                    if 6 <= len(m[2]) <= longest:
+                        kept["assign"].offer(m[2])
                 for start, end, kind in base_spans(text):
-                    if kind != "assign":
-                        found.add((kind, text[start:end]))
-                found.update(("ordinary", w) for w in _WORD.findall(text))
-            kept = [f for f in sorted(found) if len(f[1]) <= longest]
-            yield [k for k, _ in kept], [v for _, v in kept]
+                    if kind != "assign" and end - start <= longest:
+                        kept[kind].offer(text[start:end])
+                for word in set(_WORD.findall(text)):
+                    if len(word) <= longest:
+                        kept["ordinary"].offer(word)
+        found = [(kind, -h, v) for kind, s in kept.items() for h, v in s.heap]
+        yield tuple(zip(*found, strict=True)) if found else ([], [], [])
 
     return rows
 
@@ -210,13 +236,13 @@ def infer(
 ) -> Grammar:
     """Automata of each kind, learnt from the distinct credentials of up to ``longest``
     letters, of each kind the ``most`` of smallest hash. All rows are searched for them."""
-    fields = "kind string,value string"
+    fields = "kind string,h long,value string"
     found = documents_of(docs, id_col, text_col).select("text").mapInArrow(
-        rows_like(fields, _labelled_rows(longest), 64), fields
+        rows_like(fields, _labelled_rows(most, longest), 64), fields
     )
-    # a bounded part by hash of each kind is all that leaves a task
+    # one scan: a bounded part by hash of each kind is all that leaves a task
+    found = written(found, "labelled")
     names, parts = [*KINDS[:3], "ordinary"], None
-    found = found.withColumn("h", F.xxhash64("value"))
     smallest = found.groupBy("kind", "h").agg(F.min("value").alias("value"))
     for kind in names:
         part = smallest.filter(F.col("kind") == kind).orderBy("h").limit(most)
