@@ -43,6 +43,7 @@ class Vocabulary:
         self.ranks = {(a, b): k for k, (a, b) in enumerate(pairs)}
         self.end = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.names = {k: t for t, k in (self.ids | self.special).items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split)
         longest_first = sorted(self.special, key=len, reverse=True)
@@ -107,7 +108,8 @@ class Encoder(dict):
             self.clear()
         v = self.vocabulary
         tokens = [t for w in v.words.findall(chunk) for t in v.parts(w)]
-        found = len(tokens), " ".join([str(v.ids[t]) for t in tokens]), " ".join(tokens)
+        ids = [v.ids[t] for t in tokens]
+        found = len(tokens), " ".join(map(str, ids)), decode(ids, v)
         if len(chunk) <= 1000:
             self[chunk] = found
         return found
@@ -119,16 +121,19 @@ class Encoder(dict):
         pieces = v.specials.split(text) if "<" in text else [text]
         for k, piece in enumerate(pieces):
             if k % 2:
-                out.append((1, str(v.special[piece]), piece))
+                out.append((1, str(v.special[piece]), decode([v.special[piece]], v)))
                 continue
             # a capital sigma has one small letter here, also at the end of a word
-            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower().translate(_NEWER)
             # str.split also parts at U+001C to U+001F, which are no white space here
             chunks = plain.split() if not _SEPARATORS.search(plain) else _CHUNKS.findall(plain)
             out += filter(_has_tokens, map(self.__getitem__, chunks))
         return out
 
 
+# Capital and small letters that are newer than Python's tables (fixed values).
+_NEWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+_NEWER |= {k: k + 0x20 for k in range(0x10D50, 0x10D66)}
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _CHUNKS = regex.compile(r"\P{White_Space}+")
 
@@ -140,8 +145,7 @@ def _has_tokens(entry: tuple[int, str, str]) -> bool:
 def decode(ids: list[int], vocabulary: Vocabulary) -> str:
     """The tokens of ids with spaces between, special ones included: these vocabularies
     have no decoder that would join them."""
-    names = {k: t for t, k in (vocabulary.ids | vocabulary.special).items()}
-    return " ".join(names[k] for k in ids)
+    return " ".join([vocabulary.names[k] for k in ids])
 
 
 def _sha256(text: str) -> str:
