@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import features
 from gaugeworks.operators.blocks import LEAST_KEY, Blocks
 from gaugeworks.operators.changes import effective
-from gaugeworks.operators.ordinal import counted_ordinal
+from gaugeworks.operators.ordinal import counted_ordinal, text_ordinal
 from gaugeworks.operators.upsert import resolve_duplicates, upsert
 from gaugeworks.schemas import (
     DIM_EQUIPMENT,
@@ -50,10 +50,9 @@ def equipment_rows(staging: DataFrame) -> DataFrame:
 
 
 def assign_keys(fresh: DataFrame, natural_key: str, key: str, top: int) -> DataFrame:
-    """Number new rows above ``top``, in the order of a hash of their natural key."""
-    hashed = fresh.withColumn("_hash", F.xxhash64(natural_key))
-    numbered = counted_ordinal(hashed, "_hash", name="_number")
-    return numbered.withColumn(key, F.col("_number") + F.lit(top)).drop("_hash", "_number")
+    """Number new rows above ``top`` in the order of their natural key."""
+    numbered = text_ordinal(fresh, natural_key, "_number")
+    return numbered.withColumn(key, F.col("_number") + F.lit(top)).drop("_number")
 
 
 def build_dim_equipment(

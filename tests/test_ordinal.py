@@ -9,6 +9,7 @@ from gaugeworks.operators.ordinal import (
     counted_ordinal,
     global_ordinal,
     ntile_exact,
+    text_ordinal,
 )
 from gaugeworks.operators.tiles import tile_ends, tile_report
 from pyspark.sql import Window
@@ -52,6 +53,17 @@ def test_counted_ordinal_equals_row_number(spark, rows):
         assert ours.exceptAll(plain).isEmpty() and ours.count() == 501
 
 
+@pytest.mark.parametrize("rows", [3, 40, None])
+def test_text_ordinal_equals_row_number(spark, rows):
+    pick = random.Random(6)
+    heads = ["", "a", "same start of many ", "é", "~", "\x00"]
+    texts = {pick.choice(heads) + "".join(pick.choices("ab\x00é9", k=pick.randint(0, 9))) for _ in range(300)}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    plain = df.withColumn("n", F.row_number().over(Window.orderBy("t")))
+    ours = text_ordinal(df, "t", name="n", rows=rows)
+    assert ours.exceptAll(plain).isEmpty() and ours.count() == len(texts)
+
+
 def test_numbering_leaves_nothing_behind(spark):
     """No written copy, no sampled ranges, and a window per block of rows."""
     df = frame(spark, hot_rows(500, 3))
