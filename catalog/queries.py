@@ -594,9 +594,7 @@ def stress_top(spark, sf_dir):
 @_query
 def dense_rank_global(spark, sf_dir):
     rows = fx.star(spark, sf_dir).fact.select("udi", "overstrain_metric")
-    return dense_rank_exact(
-        rows, "overstrain_metric", "udi", name="risk_rank", scale=2, rows=2_000
-    )
+    return dense_rank_exact(rows, "overstrain_metric", "udi", name="risk_rank", scale=2)
 
 
 @_query
@@ -613,9 +611,7 @@ def speed_quintiles_by_cells(spark, sf_dir):
 @_query
 def ntile_rows(spark, sf_dir):
     rows = fx.star(spark, sf_dir).fact.select("udi", "rotational_speed_rpm")
-    return ntile_exact(
-        rows, 5, "rotational_speed_rpm", "udi", name="speed_quintile", rows=2_000
-    )
+    return ntile_exact(rows, 5, "rotational_speed_rpm", "udi", name="speed_quintile")
 
 
 @_query
