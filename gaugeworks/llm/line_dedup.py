@@ -259,41 +259,48 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return placed.select("row_key", "at", F.col("class").alias("id"), keep.alias("keep"))
 
 
+#: Names that no input column may have; they are gone from the output.
+_KEY, _DROPPED = "__line_dedup_row_key", "__line_dedup_dropped_at"
+
+
 def line_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
+    lines_col: str = "n_lines",
+    dropped_col: str = "n_dropped",
 ) -> DataFrame:
-    """``docs`` with repeated lines taken out of the text, and n_lines, n_dropped added
-    (input columns of these names are replaced).
+    """``docs`` with repeated lines taken out of the text, and the numbers of lines and of
+    dropped lines added under the given names (input columns of these names are replaced,
+    all others are passed on).
 
     Lines are compared with white-space runs as one space. Lines that are equal or within
     the ``letter_edits`` or the ``word_edits`` of the shorter one form classes (single
     link); of a class the line of the smallest doc_id, then of the first place, stays. Blank
     lines always stay. A null text stays null and has no lines; an empty one has one. Null
     ids sort last. Rows that repeat both id and text are one document and get equal
-    answers. An empty table gives no rows; other columns are passed on."""
+    answers. An empty table gives no rows."""
     drops = line_classes(docs, id_col, text_col).filter("NOT keep")
     # at most as many numbers as the document has lines
-    drops = drops.groupBy("row_key").agg(F.collect_set("at").alias("dropped_at"))
+    drops = drops.groupBy(F.col("row_key").alias(_KEY)).agg(F.collect_set("at").alias(_DROPPED))
     drops = written(drops, "dropped-lines")
-    others = [docs[c] for c in docs.columns if c not in ("n_lines", "n_dropped", "row_key", "dropped_at")]
-    whole = docs.select(*others, _row_key(docs, id_col, text_col).alias("row_key")).join(
-        drops, "row_key", "left"
-    )
+    others = [c for c in docs.columns if c not in (lines_col, dropped_col)]
+    own = docs.select(*[docs[c] for c in others], _row_key(docs, id_col, text_col).alias(_KEY))
+    whole = own.join(drops, _KEY, "left")
     lines = F.split(F.col(text_col), "\n")
     kept = F.filter(
         F.transform(lines, lambda x, k: F.struct(x.alias("line"), k.alias("at"))),
-        lambda s: ~F.array_contains("dropped_at", s["at"]),
+        lambda s: ~F.array_contains(_DROPPED, s["at"]),
     )
-    text = F.when(F.col("dropped_at").isNull(), F.col(text_col)).otherwise(
+    text = F.when(F.col(_DROPPED).isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(kept, lambda s: s["line"]), "\n")
     )
-    out = whole.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "row_key", "dropped_at")],
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("dropped_at"), F.lit(0)).cast("long").alias("n_dropped"),
-    )
-    return out.withColumn("n_lines", F.greatest(F.col("n_lines"), F.lit(0).cast("long"))).withColumn(
-        "n_dropped", F.greatest(F.col("n_dropped"), F.lit(0).cast("long"))
+
+    def number(found: Column) -> Column:
+        return F.greatest(F.coalesce(F.size(found), F.lit(0)), F.lit(0)).cast("long")
+
+    return whole.select(
+        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in others],
+        number(lines).alias(lines_col),
+        number(F.col(_DROPPED)).alias(dropped_col),
     )
