@@ -17,6 +17,10 @@ from gaugeworks.llm.common import table
 from gaugeworks.session import written
 
 
+#: Names of a stage's own columns, which no document table has.
+LINES, DROPPED = "__stage_n_lines", "__stage_n_dropped"
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ranking, learnt from the labels of this input, does not reject."""
     labels = table(spark, sf_dir, "labels")
@@ -27,11 +31,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines of any length go. A document of which nothing but white space is left, having
     had some, goes too: all it said stands in documents that stay."""
-    out = line_dedup.line_dedup(docs)
-    emptied = (F.col("n_dropped") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    out = line_dedup.line_dedup(docs, lines_col=LINES, dropped_col=DROPPED)
+    emptied = (F.col(DROPPED) > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     kept = out.filter(~F.coalesce(emptied, F.lit(False)))
-    changed = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long"))
-    kept = kept.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col(DROPPED) > 0, F.char_length("text").cast("long"))
+        kept = kept.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
     return kept.select(*docs.columns)
 
 
