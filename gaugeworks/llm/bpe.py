@@ -124,7 +124,9 @@ class Encoder(dict):
                 out.append((1, str(v.special[piece]), decode([v.special[piece]], v)))
                 continue
             # a capital sigma has one small letter here, also at the end of a word
-            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower().translate(_NEWER)
+            plain = unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower()
+            if not plain.isascii() and _NEWER_LETTERS.search(plain):
+                plain = plain.translate(_NEWER)
             # str.split also parts at U+001C to U+001F, which are no white space here
             chunks = plain.split() if not _SEPARATORS.search(plain) else _CHUNKS.findall(plain)
             out += filter(_has_tokens, map(self.__getitem__, chunks))
@@ -134,6 +136,7 @@ class Encoder(dict):
 # Capital and small letters that are newer than Python's tables (fixed values).
 _NEWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
 _NEWER |= {k: k + 0x20 for k in range(0x10D50, 0x10D66)}
+_NEWER_LETTERS = re.compile(f"[{''.join(map(chr, _NEWER))}]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _CHUNKS = regex.compile(r"\P{White_Space}+")
 
