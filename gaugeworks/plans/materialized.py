@@ -95,20 +95,23 @@ def reached_blocks(
     pairs = changed.select("product_type", START).distinct().collect()
     kinds = {kind for kind, _ in pairs}
     counts = warehouse.read(BLOCK_COUNTS_TABLE).filter(F.col("product_type").isin(*kinds))
-    series: dict[str, list[tuple[int, int]]] = {kind: [] for kind in kinds}
+    series: dict[str, tuple[list[int], list[int]]] = {kind: ([], []) for kind in kinds}
     for row in counts.orderBy(START).collect() if kinds else []:
-        series[row.product_type].append((row[START], row.n))
+        starts, sizes = series[row.product_type]
+        starts.append(row[START])
+        sizes.append(row.n)
     found: set[int] = set()
     for kind, block in pairs:
-        own = series[kind]
-        starts = [start for start, _ in own]
-        for side in (own[bisect_right(starts, block) :], own[: bisect_left(starts, block)][::-1]):
+        starts, sizes = series[kind]
+        behind = range(bisect_right(starts, block), len(starts))
+        ahead = range(bisect_left(starts, block) - 1, -1, -1)
+        for side in (behind, ahead):
             rows = 0
-            for start, n in side:
+            for k in side:
                 if rows >= reach:
                     break
-                found.add(start)
-                rows += n
+                found.add(starts[k])
+                rows += sizes[k]
         found.add(block)
     return sorted(found)
 

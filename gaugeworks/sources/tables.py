@@ -9,7 +9,8 @@ Tables of readings are stored by block of ids. A block begins at an id chosen wh
 counted and ends where the next begins, so it holds a bounded number of rows however the
 ids are spread. A merge writes a version with the blocks its batch touches, and cuts those
 that it fills up; the commit says in which version each block is. So the cost of a merge
-follows the batch, not the table.
+follows the batch, not the table. Small blocks share a folder with those next to them: the
+number of files follows the rows, not the number of blocks.
 
 An append-only table is one folder that Spark's own commit protocol extends.
 """
@@ -18,8 +19,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +32,15 @@ from gaugeworks.schemas import APPEND_ONLY, BLOCKED, TABLES
 from gaugeworks.session import literal_rows
 
 _COMMITS = "_commits"
-_BLOCK = "ids_from"
+# a row's block, in the files; the first block of its folder, and its version, in the path
+_BLOCK, _FOLDER, _VERSION = "ids_from", "blocks_from", "version"
 
 # Rows per stored block when it is cut; some fifty megabytes of Parquet.
 STORED_ROWS = 1 << 20
+# Rows per folder of blocks that are smaller than that.
+FOLDER_ROWS = 1 << 18
+# Above so many runs of blocks, a row's run is found by binary search.
+MOST_RANGES = 32
 
 
 class CommitConflict(RuntimeError):
@@ -70,6 +77,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.rows = rows
+        self._known: tuple[int, dict[str, TableState]] = (0, {})
 
     def read(
         self,
@@ -84,14 +92,19 @@ class Warehouse:
         """
         schema = TABLES[table]
         names = schema.names
-        if block_column:
-            schema = T.StructType([*schema.fields, T.StructField(_BLOCK, T.LongType())])
-        paths = self._paths(table, blocks)
+        if table in BLOCKED:
+            own = [T.StructField(c, T.LongType()) for c in (_BLOCK, _VERSION, _FOLDER)]
+            schema = T.StructType([*schema.fields, *own])
+        state = self._state(table)
+        wanted = None if blocks is None else set(blocks)
+        paths = self._paths(table, state, wanted)
         if not paths:
             rows = literal_rows(self.spark, [], schema)
         else:
             reader = self.spark.read.schema(schema).option("basePath", self._folder(table))
             rows = reader.parquet(*paths)
+            if table in BLOCKED:
+                rows = rows.filter(_current(_runs(state, wanted)))
         if block_column:
             return rows.select(*names, F.col(_BLOCK).alias(block_column))
         return rows.select(*names)
@@ -101,7 +114,7 @@ class Warehouse:
         return self._state(table).version
 
     def next_version(self, table: str) -> int:
-        return max(self.numbered(self._folder(table), "version"), default=0) + 1
+        return max(self.numbered(self._folder(table), _VERSION), default=0) + 1
 
     def mark(self, table: str, name: str, default: int = 0) -> int:
         """A number that loads keep with a table, such as what it has taken in."""
@@ -176,7 +189,7 @@ class Warehouse:
         Rows of a table stored by block are dealt by ``starts``. With ``replaced`` the version
         has all rows of those blocks, which may come out cut finer or empty, and no others;
         without, it is the whole table. ``clustered`` says that each task
-        already has rows of few blocks, as in a projection of another table stored by
+        already has rows of few folders, as in a projection of another table stored by
         block; such rows are not shuffled.
         """
         number, after = self.next_version(table), self.version(table)
@@ -186,17 +199,21 @@ class Warehouse:
         sizes: dict[int, int] = {}
         if table in BLOCKED:
             starts = starts or [LEAST_KEY]
+            firsts = sorted(starts)[:: max(FOLDER_ROWS // self.rows, 1)]
             placed = shaped.withColumn(_BLOCK, _start_of(starts, BLOCKED[table]))
+            placed = placed.withColumn(_FOLDER, _start_of(firsts, _BLOCK))
             if not clustered:
-                # one block's rows meet; adaptive execution evens out file sizes
-                placed = placed.hint("rebalance", _BLOCK)
-            placed.write.partitionBy(_BLOCK).parquet(path)
+                # one folder's rows meet; adaptive execution evens out file sizes
+                placed = placed.hint("rebalance", _FOLDER)
+            # in the order of blocks, so that files tell where a block cannot be
+            placed = placed.sortWithinPartitions(_FOLDER, _BLOCK)
+            placed.write.partitionBy(_FOLDER).parquet(path)
             # a block without rows is a block too: its ids belong to no other
             sizes = dict.fromkeys(self._within(table, starts, replaced), 0)
-            if self.numbered(path, _BLOCK):
-                # the rows of a block stand in the files' footers
-                rows = self.spark.read.parquet(path).groupBy(_BLOCK).count().collect()
-                sizes |= {int(row[_BLOCK]): row["count"] for row in rows}
+            if self.numbered(path, _FOLDER):
+                rows = self.spark.read.schema(f"{_BLOCK} bigint").parquet(path)
+                counted = rows.groupBy(_BLOCK).count().collect()
+                sizes |= {int(row[_BLOCK]): row["count"] for row in counted}
         elif replaced is not None:
             raise ValueError(f"{table} is not stored by block")
         else:
@@ -209,7 +226,8 @@ class Warehouse:
         """Those of ``starts`` that lie in the ranges of the blocks to be replaced."""
         if replaced is None:
             return starts
-        spans = [(low, end) for b, low, end in _spans(self.blocks(table)) if b in set(replaced)]
+        gone = set(replaced)
+        spans = [(low, end) for b, low, end in _spans(self.blocks(table)) if b in gone]
         found, at = [], 0
         for start in sorted(starts):
             while at < len(spans) and spans[at][1] <= start:
@@ -238,8 +256,8 @@ class Warehouse:
                 version.number, lies | fresh, sizes | version.sizes, old.marks
             )
         for table, values in (marks or {}).items():
-            state = tables.setdefault(table, TableState())
-            state.marks = {**state.marks, **values}
+            state = tables.get(table, TableState())
+            tables[table] = replace(state, marks={**state.marks, **values})
         self._commit(number + 1, tables)
 
     def replace(
@@ -284,22 +302,24 @@ class Warehouse:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[table]]
         )
 
-    def _paths(self, table: str, blocks: Iterable[int] | None = None) -> list[str]:
+    def _paths(self, table: str, state: TableState, wanted: set[int] | None) -> list[str]:
+        """Folders that hold all wanted blocks, and others next to them."""
         if table in APPEND_ONLY:
             folder = self._folder(table)
             return [folder] if self.exists(folder) else []
-        state = self._state(table)
         if table not in BLOCKED:
             return [self._version_path(table, state.version)] if state.version else []
-        wanted = {b for b in (state.blocks if blocks is None else blocks) if state.sizes.get(b)}
-        if blocks is None and len(set(state.blocks.values())) == 1:
-            if set(self.numbered(path := self._version_path(table, state.version), _BLOCK)) == wanted:
-                return [path]
-        return [
-            f"{self._version_path(table, version)}/{_BLOCK}={block}"
-            for block, version in state.blocks.items()
-            if block in wanted
-        ]
+        by_version: dict[int, list[int]] = {}
+        for block, version in state.blocks.items():
+            if state.sizes.get(block) and (wanted is None or block in wanted):
+                by_version.setdefault(version, []).append(block)
+        paths = []
+        for version, blocks in sorted(by_version.items()):
+            path = self._version_path(table, version)
+            firsts = self.numbered(path, _FOLDER)
+            held = sorted({firsts[bisect_right(firsts, block) - 1] for block in blocks})
+            paths += [path] if held == firsts else [f"{path}/{_FOLDER}={first}" for first in held]
+        return paths
 
     def _state(self, table: str) -> TableState:
         return self._newest()[1].get(table, TableState())
@@ -310,13 +330,16 @@ class Warehouse:
         numbers = [int(n.removesuffix(".json")) for n in self._names(folder) if n.endswith(".json")]
         if not numbers:
             return 0, {}
+        # a commit never changes, so one that was read need not be read again
+        if self._known[0] == max(numbers):
+            return self._known[0], dict(self._known[1])
         path = self._path(f"{folder}/{max(numbers):08d}.json")
         stream = self._fs(path).open(path)
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return max(numbers), {
+        tables = {
             table: TableState(
                 kept["version"],
                 {int(k): v for k, v in kept["blocks"].items()},
@@ -325,6 +348,8 @@ class Warehouse:
             )
             for table, kept in json.loads(text).items()
         }
+        self._known = max(numbers), tables
+        return max(numbers), dict(tables)
 
     def _commit(self, number: int, tables: dict[str, TableState]) -> None:
         """A file that is complete when it gets its name, which is given once."""
@@ -349,7 +374,7 @@ class Warehouse:
         return f"{self.root}/{table.replace('.', '/')}"
 
     def _version_path(self, table: str, number: int) -> str:
-        return f"{self._folder(table)}/version={number:06d}"
+        return f"{self._folder(table)}/{_VERSION}={number:06d}"
 
     def numbered(self, path: str, name: str) -> list[int]:
         """Numbers of the folders ``<name>=<number>`` in a folder, ascending."""
@@ -376,6 +401,33 @@ def _spans(starts: list[int]) -> list[tuple[int, int, int]]:
     return list(zip(starts, lows, [*starts[1:], 1 << 63], strict=False))
 
 
+def _runs(state: TableState, wanted: set[int] | None) -> list[tuple[int, int]]:
+    """(first id, version) of neighbouring blocks that lie in one version; 0 stands for
+    blocks that are not wanted. A version's older rows between them lie in no block of it."""
+    runs: list[tuple[int, int]] = []
+    for block, low, _ in _spans(sorted(state.blocks)):
+        version = state.blocks[block] if wanted is None or block in wanted else 0
+        if not runs or runs[-1][1] != version:
+            runs.append((low, version))
+    return runs
+
+
+def _current(runs: list[tuple[int, int]]) -> Column:
+    """Whether a stored row lies in the version that its block has now."""
+    block, version = F.col(_BLOCK), F.col(_VERSION)
+    if len(runs) > MOST_RANGES:
+        lows, versions = zip(*runs, strict=True)
+        blocks = Blocks((_BLOCK,), tuple((low,) for low in lows), versions, 0)
+        return (blocks.ahead(blocks.number()) == version) & version.isin(*{v for v in versions if v})
+    ends = [low for low, _ in runs[1:]] + [None]
+    found = F.lit(False)
+    for (low, held), end in zip(runs, ends, strict=True):
+        if held:
+            inside = (version == held) & (block >= low)
+            found |= inside if end is None else inside & (block < end)
+    return found
+
+
 def _start_of(starts: list[int], key: str) -> Column:
     """First id of the block that holds a key."""
     if len(starts) < 2:
