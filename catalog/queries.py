@@ -274,9 +274,11 @@ def surrogate_key_props(spark, sf_dir):
 
 @_query
 def surrogate_keys_far(spark, sf_dir):
-    """The same from ids a trillion apart, and one at 2 ** 62, in blocks of 700 rows."""
-    last = fx.raw(spark, sf_dir).agg(F.max("udi")).scalar()
-    far = F.when(F.col("udi") == last, F.lit(1 << 62)).otherwise(F.col("udi") * (1 << 40))
+    """The same from ids a trillion apart, or as far as they stay below the last one, and
+    that one at 2 ** 62, in blocks of 700 rows."""
+    ids = fx.raw(spark, sf_dir).agg(F.max("udi").alias("last"), F.max(F.abs("udi")).alias("most")).first()
+    step = 1 << min(40, 62 - (ids.most or 0).bit_length())
+    far = F.when(F.col("udi") == ids.last, F.lit(1 << 62)).otherwise(F.col("udi") * F.lit(step))
     warehouse = Warehouse(spark, scratch_path(spark, "far"), rows=700)
     with landed(fx.raw(spark, sf_dir).withColumn("udi", far), "far") as batch:
         load_raw(warehouse, batch)
