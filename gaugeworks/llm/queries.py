@@ -35,8 +35,9 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    ranking = quality.learn(docs, labels.filter(~quality.held_out(labels["doc_id"])))
-    scored = quality.quality_scores(docs, ranking)
+    made = written(quality.feature_table(docs), "features")
+    ranking = quality.learn(docs, labels.filter(~quality.held_out(labels["doc_id"])), made=made)
+    scored = quality.quality_scores(docs, ranking, made=made)
     return scored.withColumn("held_out", quality.held_out(scored["doc_id"]))
 
 
