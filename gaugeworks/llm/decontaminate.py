@@ -196,8 +196,12 @@ def _product_rows(idf: np.ndarray, thin: np.ndarray):
         total = np.zeros_like(table)
         width = WINDOW // STRIDE
         for p in pieces:
+            products, at, of, base = [], [], [], 0
             for raw in p["words"]:
                 words = np.frombuffer(raw, np.int32)
+                known = np.flatnonzero(words >= 0)
+                if not len(known):
+                    continue
                 sums = window_sums(words, table)
                 # a word counts in each passage that holds its block
                 n = max(-(-len(words) // STRIDE), 1)
@@ -207,8 +211,17 @@ def _product_rows(idf: np.ndarray, thin: np.ndarray):
                 low = np.clip(block - width + 1, 0, len(sums))
                 if n <= width:
                     high, low = np.ones(n, int), np.zeros(n, int)
-                per_block = run[high] - run[low]
-                np.add.at(total, words, per_block[np.arange(len(words)) // STRIDE])
+                products.append(run[high] - run[low])
+                of.append(words[known])
+                at.append(base + known // STRIDE)
+                base += n
+            if products:
+                # the rows of each word, side by side
+                per_block, word, block = map(np.concatenate, (products, of, at))
+                order = np.argsort(word, kind="stable")
+                word = word[order]
+                starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                total[word[starts]] += np.add.reduceat(per_block[block[order]], starts)
         total = total[:-1] * idf[:, None]
         used = np.flatnonzero(np.abs(total).sum(1))
         yield used.tolist(), [v.tolist() for v in total[used]]
@@ -220,7 +233,7 @@ def latent_space(
     fitted: DataFrame, queries: list[Passage], idf: np.ndarray, rank: int, rounds: int
 ) -> np.ndarray:
     """Words by ``rank``: an orthonormal basis of the leading right singular space of the
-    passages of ``fitted`` and the queries, by randomised subspace iteration."""
+    passages of all rows of ``fitted`` and the queries, by randomised subspace iteration."""
     rank = min(rank, len(idf))
     thin = np.linalg.qr(np.random.default_rng(11).standard_normal((len(idf), rank)))[0]
     fields = "word long,row array<double>"
@@ -359,15 +372,13 @@ def contaminated(
     rules: Rules = Rules(),
     rank: int = 64,
     rounds: int = 2,
-    fit_docs: int = 5000,
     block_items: int = 5000,
 ) -> DataFrame:
     """(doc_id, text_key, item_id, lcs_share, cosine, answer_found): the benchmark items
     that documents hold, each pair once per row of ``docs``, by its best passage.
 
-    All passages of all rows are searched, by cosine and by words in a row; word statistics cover all rows; the latent space
-    is fitted on about ``fit_docs`` of them by hash, at most, and on all items. The
-    benchmark is a query set, taken in blocks of about ``block_items``. Null and empty
+    All passages of all rows are searched, by cosine and by words in a row; word statistics
+    cover all rows, and the latent space is fitted on all rows and all items. The benchmark is a query set, taken in blocks of about ``block_items``. Null and empty
     texts and items match nothing; repeated items match alike; empty tables give no rows;
     other columns are ignored."""
     spark = docs.sparkSession
@@ -398,9 +409,7 @@ def contaminated(
         for word, n in found.groupBy("word").agg(F.sum("n")).collect():
             seen[word] = n
         idf = np.log((1 + n_docs) / (1 + seen)) + 1e-3
-        share = max(1, -(-n_docs // fit_docs))
-        fitted = encoded.filter(F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(share)) == 0)
-        thin = latent_space(fitted, queries, idf, rank, rounds)
+        thin = latent_space(encoded, queries, idf, rank, rounds)
         matches = encoded.mapInArrow(rows_like(_MATCH, _match_rows(queries, idf, thin, rules), 64), _MATCH)
         matches = written(matches, "matches")
         every = matches if every is None else every.unionByName(matches)
