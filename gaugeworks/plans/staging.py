@@ -125,17 +125,23 @@ def load_staging(
     if skip_unchanged:
         known = warehouse.read(STAGING_TABLE, own)
         with landed(effective(projected, known, ["udi"], COMPARED), "staging-changes") as news:
-            touched = sorted(warehouse.touched(STAGING_TABLE, news))
+            touched = warehouse.touched(STAGING_TABLE, news)
             if touched:
-                _merge_staging(warehouse, news, touched, marks)
+                rows = sum(touched.values())
+                _merge_staging(warehouse, news, sorted(touched), rows, marks)
             else:
                 warehouse.publish(marks={STAGING_TABLE: marks})
         return
-    _merge_staging(warehouse, projected, own, marks)
+    sizes = warehouse.sizes(RAW_TABLE)
+    _merge_staging(warehouse, projected, own, sum(sizes[b] for b in blocks), marks)
 
 
 def _merge_staging(
-    warehouse: Warehouse, projected: DataFrame, own: list[int], marks: dict[str, int]
+    warehouse: Warehouse,
+    projected: DataFrame,
+    own: list[int],
+    rows: int,
+    marks: dict[str, int],
 ) -> None:
     # raw is keyed by udi, so the projection cannot repeat a key
     merged = upsert(
@@ -144,6 +150,7 @@ def _merge_staging(
         ["udi"],
         RELOAD_COLUMNS,
         duplicates="unique",
+        large=warehouse.is_large(STAGING_TABLE, own, rows),
     )
     starts = warehouse.blocks(RAW_TABLE)
     warehouse.replace(STAGING_TABLE, merged, marks, starts=starts, replaced=own)

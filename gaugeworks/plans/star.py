@@ -137,6 +137,7 @@ def merge_fact(
     rows: DataFrame,
     first: int = 1,
     leases: Blocks | None = None,
+    large: bool = False,
 ) -> DataFrame:
     """Fact rows merged by ``udi``; known rows keep their key, new ones get larger.
 
@@ -154,6 +155,7 @@ def merge_fact(
         ["udi"],
         [c for c in FACT.names if c not in ("telemetry_key", "udi")],
         duplicates="unique",
+        large=large,
     )
 
 
@@ -216,11 +218,14 @@ def load_star(
     own = warehouse.overlapping(FACT_TABLE, STAGING_TABLE, blocks)
     if skip_unchanged:
         rows = effective(rows, warehouse.read(FACT_TABLE, own), ["udi"], COMPARED)
+    count = leases.total
     with landed(rows, "fact-batch") as batch:
         if skip_unchanged:
-            own = sorted(warehouse.touched(FACT_TABLE, batch))
+            touched = warehouse.touched(FACT_TABLE, batch)
+            own, count = sorted(touched), sum(touched.values())
         if own:
-            merged = merge_fact(warehouse.read(FACT_TABLE, own), batch, used + 1, leases)
+            large = warehouse.is_large(FACT_TABLE, own, count)
+            merged = merge_fact(warehouse.read(FACT_TABLE, own), batch, used + 1, leases, large)
             staged.append(warehouse.stage(FACT_TABLE, merged, starts, replaced=own))
         warehouse.publish(*staged, marks={FACT_TABLE: marks})
 

@@ -179,6 +179,7 @@ def _merge_raw(warehouse: Warehouse, batch: DataFrame, update_cols, marks) -> No
         ["udi"],
         update_cols,
         duplicates="unique",
+        large=warehouse.is_large(RAW_TABLE, touched, sum(touched.values())),
     )
     warehouse.replace(RAW_TABLE, merged, marks, starts=starts, replaced=touched)
 

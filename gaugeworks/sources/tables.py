@@ -39,6 +39,8 @@ _BLOCK, _FOLDER, _VERSION = "ids_from", "blocks_from", "version"
 STORED_ROWS = 1 << 20
 # Rows per folder of blocks that are smaller than that.
 FOLDER_ROWS = 1 << 18
+# A batch of one row per so many rows that its blocks hold, or more, is large beside them.
+LARGE_SHARE = 8
 # Above so many runs of blocks, a row's run is found by binary search.
 MOST_RANGES = 32
 
@@ -154,8 +156,14 @@ class Warehouse:
         counted = batch.select(block).groupBy("block").count()
         return {row["block"]: row["count"] for row in counted.collect()}
 
-    def cut(self, table: str, batch: DataFrame) -> tuple[list[int], list[int]]:
-        """Where blocks begin once the batch is in, and the current blocks it touches.
+    def is_large(self, table: str, blocks: Iterable[int], rows: int) -> bool:
+        """Whether a batch of ``rows`` rows is not small beside the blocks it goes to."""
+        sizes = self.sizes(table)
+        return rows * LARGE_SHARE >= sum(sizes.get(b, 0) for b in blocks)
+
+    def cut(self, table: str, batch: DataFrame) -> tuple[list[int], dict[int, int]]:
+        """Where blocks begin once the batch is in, and the current blocks it touches, with
+        the number of its rows in each.
 
         A block that the batch makes twice as long as wanted is cut by its own and the
         batch's ids. So rows that all go behind the last id are cut like any others.
@@ -163,15 +171,15 @@ class Warehouse:
         key = BLOCKED[table]
         current = self.blocks(table)
         if not current:
-            return self._starts(batch.select(key), key, None), []
-        touched = self.touched(table, batch)
+            return self._starts(batch.select(key), key, None), {}
+        touched = dict(sorted(self.touched(table, batch).items()))
         sizes = self.sizes(table)
         full = [b for b, n in touched.items() if sizes.get(b, 0) + n > 2 * self.rows]
         if not full:
-            return current, sorted(touched)
+            return current, touched
         inside = _start_of(current, key).isin(full)
         ids = self.read(table, full).select(key).unionByName(batch.select(key).filter(inside))
-        return sorted({*current, *self._starts(ids, key, current)}), sorted(touched)
+        return sorted({*current, *self._starts(ids, key, current)}), touched
 
     def _starts(self, ids: DataFrame, key: str, current: list[int] | None) -> list[int]:
         starts = [start[0] for start in equal_blocks(ids, key, rows=self.rows).starts]

@@ -103,3 +103,22 @@ def test_small_batch_does_not_shuffle_the_target(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "FullOuter" not in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("cols", ["all", ["b"], []])
+def test_large_batch_merges_alike_and_is_shuffled_once(spark, cols):
+    target = spark.createDataFrame(
+        [(1, "a1", "b1", "old"), (2, "a2", None, "old"), (None, "a0", "b0", "old"), (4, None, "b4", "old")], SCHEMA
+    )
+    batch = spark.createDataFrame(
+        [(2, "A2", "B2", "new"), (3, "A3", None, "new"), (None, "A0", "B0", "new"), (4, "A4", None, "new")], SCHEMA
+    )
+    how = {"update_cols": cols, "duplicates": "unique", "touch_cols": {"at": F.concat("at", F.lit("+"))}}
+
+    def told(df):
+        return sorted(map(str, df.collect()))
+
+    merged = upsert(target, batch, ["k"], large=True, **how)
+    assert told(merged) == told(upsert(target, batch, ["k"], **how))
+    joins = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert joins.count("Join") == 1 and "Join FullOuter" in joins
