@@ -137,7 +137,6 @@ def jaccard_classes(
     order = spark.sparkContext.broadcast(counts)
     fields = "region long,id binary,size long"
     regions = own.mapInArrow(rows_like(fields, _region_rows(words, order, num, den), 64), fields)
-    regions = written(regions, "own-regions")  # read twice, and costly to make
 
     def verifier(ids: DataFrame):
         # sets are made again for those documents only that have a possible partner
@@ -161,7 +160,7 @@ def jaccard_classes(
 
         return verified
 
-    classes = link_classes(regions, verifier, num / den - 1e-9, shares=SHARES)
+    classes = link_classes(regions, verifier, num / den - 1e-9, shares=SHARES, costly=True)
     named = groups.join(classes.withColumnRenamed("id", "digest"), "digest", "left")
     named = named.select("digest", "first_id", F.coalesce("root", "digest").alias("class"))
     named = written(named, "named")

@@ -115,12 +115,17 @@ def _aligned_keys(line: str, length: int, edits: int) -> set[int]:
     end, within the segments that remain; an alignment exists where both windows meet."""
     n, keys = len(line), set()
     gap = n - length
+    # of ASCII lines letters are bytes, and one encoding serves all substrings
+    raw = line.encode() if line.isascii() else None
     for k, (at, size) in enumerate(segments(length, edits)):
         low = max(0, at - k, at + gap - (edits - k))
         high = min(n - size, at + k, at + gap + (edits - k))
         for start in range(low, high + 1):
-            key = f"{length}:{k}:{line[start : start + size]}"
-            keys.add(xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass")))
+            if raw is None:
+                part = line[start : start + size].encode("utf-8", "surrogatepass")
+            else:
+                part = raw[start : start + size]
+            keys.add(xxhash.xxh64_intdigest(part, length << 16 | k))
     return keys
 
 
@@ -220,7 +225,7 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
 
 def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row_key, at, id, keep): every line that is not blank and has others in its class, by
-    the digest of one line of the class, and whether it is the first of its class."""
+    the number of one line of the class, and whether it is the first of its class."""
     last = F.lit((1 << 63) - 1)
     lines = docs.select(
         F.coalesce(docs[id_col].cast("long"), last).alias("doc"),
@@ -232,21 +237,24 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     distinct = lines.groupBy("id").agg(
         F.any_value("line").alias("line"), F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n_rows")
     )
-    distinct = written(distinct, "lines")
-    fields = "region long,id binary,size long"
-    regions = distinct.select("id", "line").mapInArrow(
+    # regions and pairs, many to a line, hold its number, which takes less than its digest
+    distinct = written(distinct.withColumn("number", F.monotonically_increasing_id()), "lines")
+    fields = "region long,id long,size long"
+    regions = distinct.select(F.col("number").alias("id"), "line").mapInArrow(
         rows_like(fields, _region_rows, 1024), fields
     )
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = distinct.select(F.col("id").alias("a"), F.col("line").alias("x"))
-        right = distinct.select(F.col("id").alias("b"), F.col("line").alias("y"))
+        left = distinct.select(F.col("number").alias("a"), F.col("line").alias("x"))
+        right = distinct.select(F.col("number").alias("b"), F.col("line").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return both.mapInArrow(rows_like("a binary,b binary", _pair_rows, 1024), "a binary,b binary")
+        return both.mapInArrow(rows_like("a long,b long", _pair_rows, 1024), "a long,b long")
 
     roots = link_classes(regions, lambda _: verified, size_ratio=SIZE_RATIO)
-    named = distinct.select("id", "first", "n_rows").join(roots, "id", "left")
-    named = written(named.withColumn("class", F.coalesce("root", "id")).drop("root"), "line-classes")
+    roots = roots.withColumnRenamed("id", "number")
+    named = distinct.select("id", "number", "first", "n_rows").join(roots, "number", "left")
+    named = named.withColumn("class", F.coalesce("root", "number")).drop("root", "number")
+    named = written(named, "line-classes")
     # classes of one line that occurs once have nothing to drop
     firsts = named.groupBy("class").agg(
         F.min("first").alias("class_first"), F.sum("n_rows").alias("n_rows")

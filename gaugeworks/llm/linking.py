@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import attach
-from gaugeworks.session import written
+from gaugeworks.session import landed, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -56,6 +57,7 @@ def link_classes(
     size_gap: int | None = None,
     pivots: int = 3,
     shares: int = 1,
+    costly: bool = False,
 ) -> DataFrame:
     """(id, root) of items linked to a smaller one, from ``regions`` (region, id, size):
     two items that link share ``shares`` regions, or ``size_ratio`` times the larger size if
@@ -68,9 +70,12 @@ def link_classes(
     within the size window. So no link between classes is lost, and a region of many close
     members makes no square of pairs."""
     spark = regions.sparkSession
-    shared = regions.groupBy("region").agg(F.min("id").alias("x"), F.max("id").alias("y"))
-    shared = shared.filter("x <> y").select("region")
-    rows = written(regions.join(shared, "region", "left_semi").distinct(), "regions")
+    # read twice, so costly ones are written until those that are shared are known
+    with landed(regions, "own-regions") if costly else nullcontext(regions) as regions:
+        shared = regions.groupBy("region").agg(F.min("id").alias("x"), F.max("id").alias("y"))
+        # written by itself, so that the shuffles of both steps are never on disk together
+        with landed(shared.filter("x <> y").select("region"), "shared-regions") as shared:
+            rows = written(regions.join(shared, "region", "left_semi").distinct(), "regions")
     verified = verifier(rows.select("id").distinct())
     edges = None
     labels = None

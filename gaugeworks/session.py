@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Whether shuffle files go when the query that made them ends (Spark 4.1 and later).
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cpus: int | str = "*", **overrides) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
@@ -56,11 +59,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Cut the lineage of ``df`` with a Parquet table in the shared folder.
 
-    Later readers get column pruning and survive the loss of any executor.
+    Later readers get column pruning and survive the loss of any executor. What the write
+    has shuffled is of no use to them and is dropped at its end, so the disk holds the
+    shuffles of one step, not of all.
     """
-    path = path or scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = path or scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

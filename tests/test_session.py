@@ -41,3 +41,16 @@ def test_written_tables_stay_and_landed_ones_go(spark, tmp_path):
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     assert not files.exists(folder)
     assert scratch_path(spark, "test") != scratch_path(spark, "test")
+
+
+def _shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_written_keeps_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    grouped = spark.range(0, 5000, 1, 4).groupBy((F.col("id") % 700).alias("k")).count()
+    kept = written(grouped.repartition(3, "k"), "kept")
+    assert not _shuffle_files(spark) - before
+    assert kept.count() == 700
