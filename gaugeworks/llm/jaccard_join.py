@@ -8,6 +8,9 @@ that of its nearest pivot, ties going to the rarer shingle. By the triangle ineq
 partner within distance r lacks at most r * n of its shingles, so replicating a document
 to its next floor(r * n) cells makes all partners meet. Within a cell, a document of it
 serves as next pivot, and so on (``linking.link_classes``), until the rest joins exactly.
+
+Sets are compared only for pairs that may reach the ratio: counts of shingles per bin of
+hashes, a few per bin, bound an intersection from above at a twentieth of the sets' size.
 """
 
 from __future__ import annotations
@@ -36,8 +39,28 @@ def _digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def bin_counts(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each bin of the hashes' first bits, some three to a bin.
+    Nothing, which bounds nothing, if a count is beyond a byte."""
+    bits = max(len(shingles) // 3, 1).bit_length()
+    counts = np.bincount((shingles >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def may_link(n: int, m: int, bins: bytes, others: bytes, num: int, den: int) -> bool:
+    """Whether sets of ``n`` and ``m`` shingles with these ``bin_counts`` can be in reach: of
+    a bin they share at most the smaller count."""
+    both = min(n, m)
+    if bins and others:
+        x, y = sorted((np.frombuffer(bins, np.uint8), np.frombuffer(others, np.uint8)), key=len)
+        if len(x) < len(y):
+            y = y.reshape(len(x), -1).sum(1, dtype=np.int64)
+        both = int(np.minimum(x, y).sum(dtype=np.int64))
+    return den * both >= num * (n + m - both)
+
+
 def _note_rows(size: int):
-    """Per row its id, set size and digest; last, per task, the counts of the sketch."""
+    """Per row its id, set size, digest and bins; last, per task, the counts of the sketch."""
 
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
         counts, hashes = np.zeros(1 << SKETCH_BITS, np.int64), WordHashes()
@@ -46,12 +69,13 @@ def _note_rows(size: int):
             for s in sets:
                 np.add.at(counts, _cells(s), 1)
             nothing = [None] * len(sets)
-            yield p["doc_id"], [len(s) for s in sets], [_digest(s) for s in sets], nothing, nothing
+            bins = [bin_counts(s) for s in sets]
+            yield p["doc_id"], [len(s) for s in sets], [_digest(s) for s in sets], bins, nothing, nothing
         used = np.flatnonzero(counts)
         for at in range(0, len(used), 65536):
             part = used[at : at + 65536]
             nothing = [None] * len(part)
-            yield nothing, nothing, nothing, part.tolist(), counts[part].tolist()
+            yield nothing, nothing, nothing, nothing, part.tolist(), counts[part].tolist()
 
     return rows
 
@@ -87,6 +111,16 @@ def _region_rows(size: int, order, num: int, den: int):
     return rows
 
 
+def _able_rows(num: int, den: int):
+    def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+        for p in pieces:
+            of = zip(p["a"], p["b"], p["n"], p["m"], p["bins"], p["others"], strict=True)
+            good = [(a, b) for a, b, *known in of if may_link(*known, num, den)]
+            yield [a for a, _ in good], [b for _, b in good]
+
+    return rows
+
+
 def _pair_rows(num: int, den: int):
     def rows(pieces: Iterator[dict]) -> Iterator[tuple]:
         for p in pieces:
@@ -119,14 +153,15 @@ def jaccard_classes(
     No rows give no rows; other columns are ignored. Shingles are 64-bit hashes."""
     spark = docs.sparkSession
     own = documents_of(docs, id_col, text_col)
-    fields = "doc_id long,n_shingles long,digest binary,cell long,n long"
+    fields = "doc_id long,n_shingles long,digest binary,bins binary,cell long,n long"
     noted = written(own.mapInArrow(rows_like(fields, _note_rows(words), 64), fields), "shingle-notes")
-    made = noted.filter("cell IS NULL").drop("cell", "n")
+    made = noted.filter("cell IS NULL").select("doc_id", "n_shingles", "digest", "bins")
     full = made.filter("n_shingles > 0")
     members = full.groupBy("digest").agg(
         F.min("doc_id").alias("first_id"),
         F.count("*").alias("n_rows"),
         F.any_value("n_shingles").alias("n_shingles"),
+        F.any_value("bins").alias("bins"),
     )
     members = written(members, "set-classes")
     groups = members.select("digest", "first_id")
@@ -138,9 +173,16 @@ def jaccard_classes(
     fields = "region long,id binary,size long"
     regions = own.mapInArrow(rows_like(fields, _region_rows(words, order, num, den), 64), fields)
 
-    def verifier(ids: DataFrame):
+    def verified(pairs: DataFrame) -> DataFrame:
+        right = members.select(F.col("digest").alias("b"), F.col("n_shingles").alias("m"), F.col("bins").alias("others"))
+        left = members.select(F.col("digest").alias("a"), F.col("n_shingles").alias("n"), "bins")
+        able = pairs.join(right, "b").join(left, "a").select("a", "b", "n", "m", "bins", "others")
+        fields = "a binary,b binary"
+        able = written(able.mapInArrow(rows_like(fields, _able_rows(num, den), 1024), fields), "able")
         # sets are made again for those documents only that have a possible partner
-        first = members.join(ids.withColumnRenamed("id", "digest"), "digest").select(
+        ids = able.select(F.col("a").alias("id")).unionByName(able.select(F.col("b").alias("id")))
+        ids = written(ids.distinct(), "wanted")
+        first = groups.join(ids.withColumnRenamed("id", "digest"), "digest").select(
             F.col("first_id").alias("wanted")
         )
         texts = own.join(first.distinct(), own["doc_id"].eqNullSafe(F.col("wanted")), "left_semi")
@@ -148,19 +190,13 @@ def jaccard_classes(
             rows_like("id binary,shingles binary", _set_rows(words), 64), "id binary,shingles binary"
         )
         # rows that repeat a doc_id may hold the same set again
-        sets = sets.join(ids, "id", "left_semi").dropDuplicates(["id"])
-        sets = written(sets, "sets")
-
-        def verified(pairs: DataFrame) -> DataFrame:
-            left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-            right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-            both = pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
-            fields = "a binary,b binary"
-            return both.mapInArrow(rows_like(fields, _pair_rows(num, den), 64), fields)
-
-        return verified
+        sets = written(sets.join(ids, "id", "left_semi").dropDuplicates(["id"]), "sets")
+        left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+        right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+        both = able.join(right, "b").join(left, "a").select("a", "b", "sa", "sb")
+        return both.mapInArrow(rows_like(fields, _pair_rows(num, den), 64), fields)
 
-    classes = link_classes(regions, verifier, num / den - 1e-9, shares=SHARES, costly=True)
+    classes = link_classes(regions, lambda _: verified, num / den - 1e-9, shares=SHARES, costly=True)
     named = groups.join(classes.withColumnRenamed("id", "digest"), "digest", "left")
     named = named.select("digest", "first_id", F.coalesce("root", "digest").alias("class"))
     named = written(named, "named")
