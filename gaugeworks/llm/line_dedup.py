@@ -10,11 +10,18 @@ allows. A banded bit-parallel edit distance verifies what meets.
 Longer lines may also differ in words, the more the longer they are (``word_edits``). What
 the edits leave untouched holds a run of words whose least length is known; both lines have
 the least hash of the word n-grams of that run, and meet in its region, wherever it stands.
+From LONG words on that holds for letter edits too, and lines need no segments.
+
+Lines of a region of many (a common passage) meet only if they agree elsewhere too. Pairs of
+adjoining letters, and words, are dealt to classes by their hash. An edit touches four such
+classes at most, or two, so of as many classes an edit and one more, one is untouched: the
+lines are equal in what it has.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator, Sequence
 from itertools import repeat
 
@@ -44,6 +51,12 @@ WORDS_PER_EDIT = 24
 #: Scales of lines by words: (from, words of an n-gram, n-grams of a run). A line of
 #: ``from`` words or more whose words are cut by the edits has a run of both sizes less one.
 SCALES = ((LEAST_WORDS, 4, 3), (WORDS_PER_EDIT, 5, 4), (2 * WORDS_PER_EDIT, 6, 7))
+#: Words from which on a line meets others by runs of words only. A changed letter touches
+#: three words at most, and may change their number by EDIT_WORDS / MOST_EDITS. So of LONG
+#: words and EDIT_WORDS less, which SIZE_RATIO allows, 40 or more stay untouched in either
+#: line, a run of fourteen among them.
+LONG = 50
+EDIT_WORDS = 2 * MOST_EDITS
 #: The least ratio of sizes, in letters or in words, that the edits allow.
 SIZE_RATIO = 0.92
 #: What stands between spaces, but each letter of scripts written without them.
@@ -58,7 +71,9 @@ def word_edits(n_words: int) -> int:
 
 def scales_of(n_words: int) -> set[int]:
     """The scales a line takes part in: its own and that of the shortest line in reach."""
-    ends = (n_words, n_words - word_edits(n_words))
+    ends = [n_words, n_words - word_edits(n_words)]
+    if n_words >= LONG:
+        ends.append(n_words - EDIT_WORDS)
     return {sum(n >= least for least, _, _ in SCALES) - 1 for n in ends if n >= LEAST_WORDS}
 
 
@@ -181,22 +196,70 @@ def within_edits(a: Sequence[str], b: Sequence[str], edits: int) -> bool:
 
 def near(a: str, b: str) -> bool:
     """Whether two lines are within the edits of the shorter, in letters or in words."""
-    if within_edits(a, b, letter_edits(min(len(a), len(b)))):
-        return True
     x, y = _WORDS.findall(a), _WORDS.findall(b)
+    known, others = set(x), set(y)
+    # an edit changes one word, or as a letter three words at most
+    changed = max(len(known - others), len(others - known))
+    edits = letter_edits(min(len(a), len(b)))
+    if changed <= 3 * edits and within_edits(a, b, edits):
+        return True
     edits = word_edits(min(len(x), len(y)))
-    return edits > 0 and within_edits(x, y, edits)
+    return 0 < edits >= changed and within_edits(x, y, edits)
+
+
+def _class_keys(region: int, symbols: np.ndarray, classes: int, kind: int) -> Iterator[int]:
+    """A key for each of the classes that symbols are dealt to, by what it has of them."""
+    of = (symbols * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(classes)
+    for k in range(classes):
+        head = struct.pack("<qqqq", region, kind, classes, k)
+        yield xxhash.xxh64_intdigest(head + symbols[of == np.uint64(k)].tobytes())
+
+
+def finer_regions(region: int, line: str) -> set[int]:
+    """Regions within a region: lines that are ``near`` and share it share one of these."""
+    letters = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    n = len(letters)
+    adjoining = letters[:-1] << np.uint64(21) | letters[1:]
+    keys: set[int] = set()
+    # whatever the edits of the shorter of two lines are
+    for edits in {letter_edits(n), letter_edits(max(n - letter_edits(n), 0))} - {0}:
+        keys.update(_class_keys(region, adjoining, 4 * edits + 1, 0))
+    words = _WORDS.findall(line)
+    n = len(words)
+    known = {word_edits(m) for m in range(n - word_edits(n), n + 1)} - {0}
+    if known:
+        hashes = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
+        hashes = np.array(hashes, np.uint64)
+        for edits in known:
+            keys.update(_class_keys(region, hashes, 2 * edits + 1, 1))
+    return keys
+
+
+def _finer_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
+    for p in pieces:
+        regions, ids, sizes, labels = [], [], [], []
+        for region, key, size, label, line in zip(
+            p["region"], p["id"], p["size"], p["label"], p["line"], strict=True
+        ):
+            found = _signed(finer_regions(region, line))
+            regions += found
+            ids += repeat(key, len(found))
+            sizes += repeat(size, len(found))
+            labels += repeat(label, len(found))
+        yield regions, ids, sizes, labels
 
 
 def _region_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
     for p in pieces:
         regions, ids, sizes = [], [], []
-        for key, line in zip(p["id"], p["line"], strict=True):
+        lines = [_WORDS.findall(line) for line in p["line"]]
+        for key, line, words in zip(p["id"], p["line"], lines, strict=True):
+            if len(words) >= LONG:
+                continue
             found = scaled_keys(line)
             regions += found
             ids += repeat(key, len(found))
             sizes += repeat(len(line), len(found))
-        lines = [_WORDS.findall(line) for line in p["line"]]
         found, owners = word_regions(lines)
         regions += found.tolist()
         ids += [p["id"][k] for k in owners.tolist()]
@@ -250,7 +313,13 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return both.mapInArrow(rows_like("a long,b long", _pair_rows, 1024), "a long,b long")
 
-    roots = link_classes(regions, lambda _: verified, size_ratio=SIZE_RATIO)
+    def refined(members: DataFrame) -> DataFrame:
+        fields = "region long,id long,size long,label long"
+        whole = members.join(distinct.select(F.col("number").alias("id"), "line"), "id")
+        whole = whole.select("region", "id", "size", "label", "line")
+        return whole.mapInArrow(rows_like(fields, _finer_rows, 256), fields)
+
+    roots = link_classes(regions, lambda _: verified, size_ratio=SIZE_RATIO, refined=refined)
     roots = roots.withColumnRenamed("id", "number")
     named = distinct.select("id", "number", "first", "n_rows").join(roots, "number", "left")
     named = named.withColumn("class", F.coalesce("root", "number")).drop("root", "number")

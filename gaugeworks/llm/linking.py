@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import attach
 from gaugeworks.session import landed, written
 
+#: Members that a region may have for all its pairs to be made.
+LARGE = 64
+
 
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("node", "other"))).first())
@@ -58,6 +61,7 @@ def link_classes(
     pivots: int = 3,
     shares: int = 1,
     costly: bool = False,
+    refined: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, root) of items linked to a smaller one, from ``regions`` (region, id, size):
     two items that link share ``shares`` regions, or ``size_ratio`` times the larger size if
@@ -68,7 +72,12 @@ def link_classes(
     class need no further comparison. After ``pivots`` such rounds, which cost a pair per
     member, the rest is joined exactly: pairs of a region still in different classes and
     within the size window. So no link between classes is lost, and a region of many close
-    members makes no square of pairs."""
+    members makes no square of pairs.
+
+    Nor does one of more than LARGE members that are not close: there two items meet only if
+    they share a finer region too. With ``shares`` of two or more these are pairs of regions;
+    else ``refined`` makes them: it gets (region, id, size, label) and returns such rows with
+    finer regions, of which items that link and share a region must share one."""
     spark = regions.sparkSession
     # read twice, so costly ones are written until those that are shared are known
     with landed(regions, "own-regions") if costly else nullcontext(regions) as regions:
@@ -93,6 +102,36 @@ def link_classes(
         fits = low >= high * F.lit(size_ratio)
         return fits if size_gap is None else fits & (high - low <= size_gap)
 
+    needed = F.least(F.lit(shares), F.ceil(F.greatest("size", "b_size") * F.lit(size_ratio)))
+
+    def met(members: DataFrame, *also: str) -> DataFrame:
+        """Pairs of different classes and in the window that share a region."""
+        right = members.select(
+            "region",
+            *also,
+            F.col("id").alias("b"),
+            F.col("size").alias("b_size"),
+            F.col("label").alias("b_label"),
+        )
+        pairs = members.join(right, ["region", *also]).filter("id > b")
+        return pairs.filter((F.col("label") != F.col("b_label")) & in_window("size", "b_size"))
+
+    def sharing(pairs: DataFrame, least=needed, *by: str) -> DataFrame:
+        pairs = pairs.select(
+            F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"), least.alias("needed"), *by
+        )
+        return pairs.groupBy("a", "b", "needed", *by).count().filter("count >= needed").select("a", "b")
+
+    def of_large(large: DataFrame, members: DataFrame) -> DataFrame:
+        if shares == 1:
+            return sharing(met(refined(large)))
+        # a pair that needs one region only has no second one to share
+        few = F.ceil(F.col("size") * F.lit(size_ratio)) < 2
+        others = members.select(F.col("region").alias("second"), "id")
+        finer = large.join(others, "id").filter("region <> second")
+        pairs = sharing(met(finer, "second"), needed - 1, "region")
+        return pairs.unionByName(met(large.filter(few)).select(F.col("id").alias("a"), "b"))
+
     for turn in range(pivots + 1):
         now = labelled()
         open_regions = now.groupBy("region").agg(
@@ -102,30 +141,28 @@ def link_classes(
                 F.struct("id", "size", "label"),
                 F.struct(F.lit(0) if turn == 0 else F.xxhash64("id", F.lit(turn)), "id"),
             ).alias("pivot"),
+            F.count("*").alias("n"),
         )
         open_regions = open_regions.filter("x <> y").select(
             "region",
             F.col("pivot.id").alias("b"),
             F.col("pivot.size").alias("b_size"),
             F.col("pivot.label").alias("b_label"),
+            "n",
         )
         if turn < pivots:
             pairs = now.join(open_regions, "region")
-        else:
-            left = written(now.join(open_regions, "region", "left_semi"), "open")
-            right = left.select(
-                "region",
-                F.col("id").alias("b"),
-                F.col("size").alias("b_size"),
-                F.col("label").alias("b_label"),
+            pairs = sharing(
+                pairs.filter((F.col("label") != F.col("b_label")) & in_window("size", "b_size"))
             )
-            pairs = left.join(right, "region").filter("id > b")
-        pairs = pairs.filter((F.col("label") != F.col("b_label")) & in_window("size", "b_size"))
-        needed = F.least(F.lit(shares), F.ceil(F.greatest("size", "b_size") * F.lit(size_ratio)))
-        pairs = pairs.select(
-            F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"), needed.alias("needed")
-        )
-        pairs = pairs.groupBy("a", "b", "needed").count().filter("count >= needed").select("a", "b")
+        else:
+            members = now.join(open_regions.select("region", "n"), "region")
+            members = written(members, "open")
+            if shares > 1 or refined:
+                pairs = sharing(met(members.filter(F.col("n") <= LARGE)))
+                pairs = pairs.unionByName(of_large(members.filter(F.col("n") > LARGE).drop("n"), members))
+            else:
+                pairs = sharing(met(members))
         pairs = written(pairs.distinct(), "pairs")
         if pairs.isEmpty():
             if turn < pivots:

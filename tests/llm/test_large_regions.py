@@ -1,0 +1,91 @@
+"""Regions of many members: no pair in reach is lost, and no square of pairs is made."""
+
+from __future__ import annotations
+
+import random
+
+from gaugeworks.llm import jaccard_join, line_dedup, linking
+
+LETTERS = "abcdefgh  漢字かな"
+
+
+def _changed(pick, line, edits):
+    for _ in range(edits):
+        at = pick.randrange(1, len(line) - 1)
+        line = line[:at] + pick.choice(["", " ", "x", "漢", "yz"[:1]]) + line[at + pick.randint(0, 1) :]
+    return " ".join(line.split())
+
+
+def test_lines_in_reach_share_a_finer_region_and_long_ones_a_run_of_words():
+    pick, n_near, n_long = random.Random(3), 0, 0
+    for k in range(1500):
+        n = pick.choice([12, 20, 23, 24, 30, 45, 48, 50, 51, 54, 55, 70, 100])
+        words = ["".join(pick.choices(LETTERS if k % 2 else "abcdefgh", k=pick.randint(1, 6))) for _ in range(n)]
+        a = " ".join(" ".join(words).split())
+        b = _changed(pick, a, pick.randint(0, 2))
+        if pick.random() < 0.5:
+            cut = b.split()
+            cut[pick.randrange(len(cut))] = "other"
+            b = " ".join(cut)
+        if not line_dedup.near(a, b):
+            continue
+        n_near += 1
+        if line_dedup.letter_edits(len(a)) or len(line_dedup._WORDS.findall(a)) > 12:
+            assert line_dedup.finer_regions(7, a) & line_dedup.finer_regions(7, b)
+        x, y = line_dedup._WORDS.findall(a), line_dedup._WORDS.findall(b)
+        if max(len(x), len(y)) >= line_dedup.LONG:
+            n_long += 1
+            found, owners = (v.tolist() for v in line_dedup.word_regions([x, y]))
+            sets = [{r for r, o in zip(found, owners) if o == k} for k in (0, 1)]
+            assert sets[0] & sets[1]
+            assert min(len(x), len(y)) >= line_dedup.SIZE_RATIO * max(len(x), len(y))
+    assert n_near > 700 and n_long > 200
+
+
+def test_a_word_or_letter_bound_changes_no_answer():
+    pick = random.Random(4)
+    for _ in range(400):
+        a = " ".join("".join(pick.choices("ab漢", k=pick.randint(1, 4))) for _ in range(pick.randint(5, 30)))
+        b = _changed(pick, a, pick.randint(0, 4))
+        x, y = line_dedup._WORDS.findall(a), line_dedup._WORDS.findall(b)
+        edits = line_dedup.word_edits(min(len(x), len(y)))
+        plain = line_dedup.within_edits(a, b, line_dedup.letter_edits(min(len(a), len(b))))
+        assert line_dedup.near(a, b) == (plain or edits > 0 and line_dedup.within_edits(x, y, edits))
+
+
+def _seen(monkeypatch):
+    """Rows of each written table, by label."""
+    counts, real = {}, linking.written
+
+    def written(df, label, *rest):
+        out = real(df, label, *rest)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(linking, "written", written)
+    return counts
+
+
+def test_one_common_passage_makes_no_square(spark, monkeypatch):
+    pick = random.Random(5)
+    passage = " ".join(f"common{k}" for k in range(15))
+    lines = [passage + " " + " ".join(str(pick.random()) for _ in range(14)) for _ in range(150)]
+    lines += [lines[k].replace("common7 ", "changed ") for k in range(0, 150, 10)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    counts = _seen(monkeypatch)
+    got = {r["doc_id"]: r["n_dropped"] for r in line_dedup.line_dedup(docs).collect()}
+    assert got == {k: int(k >= 150) for k in range(165)}
+    assert counts["pairs"][-1] < 165 * 64 / 4
+
+
+def test_one_common_shingle_makes_no_square(spark, monkeypatch):
+    pick = random.Random(6)
+    texts = ["a b c " + " ".join(str(pick.random()) for _ in range(9)) for _ in range(90)]
+    texts += ["a b c", "a b c d", "x a b c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {tuple(r) for r in jaccard_join.jaccard_classes(docs, num=20).collect()}
+    counts = _seen(monkeypatch)
+    monkeypatch.setattr(linking, "LARGE", 2)
+    assert {tuple(r) for r in jaccard_join.jaccard_classes(docs, num=20).collect()} == whole
+    assert {(r[0], r[2]) for r in whole} == {(k, 90 if k > 89 else k) for k in range(93)}
+    assert counts["pairs"]
