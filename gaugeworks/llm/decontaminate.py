@@ -262,6 +262,8 @@ class Sketches:
         self.counts = np.zeros((len(queries), SKETCH), np.int16)
         for k, q in enumerate(queries):
             np.add.at(self.counts[k], self.bit[q.words], 1)
+        # whole numbers of a passage's length at most, so exact
+        self.weights = self.counts.T.astype(np.float32)
 
     def places(self, words: np.ndarray, width: int) -> np.ndarray:
         """Per passage of ``width`` blocks: the bits of its words and of a block at each side."""
@@ -275,6 +277,10 @@ class Sketches:
             held[: len(part)] |= part
         return held
 
+    def all_bounds(self, held: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """``bounds`` of each of ``held`` with each of ``chosen``, as one product."""
+        return held.astype(np.float32) @ self.weights[:, chosen]
+
     def bounds(self, held: np.ndarray, chosen: np.ndarray, at_once: int = 4096) -> np.ndarray:
         """``held`` are rows of places, ``chosen`` the passages they are paired with."""
         parts = [
@@ -306,13 +312,13 @@ def _match_rows(queries: list[Passage], idf: np.ndarray, thin: np.ndarray, rules
             held = None
             for begin in range(0, len(sums), 4096):
                 near = sums[begin : begin + 4096] @ wanted[chosen].T
-                at, q = np.nonzero(near >= rules.cosine)
-                if not len(at):
+                close = near >= rules.cosine
+                if not close.any():
                     continue
                 held = sketches.places(words, width) if held is None else held
                 # only pairs that can reach the least share of words in common
-                able = sketches.bounds(held[begin + at], chosen[q]) >= least[chosen[q]] - 1e-9
-                for k, j in zip(at[able].tolist(), q[able].tolist(), strict=True):
+                able = sketches.all_bounds(held[begin : begin + len(near)], chosen) >= least[chosen] - 1e-9
+                for k, j in zip(*(x.tolist() for x in np.nonzero(able & close)), strict=True):
                     yield (begin + k) * STRIDE, int(chosen[j]), float(near[k, j]), width * STRIDE
 
     def exact(words: np.ndarray) -> Iterator[tuple[int, int, float | None, int, bool]]:

@@ -30,3 +30,17 @@ def test_bounds_are_bounds():
                 bounds = sketches.bounds(held[[at] * len(queries)], np.arange(len(queries)))
                 for q, bound in zip(queries, bounds.tolist(), strict=True):
                     assert d.common_subsequence(q.words, region) <= bound
+
+
+def test_bounds_of_all_are_those_of_each():
+    pick = random.Random(3)
+    queries = [
+        d.Passage(k, np.array(pick.choices(range(40), k=pick.randint(1, 64)), np.int32), np.zeros(0, np.int32))
+        for k in range(9)
+    ]
+    sketches = d.Sketches(queries, 40)
+    held = sketches.places(np.array([pick.randint(-1, 39) for _ in range(400)], np.int32), 2)
+    chosen = np.array([0, 3, 4, 8])
+    every = sketches.all_bounds(held, chosen)
+    for k in range(len(held)):
+        assert every[k].tolist() == sketches.bounds(held[[k] * len(chosen)], chosen).tolist()
