@@ -78,5 +78,21 @@ def attach(
     return cold.join(groups, key).unionByName(rows.join(hot, key))
 
 
+#: Tasks that a hot group's rows are dealt to.
+HOT_PARTS = 64
+
+
+def attach_once(rows: DataFrame, groups: DataFrame, key: str, count: str = "n_rows") -> DataFrame:
+    """As ``attach``, for rows that take much to make: they are made once. A hot group's one
+    row is copied HOT_PARTS times, and its rows are dealt to the copies."""
+    hot, part = "__attach_hot", "__attach_part"
+    known = F.broadcast(hot_of(groups, count).select(key, F.lit(True).alias(hot)))
+    dealt = F.when(F.col(hot), spread(F.struct(*rows.columns), HOT_PARTS)).otherwise(0)
+    copies = F.when(F.col(hot), F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(known, key, "left").withColumn(part, dealt).drop(hot)
+    right = groups.join(known, key, "left").withColumn(part, F.explode(copies)).drop(hot)
+    return left.join(right, [key, part]).drop(part)
+
+
 def spread(column: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")

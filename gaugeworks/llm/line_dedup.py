@@ -11,152 +11,72 @@ Longer lines may also differ in words, the more the longer they are (``word_edit
 the edits leave untouched holds a run of words whose least length is known; both lines have
 the least hash of the word n-grams of that run, and meet in its region, wherever it stands.
 From LONG words on that holds for letter edits too, and lines need no segments.
+
+Regions are made and met as arrays (``line_regions``, ``region_pairs``); sketches there tell
+most pairs of a region out of reach before texts are fetched for the rest.
 """
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import repeat
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import attach, rows_like
-from gaugeworks.llm.linking import link_classes
+from gaugeworks.llm.common import attach_once, rows_like
+from gaugeworks.llm.line_regions import (
+    _WORDS,
+    LONG,  # noqa: F401
+    MOST_EDITS,
+    SIZE_RATIO,  # noqa: F401  of the rules, with the others
+    Letters,
+    Lines,
+    Words,
+    letter_edits,
+    letter_regions,
+    run_regions,
+    word_edits,
+)
+from gaugeworks.llm.region_pairs import close_classes
 from gaugeworks.session import written
 
 
-#: One edit per so many letters, up to MOST_EDITS.
-LETTERS_PER_EDIT = 20
-MOST_EDITS = 2
-
-
-def letter_edits(length: int) -> int:
-    """Edits allowed to a line of ``length`` letters, the shorter of two."""
-    return min(length // LETTERS_PER_EDIT, MOST_EDITS)
-
-
-#: One word may differ from LEAST_WORDS words on, and one more per WORDS_PER_EDIT.
-LEAST_WORDS = 12
-WORDS_PER_EDIT = 24
-#: Scales of lines by words: (from, words of an n-gram, n-grams of a run). A line of
-#: ``from`` words or more whose words are cut by the edits has a run of both sizes less one.
-SCALES = ((LEAST_WORDS, 4, 3), (WORDS_PER_EDIT, 5, 4), (2 * WORDS_PER_EDIT, 6, 7))
-#: Words from which on a line meets others by runs of words only. A changed letter touches
-#: three words at most, and may change their number by EDIT_WORDS / MOST_EDITS. So of LONG
-#: words and EDIT_WORDS less, which SIZE_RATIO allows, 40 or more stay untouched in either
-#: line, a run of fourteen among them.
-LONG = 50
-EDIT_WORDS = 2 * MOST_EDITS
-#: The least ratio of sizes, in letters or in words, that the edits allow.
-SIZE_RATIO = 0.92
-#: What stands between spaces, but each letter of scripts written without them.
-_NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
-_WORDS = re.compile(f"[{_NO_SPACES}]|[^{_NO_SPACES}\x20\x09-\x0d]+")
-
-
-def word_edits(n_words: int) -> int:
-    """Changed, missing or further words allowed to a line of ``n_words``, the shorter."""
-    return 1 + n_words // WORDS_PER_EDIT if n_words >= LEAST_WORDS else 0
-
-
-def scales_of(n_words: int) -> set[int]:
-    """The scales a line takes part in: its own and that of the shortest line in reach."""
-    ends = [n_words, n_words - word_edits(n_words)]
-    if n_words >= LONG:
-        ends.append(n_words - EDIT_WORDS)
-    return {sum(n >= least for least, _, _ in SCALES) - 1 for n in ends if n >= LEAST_WORDS}
+def _as_list(regions: np.ndarray) -> list[int]:
+    return regions.view(np.int64).tolist()
 
 
 def word_regions(lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """(region, index of the line) of lines as words: per scale the least n-gram hashes of
     all runs."""
+    words = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for words in lines for w in words]
     sizes = np.array([len(words) for words in lines], np.int64)
-    known: dict[str, int] = {}
-    for words in lines:
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-    hashes = np.fromiter((known[w] for words in lines for w in words), np.uint64, int(sizes.sum()))
-    owner = np.repeat(np.arange(len(lines)), sizes)
-    regions, owners = [], []
-    for scale, (_, gram, run) in enumerate(SCALES):
-        part = np.array([scale in scales_of(n) for n in sizes.tolist()], bool)
-        chosen = part[owner] if len(owner) else np.zeros(0, bool)
-        words, of = hashes[chosen], owner[chosen]
-        if len(words) < gram + run - 1:
-            continue
-        grams = np.full(len(words) - gram + 1, scale + 1, np.uint64)
-        for k in range(gram):
-            grams = (grams ^ words[k : k + len(grams)]) * np.uint64(0x9E3779B97F4A7C15)
-            grams ^= grams >> np.uint64(29)
-        least = np.lib.stride_tricks.sliding_window_view(grams, run).min(1)
-        # runs that lie in one line, each least n-gram once where it is the same in a row
-        first, last = of[: len(least)], of[gram + run - 2 :]
-        new = np.ones(len(least), bool)
-        new[1:] = (least[1:] != least[:-1]) | (first[1:] != first[:-1]) | (first[:-1] != last[:-1])
-        good = (first == last) & new
-        regions.append(least[good].view(np.int64))
-        owners.append(first[good])
-    if not regions:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(regions), np.concatenate(owners)
-
-
-def segments(length: int, edits: int) -> list[tuple[int, int]]:
-    """(start, length) of the even cut of a line into ``edits + 1`` segments."""
-    parts = edits + 1
-    short, longer = divmod(length, parts)
-    out, at = [], 0
-    for k in range(parts):
-        size = short + (k >= parts - longer)
-        out.append((at, size))
-        at += size
-    return out
-
-
-def _aligned_keys(line: str, length: int, edits: int) -> set[int]:
-    """Regions of a line among lines of ``length`` letters, its own or fewer. For segment k
-    (from 0), the substring may start within k edits to its left and, counted from the right
-    end, within the segments that remain; an alignment exists where both windows meet."""
-    n, keys = len(line), set()
-    gap = n - length
-    # of ASCII lines letters are bytes, and one encoding serves all substrings
-    raw = line.encode() if line.isascii() else None
-    for k, (at, size) in enumerate(segments(length, edits)):
-        low = max(0, at - k, at + gap - (edits - k))
-        high = min(n - size, at + k, at + gap + (edits - k))
-        for start in range(low, high + 1):
-            if raw is None:
-                part = line[start : start + size].encode("utf-8", "surrogatepass")
-            else:
-                part = raw[start : start + size]
-            keys.add(xxhash.xxh64_intdigest(part, length << 16 | k))
-    return keys
-
-
-def _signed(keys: set[int]) -> list[int]:
-    return [key - (1 << 64) if key >> 63 else key for key in keys]
+    regions, owners = run_regions(np.array(words, np.uint64), sizes)
+    return regions.view(np.int64), owners
 
 
 def substring_keys(line: str, edits: int) -> list[int]:
     """Regions of a line where lines of all lengths have ``edits`` edits."""
-    n = len(line)
-    lengths = range(max(n - edits, edits + 1), n + 1)
-    return _signed(set().union(*[_aligned_keys(line, length, edits) for length in lengths]))
+    return _as_list(np.unique(letter_regions(Lines.of_texts([line]), np.zeros(1, int), edits)[0]))
 
 
 def scaled_keys(line: str) -> list[int]:
     """Regions of a line where each length has its own ``letter_edits``."""
-    n, keys = len(line), set()
-    for length in range(n - letter_edits(n), n + 1):
-        edits = letter_edits(length)
-        if edits and n - length <= edits:
-            keys |= _aligned_keys(line, length, edits)
-    return _signed(keys)
+    return _as_list(np.unique(letter_regions(Lines.of_texts([line]), np.zeros(1, int))[0]))
+
+
+def _same(a: Sequence[str], b: Sequence[str]) -> int:
+    """How many items both begin with."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        at = (low + high + 1) // 2
+        if a[low:at] == b[low:at]:
+            low = at
+        else:
+            high = at - 1
+    return low
 
 
 def within_edits(a: Sequence[str], b: Sequence[str], edits: int) -> bool:
@@ -166,6 +86,12 @@ def within_edits(a: Sequence[str], b: Sequence[str], edits: int) -> bool:
         return False
     if a == b:
         return True
+    # what both begin and end with needs no edit
+    at = _same(a, b)
+    end = _same(a[at:][::-1], b[at:][::-1])
+    a, b = a[at : len(a) - end], b[at : len(b) - end]
+    if max(len(a), len(b)) <= edits:
+        return True
     places: dict[str, int] = {}
     for k, letter in enumerate(b):
         places[letter] = places.get(letter, 0) | 1 << (k + edits)
@@ -190,33 +116,45 @@ def within_edits(a: Sequence[str], b: Sequence[str], edits: int) -> bool:
 
 def near(a: str, b: str) -> bool:
     """Whether two lines are within the edits of the shorter, in letters or in words."""
+    edits = letter_edits(min(len(a), len(b)))
+    at = _same(a, b)
+    end = _same(a[at:][::-1], b[at:][::-1])
+    if max(len(a), len(b)) - at - end <= edits:
+        return True
+    # whole words that both begin and end with need no edit either
+    at = a.rfind(" ", 0, at) + 1
+    cut = a.find(" ", len(a) - end)
+    end = len(a) - cut if cut >= 0 else 0
+    n_same = len(_WORDS.findall(a, 0, at)) + len(_WORDS.findall(a, len(a) - end))
+    a, b = a[at : len(a) - end], b[at : len(b) - end]
     x, y = _WORDS.findall(a), _WORDS.findall(b)
     known, others = set(x), set(y)
     # an edit changes one word, or as a letter three words at most
     changed = max(len(known - others), len(others - known))
-    edits = letter_edits(min(len(a), len(b)))
     if changed <= 3 * edits and within_edits(a, b, edits):
         return True
-    edits = word_edits(min(len(x), len(y)))
-    return 0 < edits >= changed and within_edits(x, y, edits)
+    edits = word_edits(n_same + min(len(x), len(y)))
+    if not 0 < edits >= changed:
+        return False
+    if edits > MOST_EDITS:
+        # words may repeat, and many edits take long to count
+        more = Counter(x)
+        more.subtract(y)
+        if max(sum(v for v in more.values() if v > 0), -sum(v for v in more.values() if v < 0)) > edits:
+            return False
+    return within_edits(x, y, edits)
 
 
 def _region_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
     for p in pieces:
-        regions, ids, sizes = [], [], []
-        lines = [_WORDS.findall(line) for line in p["line"]]
-        for key, line, words in zip(p["id"], p["line"], lines, strict=True):
-            if len(words) >= LONG:
-                continue
-            found = scaled_keys(line)
-            regions += found
-            ids += repeat(key, len(found))
-            sizes += repeat(len(line), len(found))
-        found, owners = word_regions(lines)
-        regions += found.tolist()
-        ids += [p["id"][k] for k in owners.tolist()]
-        sizes += [len(lines[k]) for k in owners.tolist()]
-        yield regions, ids, sizes
+        lines = Lines.of_texts(p["line"])
+        regions, ids, notes = [], [], []
+        for kind in (Letters, Words):
+            found, owners, _, own = kind.rows(lines)
+            regions += _as_list(found)
+            ids += [p["id"][k] for k in owners.tolist()]
+            notes += own.tolist()
+        yield regions, ids, notes
 
 
 def _pair_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
@@ -230,7 +168,11 @@ def _pair_rows(pieces: Iterator[dict]) -> Iterator[tuple]:
 
 
 def _plain(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))
+    # most lines have nothing to replace, which takes less to see than to do
+    odd = F.contains(line, F.lit("  "))
+    for blank in "\t\n\x0b\x0c\r":
+        odd = odd | F.contains(line, F.lit(blank))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line))
 
 
 def _row_key(docs: DataFrame, id_col: str, text_col: str) -> Column:
@@ -242,31 +184,31 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(row_key, at, id, keep): every line that is not blank and has others in its class, by
     the number of one line of the class, and whether it is the first of its class."""
     last = F.lit((1 << 63) - 1)
-    lines = docs.select(
+    # keys of rows are made before lines are: Spark would make them again for each line
+    whole = docs.select(
         F.coalesce(docs[id_col].cast("long"), last).alias("doc"),
         _row_key(docs, id_col, text_col).alias("row_key"),
-        F.posexplode(F.split(F.coalesce(docs[text_col], F.lit("")), "\n")).alias("at", "line"),
-    ).withColumn("line", _plain(F.col("line")))
-    lines = lines.filter(F.col("line") != "")
+        F.split(F.coalesce(docs[text_col], F.lit("")), "\n").alias("lines"),
+    )
+    spots = F.transform("lines", lambda x, k: F.struct(k.alias("at"), _plain(x).alias("line")))
+    lines = whole.select("doc", "row_key", F.explode(spots).alias("spot"))
+    lines = lines.select("doc", "row_key", "spot.at", "spot.line").filter(F.col("line") != "")
     lines = lines.withColumn("id", F.unhex(F.md5("line")))
     distinct = lines.groupBy("id").agg(
         F.any_value("line").alias("line"), F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n_rows")
     )
     # regions and pairs, many to a line, hold its number, which takes less than its digest
     distinct = written(distinct.withColumn("number", F.monotonically_increasing_id()), "lines")
-    fields = "region long,id long,size long"
-    regions = distinct.select(F.col("number").alias("id"), "line").mapInArrow(
-        rows_like(fields, _region_rows, 1024), fields
-    )
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = distinct.select(F.col("number").alias("a"), F.col("line").alias("x"))
-        right = distinct.select(F.col("number").alias("b"), F.col("line").alias("y"))
+    def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+        left = lines.select(F.col("number").alias("a"), F.col("line").alias("x"))
+        right = lines.select(F.col("number").alias("b"), F.col("line").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return both.mapInArrow(rows_like("a long,b long", _pair_rows, 1024), "a long,b long")
 
-    roots = link_classes(regions, lambda _: verified, size_ratio=SIZE_RATIO)
-    roots = roots.withColumnRenamed("id", "number")
+    items = distinct.select("number", "line")
+    roots = close_classes(items, distinct.count(), Lines.of, [Letters, Words], verified)
+    roots = roots.withColumnRenamed("node", "number").hint("shuffle_hash")
     named = distinct.select("id", "number", "first", "n_rows").join(roots, "number", "left")
     named = named.withColumn("class", F.coalesce("root", "number")).drop("root", "number")
     named = written(named, "line-classes")
@@ -277,7 +219,7 @@ def line_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     firsts = firsts.filter("n_rows > 1").withColumnRenamed("n_rows", "class_rows")
     repeated = named.join(firsts, "class").select("id", "class", "class_first", "n_rows")
     spots = lines.select("id", "row_key", "doc", "at")
-    placed = attach(spots, written(repeated, "repeated"), "id")
+    placed = attach_once(spots, written(repeated, "repeated"), "id")
     keep = (F.col("doc") == F.col("class_first.doc")) & (F.col("at") == F.col("class_first.at"))
     return placed.select("row_key", "at", F.col("class").alias("id"), keep.alias("keep"))
 
