@@ -41,7 +41,7 @@ from gaugeworks.llm.line_regions import (
     word_edits,
 )
 from gaugeworks.llm.region_pairs import close_classes
-from gaugeworks.session import written
+from gaugeworks.session import scratch, scratch_path, written
 
 
 def _as_list(regions: np.ndarray) -> list[int]:
@@ -245,10 +245,12 @@ def line_dedup(
     lines always stay. A null text stays null and has no lines; an empty one has one. Null
     ids sort last. Rows that repeat both id and text are one document and get equal
     answers. An empty table gives no rows."""
-    drops = line_classes(docs, id_col, text_col).filter("NOT keep")
-    # at most as many numbers as the document has lines
-    drops = drops.groupBy(F.col("row_key").alias(_KEY)).agg(F.collect_set("at").alias(_DROPPED))
-    drops = written(drops, "dropped-lines")
+    spark = docs.sparkSession
+    with scratch(spark):
+        drops = line_classes(docs, id_col, text_col).filter("NOT keep")
+        # at most as many numbers as the document has lines
+        drops = drops.groupBy(F.col("row_key").alias(_KEY)).agg(F.collect_set("at").alias(_DROPPED))
+        drops = written(drops, "dropped-lines", scratch_path(spark, "dropped-lines"))
     others = [c for c in docs.columns if c not in (lines_col, dropped_col)]
     own = docs.select(*[docs[c] for c in others], _row_key(docs, id_col, text_col).alias(_KEY))
     whole = own.join(drops, _KEY, "left")

@@ -56,6 +56,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/gaugeworks/{label}-{uuid.uuid4().hex}"
 
 
+#: Per ``scratch`` that is open, the tables written in it.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``written`` here without a path of their own are dropped at the end:
+    for steps whose result is written by itself."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove_folder(spark, path)
+
+
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Cut the lineage of ``df`` with a Parquet table in the shared folder.
 
@@ -64,7 +80,10 @@ def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     shuffles of one step, not of all.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, label)
+    if path is None:
+        path = scratch_path(spark, label)
+        if _SCRATCH:
+            _SCRATCH[-1].append(path)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
